@@ -85,13 +85,13 @@ def neighbours(train: DataFrame, query: DataFrame, k: int, features: tuple[str,
     pairs = spark.createDataFrame(plan, "qc int, tc int, lo double, hi double, qn int, tn int")
 
     # the pair table has at most MAX_PIVOTS squared rows
-    t2 = (t.join(F.broadcast(pairs), (F.col("cell") == F.col("tc")) & F.col("dist").between(F.col("lo"), F.col("hi")))
+    t2 = (t.withColumnRenamed("cell", "tc").join(F.broadcast(pairs), "tc").where(F.col("dist").between(F.col("lo"), F.col("hi")))
           .withColumn("tb", F.pmod(F.xxhash64("t_station", "t_date"), F.col("tn")))
-          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qn") - 1)).cast("long"))
+          .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qn").cast("long") - 1)))
           .select("qc", "qb", "tc", "tb", "t_station", "t_date", "t_y", "v"))
-    q2 = (q.join(F.broadcast(pairs), F.col("cell") == F.col("qc"))
+    q2 = (q.withColumnRenamed("cell", "qc").join(F.broadcast(pairs), "qc")
           .withColumn("qb", F.pmod(F.xxhash64(*ID), F.col("qn")))
-          .withColumn("tb", F.explode(F.sequence(F.lit(0), F.col("tn") - 1)).cast("long"))
+          .withColumn("tb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tn").cast("long") - 1)))
           .select("qc", "qb", "tc", "tb", *ID, "v"))
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

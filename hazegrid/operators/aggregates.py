@@ -10,7 +10,7 @@ from hazegrid.constants import CHANNELS, DATE, N_CLASSES, STATION, TARGET, TS
 from hazegrid.functions import clock
 from hazegrid.operators.features import guarded
 from hazegrid.operators.gaps import interpolate_linear
-from hazegrid.operators.ordered import HOURLY, Layout, over_rows
+from hazegrid.operators.ordered import HOURLY, Layout, in_blocks, over_rows
 
 
 def daily_means(df: DataFrame, ts: str = TS) -> DataFrame:
@@ -100,22 +100,30 @@ def lag_corr(df: DataFrame, col: str = TARGET, lags: tuple[int, ...] = (1, 24, 1
 
 
 def acf(df: DataFrame, col: str = TARGET, nlags: int = 200, at: Layout = HOURLY) -> DataFrame:
-    """Autocorrelation up to ``nlags`` rows about the mean of the whole series, gaps filled linearly.
+    """Autocorrelation up to ``nlags`` rows about the mean of the whole series, gaps filled linearly; cells
+    before the first valid one are left out.
 
-    Products of a row with its predecessors are summed within the blocks, so nothing but one sum per
-    station and lag is shuffled.
+    Each block of bounded size, with the rows before it, becomes one array, and a lag is its product with
+    itself shifted. Only one sum per block and lag leaves a task.
     """
     filled = interpolate_linear(df.select(at.key, at.ts, col), col, at).where(F.col(col).isNotNull())
     mean = filled.groupBy(at.key).agg(F.avg(col).alias("_m"))
     centred = filled.join(mean, at.key).select(at.key, at.ts, (F.col(col) - F.col("_m")).alias("_x"))
-    names = [str(k) for k in range(nlags + 1)]
-    rows = over_rows(centred, at, nlags, 0, lambda w: {
-        f"_p{k}": F.col("_x") * F.lag("_x", k).over(w) for k in range(1, nlags + 1)})
-    sums = rows.groupBy(at.key).agg(F.sum(F.col("_x") * F.col("_x")).alias("0"),
-                                    *[F.sum(f"_p{k}").alias(str(k)) for k in range(1, nlags + 1)])
-    return (sums.select("*", F.col("0").alias("_v")).unpivot([at.key, "_v"], names, "lag", "s")
-            .select(at.key, F.col("lag").cast("int").alias("lag"),
-                    F.when(F.col("_v") > 0, F.col("s") / F.col("_v")).alias("acf")))
+    block = (in_blocks(centred, at, nlags, 0).groupBy(at.key, "_block")
+             .agg(F.array_sort(F.collect_list(F.struct("_pos", "_x"))).alias("_a"),
+                  F.count_if(F.col("_home") != F.col("_block")).cast("int").alias("_h"))
+             .select(at.key, "_h", F.col("_a._x").alias("_x"), F.size("_a").alias("_n")))
+    # row j of the block times row j - k, for its own rows with such a predecessor in reach
+    first, pairs = "greatest(_h, k)", "_n - greatest(_h, k)"
+    dot = (f"transform(sequence(0, {nlags}), k -> IF({pairs} <= 0, 0D, aggregate(zip_with("
+           f"slice(_x, {first} + 1, {pairs}), slice(_x, {first} - k + 1, {pairs}), (a, b) -> a * b), 0D, (s, v) -> s + v)))")
+    parts = block.select(at.key, F.posexplode(F.expr(dot)).alias("lag", "s"))
+    # a lag beyond the end of a series has no pair and no value
+    n = filled.groupBy(at.key).agg(F.count(F.lit(1)).alias("_n"))
+    sums = parts.groupBy(at.key, "lag").agg(F.sum("s").alias("s"))
+    total = sums.where("lag = 0").select(at.key, F.col("s").alias("_v"))
+    return (sums.join(total, at.key).join(n, at.key).where("lag < _n")
+            .select(at.key, "lag", F.when(F.col("_v") > 0, F.col("s") / F.col("_v")).alias("acf")))
 
 
 def class_counts(df: DataFrame, label: str = "y") -> DataFrame:

@@ -11,6 +11,7 @@ from hazegrid.operators.cleaning import clean
 from hazegrid.operators.gaps import impute
 from hazegrid.operators.ordered import DAILY, HOURLY, Layout, over_rows
 from hazegrid.operators.outliers import CAPPED, cap_outliers, fit_fences
+from hazegrid.session import settle
 
 
 def add_time_features(df: DataFrame, ts: str = TS) -> DataFrame:
@@ -110,11 +111,14 @@ def build_features(df: DataFrame, target: str = TARGET, lags: tuple[int, ...] =
                    fences: DataFrame | None = None, at: Layout = HOURLY) -> DataFrame:
     """clean, impute, cap, calendar, lags, moving averages.
 
-    Fences are fitted on the imputed data unless a stored table is given.
+    Fences are fitted on the imputed data unless a stored table is given. The imputed series is written to
+    the shared folder, so this runs a job.
     """
     df = clean(df)
     if do_impute:
         df = impute(df, at=at)
+    # fences, positions and features all read the filled series: write it once instead of filling it thrice
+    df = settle(df)
     if do_cap:
         cols = tuple(c for c in (target, *CAPPED[1:]) if c in df.columns)
         df = cap_outliers(df, fences if fences is not None else fit_fences(df, cols), cols)

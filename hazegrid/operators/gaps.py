@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hazegrid.constants import CHANNELS, WIND
-from hazegrid.functions.clock import seconds_between, truncate
+from hazegrid.functions.clock import truncate
 from hazegrid.operators.ordered import DAILY, HOURLY, Layout, with_neighbours
 
 
-def _between(p: Column, n: Column, done: Column, whole: Column) -> Column:
-    """Straight line from reading ``p`` to reading ``n``."""
-    return p["x"] + (n["x"] - p["x"]) * done / whole
-
-
 def interpolate_time(df: DataFrame, cols: list[str], limit: int = 6, at: Layout = HOURLY) -> DataFrame:
     """Fills cells at most ``limit`` rows after the previous or before the next valid one, linear in time;
     before the first and after the last valid cell the nearest one is taken."""
     rows = with_neighbours(df, cols, at)
-    done = {}
-    for c in cols:
-        p, n = F.col(f"_p_{c}"), F.col(f"_n_{c}")
-        line = _between(p, n, seconds_between(p["t"], F.col(at.ts)), seconds_between(p["t"], n["t"]))
-        near = (F.coalesce(F.col("_pos") - p["i"] <= limit, F.lit(False))
-                | F.coalesce(n["i"] - F.col("_pos") <= limit, F.lit(False)))
-        done[c] = F.coalesce(F.col(c), F.when(near, F.coalesce(line, p["x"], n["x"])))
-    return rows.select(*[done[c].alias(c) if c in done else F.col(c) for c in df.columns])
+    return _replace(rows, df, {c: f"coalesce(`{c}`, IF({_near(c, limit)}, {_on_line(c, '_us')}, NULL))" for c in cols})
+
+
+def _near(c: str, limit: int) -> str:
+    return f"coalesce(_pos - _p_{c}.i <= {limit}, false) OR coalesce(_n_{c}.i - _pos <= {limit}, false)"
+
+
+def _on_line(c: str, time: str) -> str:
+    """Straight line in time between the valid neighbours; where one is missing, the other's value."""
+    p, n = f"_p_{c}", f"_n_{c}"
+    return f"coalesce({p}.x + ({n}.x - {p}.x) * ({time} - {p}.t) / ({n}.t - {p}.t), {p}.x, {n}.x)"
+
+
+def _replace(rows: DataFrame, like: DataFrame, done: dict[str, str]) -> DataFrame:
+    return rows.select(*[F.expr(done[c]).alias(c) if c in done else F.col(c) for c in like.columns])
 
 
 def ffill_bfill(df: DataFrame, cols: list[str], at: Layout = HOURLY, default: dict[str, str] | None = None) -> DataFrame:
@@ -34,15 +36,13 @@ def ffill_bfill(df: DataFrame, cols: list[str], at: Layout = HOURLY, default: di
     After the forward fill only the cells before the first valid one are open, so the backward fill is
     that one value per station.
     """
-    rows = with_neighbours(df, cols, at, ahead=False)
+    rows = with_neighbours(df, cols, at, ahead=[])
+    return _replace(rows, df, {c: _carried(c, (default or {}).get(c)) for c in cols})
 
-    def filled(c: str) -> Column:
-        options = [F.col(f"_p_{c}")["x"], F.col(f"_o_{c}")["x"]]
-        if default and c in default:
-            options.append(F.lit(default[c]))
-        return F.coalesce(*options)
 
-    return rows.select(*[filled(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+def _carried(c: str, default: str | None = None) -> str:
+    last = f", '{default}'" if default is not None else ""
+    return f"coalesce(`{c}`, _p_{c}.x, _o_{c}.x{last})"
 
 
 def fill_categorical(df: DataFrame, col: str = WIND, default: str = "N", at: Layout = HOURLY) -> DataFrame:
@@ -51,19 +51,23 @@ def fill_categorical(df: DataFrame, col: str = WIND, default: str = "N", at: Lay
 
 def impute(df: DataFrame, short_gap: int = 6, at: Layout = HOURLY) -> DataFrame:
     """Time interpolation near valid cells, then forward and backward fill; wind direction is carried
-    forward, then backward, then 'N'. Rows stay partitioned by (station, chunk) throughout."""
+    forward, then backward, then 'N'.
+
+    One pass: inside a long gap the forward fill repeats the value of the row ``short_gap`` rows after the
+    last valid one, so its time is kept with that reading and the line is read there.
+    """
     numeric = [c for c in CHANNELS if c in df.columns]
     rest = [WIND] if WIND in df.columns else []
-    return ffill_bfill(interpolate_time(df, numeric, short_gap, at), numeric + rest, at, {c: "N" for c in rest})
+    rows = with_neighbours(df, numeric + rest, at, ahead=numeric, reach=short_gap)
+    done = {c: f"coalesce(`{c}`, {_on_line(c, f'IF({_near(c, short_gap)}, _us, _p_{c}.r)')})" for c in numeric}
+    return _replace(rows, df, done | {c: _carried(c, "N") for c in rest})
 
 
 def interpolate_linear(df: DataFrame, col: str, at: Layout = HOURLY) -> DataFrame:
     """Linear in the row position, forward only: leading gaps stay, trailing ones take the last value."""
-    rows = with_neighbours(df, [col], at)
-    p, n = F.col(f"_p_{col}"), F.col(f"_n_{col}")
-    line = _between(p, n, F.col("_pos") - p["i"], n["i"] - p["i"])
-    filled = F.coalesce(F.col(col), F.when(p.isNotNull(), F.coalesce(line, p["x"])))
-    return rows.select(*[filled.alias(c) if c == col else F.col(c) for c in df.columns])
+    p, n = f"_p_{col}", f"_n_{col}"
+    line = f"coalesce({p}.x + ({n}.x - {p}.x) * (_pos - {p}.i) / ({n}.i - {p}.i), {p}.x)"
+    return _replace(with_neighbours(df, [col], at), df, {col: f"coalesce(`{col}`, IF({p} IS NULL, NULL, {line}))"})
 
 
 def resample_daily(df: DataFrame, col: str, at: Layout = HOURLY) -> DataFrame:

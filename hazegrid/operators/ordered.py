@@ -39,10 +39,18 @@ class Layout:
     block_rows: int = 4096
 
     @property
-    def chunk(self) -> Column:
-        width = max(1, int(self.chunk_days * 86400))
-        return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'{EPOCH}', CAST(`{self.ts}` AS TIMESTAMP_NTZ))"
-                      f" div {width}")
+    def clock(self) -> Column:
+        """Time as microseconds, computed once per row."""
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EPOCH}', CAST(`{self.ts}` AS TIMESTAMP_NTZ))")
+
+    def chunk(self, clock: str = "_us") -> Column:
+        return F.expr(f"{clock} div {max(1, int(self.chunk_days * 86_400_000_000))}")
+
+    def timed(self, df: DataFrame) -> DataFrame:
+        """Adds ``_us`` and ``_chunk``. Rows without station or time have no place in a series; saying so here
+        keeps all branches of a plan alike, so that they share one shuffle."""
+        t = df.withColumn("_us", self.clock)
+        return t.withColumn("_chunk", self.chunk()).where(F.col(self.key).isNotNull() & F.col("_chunk").isNotNull())
 
 
 HOURLY = Layout()
@@ -52,78 +60,98 @@ DAILY = Layout(ts="date", chunk_days=1461.0)
 def chunked(df: DataFrame, at: Layout) -> tuple[DataFrame, WindowSpec]:
     """Adds ``_chunk`` and the 1-based row number ``_i`` within it; returns the chunk's window too."""
     w = Window.partitionBy(at.key, "_chunk").orderBy(at.ts)
-    return df.withColumn("_chunk", at.chunk).withColumn("_i", F.row_number().over(w)), w
+    return at.timed(df).withColumn("_i", F.row_number().over(w).cast("long")), w
+
+
+def _valid(c: str, reach: int) -> Column:
+    """The reading with its place and time, NULL where the reading is missing; with ``reach`` also the
+    time ``r`` of the row that many rows later."""
+    later = ", 'r', _r" if reach else ""
+    return F.expr(f"IF(`{c}` IS NULL, NULL, named_struct('i', _i, 't', _us, 'x', `{c}`{later}))")
 
 
-def valid(c: str, at: Layout) -> Column:
-    """The reading with its place and time, NULL where the reading is missing."""
-    return F.when(F.col(c).isNotNull(),
-                  F.struct(F.col("_i").cast("long").alias("i"), F.col(at.ts).alias("t"), F.col(c).alias("x")))
+def _placed(v: str, reach: int) -> str:
+    """Row number within the chunk to position in the series."""
+    later = f", 'r', {v}.r" if reach else ""
+    return f"IF({v} IS NULL, NULL, named_struct('i', {v}.i + _off, 't', {v}.t, 'x', {v}.x{later}))"
 
 
-def chunk_table(rows: DataFrame, at: Layout, cols: list[str]) -> DataFrame:
+def chunk_table(rows: DataFrame, at: Layout, cols: list[str], ahead: list[str], reach: int = 0) -> DataFrame:
     """One row per (key, chunk): ``_off`` rows before it and, per column, the last valid reading before
     (``_p_c``), the first valid one after (``_q_c``) and the first of the whole series (``_o_c``)."""
     aggs = [F.count(F.lit(1)).alias("_n")]
+    if reach:
+        # the first few times of a chunk, for readings that end the chunk before
+        aggs.append(F.array_compact(F.array(*[F.max(F.when(F.col("_i") == i, F.col("_us"))) for i in range(1, reach + 1)])).alias("_head"))
     for c in cols:
-        aggs += [F.min(valid(c, at)).alias(f"_f_{c}"), F.max(valid(c, at)).alias(f"_l_{c}")]
+        aggs += [F.min(_valid(c, reach)).alias(f"_f_{c}"), F.max(_valid(c, reach)).alias(f"_l_{c}")]
     s = rows.groupBy(at.key, "_chunk").agg(*aggs)
     up = Window.partitionBy(at.key).orderBy("_chunk")
     down = Window.partitionBy(at.key).orderBy(F.col("_chunk").desc())
-    s = s.withColumn("_off", F.coalesce(F.sum("_n").over(up.rowsBetween(*BEFORE)), F.lit(0)))
-
-    def placed(side: str, c: str) -> Column:
-        v = F.col(f"_{side}_{c}")
-        return F.when(v.isNotNull(), v.withField("i", v["i"] + F.col("_off")))
-
-    s = s.select(at.key, "_chunk", "_off",
-                 *[placed(side, c).alias(f"_{side}_{c}") for c in cols for side in "fl"])
+    whole = up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    extra = []
+    if reach:
+        # a chunk holds a row at least, so that many chunks are enough
+        extra = [F.flatten(F.collect_list("_head").over(up.rowsBetween(1, reach))).alias("_next")]
+    s = s.select("*", F.coalesce(F.sum("_n").over(up.rowsBetween(*BEFORE)), F.lit(0)).alias("_off"), *extra)
+    if reach:
+        s = s.withColumns({c: F.expr(f"IF({c} IS NULL, NULL, named_struct('i', {c}.i, 't', {c}.t, 'x', {c}.x, "
+                                     f"'r', coalesce({c}.r, get(_next, int({c}.i + {reach} - _n - 1)))))") for c in [f"_l_{c}" for c in cols]})
+    s = s.select(at.key, "_chunk", "_off", *[F.expr(_placed(f"_{d}_{c}", reach)).alias(f"_{d}_{c}") for c in cols for d in "fl"])
     out = [at.key, "_chunk", "_off"]
     for c in cols:
-        out += [F.last(f"_l_{c}", True).over(up.rowsBetween(*BEFORE)).alias(f"_p_{c}"),
-                F.last(f"_f_{c}", True).over(down.rowsBetween(*BEFORE)).alias(f"_q_{c}"),
-                F.min(f"_f_{c}").over(Window.partitionBy(at.key)).alias(f"_o_{c}")]
+        out.append(F.last(f"_l_{c}", True).over(up.rowsBetween(*BEFORE)).alias(f"_p_{c}"))
+        if c in ahead:
+            out.append(F.last(f"_f_{c}", True).over(down.rowsBetween(*BEFORE)).alias(f"_q_{c}"))
+        else:
+            out.append(F.first(f"_f_{c}", True).over(whole).alias(f"_o_{c}"))
     return s.select(*out)
 
 
-def with_neighbours(df: DataFrame, cols: list[str], at: Layout, ahead: bool = True) -> DataFrame:
-    """Adds ``_pos`` (1-based row position in the series) and, per column, ``_p_c`` (last valid reading up
-    to the row), ``_o_c`` (first valid reading of the series) and, with ``ahead``, ``_n_c`` (next one)."""
+def with_neighbours(df: DataFrame, cols: list[str], at: Layout, ahead: list[str] | None = None, reach: int = 0) -> DataFrame:
+    """Adds ``_pos`` (1-based row position in the series) and, per column and for its missing cells, ``_p_c``: the
+    last valid reading before. Columns in ``ahead`` (all by default) also get the next one, ``_n_c``; the others
+    the first one of the series, ``_o_c``. Cells that are known get nothing of use, which keeps rows narrow."""
+    ahead = cols if ahead is None else ahead
     rows, w = chunked(df, at)
-    carry = chunk_table(rows, at, cols)
+    if reach:
+        rows = rows.withColumn("_r", F.lead("_us", reach).over(w))
+    carry = chunk_table(rows, at, cols, ahead, reach)
     back = Window.partitionBy(at.key, "_chunk").orderBy(F.col(at.ts).desc()).rowsBetween(*SO_FAR)
-    inner = [F.last(valid(c, at), True).over(w.rowsBetween(*SO_FAR)).alias(f"_a_{c}") for c in cols]
-    if ahead:
-        inner += [F.last(valid(c, at), True).over(back).alias(f"_b_{c}") for c in cols]
-    rows = rows.select("*", *inner).join(carry, [at.key, "_chunk"])
 
-    def placed(side: str, c: str) -> Column:
-        v = F.col(f"_{side}_{c}")
-        return F.when(v.isNotNull(), v.withField("i", v["i"] + F.col("_off")))
+    def near(rows: DataFrame, frame: WindowSpec, side: str, names: list[str]) -> DataFrame:
+        keep = rows.columns
+        rows = rows.select("*", *[F.last(_valid(c, reach), True).over(frame).alias(f"_{side}_{c}") for c in names])
+        return rows.select(*keep, *[F.expr(f"IF(`{c}` IS NULL, _{side}_{c}, NULL)").alias(f"_{side}_{c}") for c in names])
 
+    rows = near(rows, w.rowsBetween(*SO_FAR), "a", cols)
+    if ahead:
+        rows = near(rows, back, "b", ahead)
+    rows = rows.join(carry, [at.key, "_chunk"])
     found = []
     for c in cols:
-        found += [F.coalesce(placed("a", c), F.col(f"_p_{c}")).alias(f"_p_{c}"), F.col(f"_o_{c}")]
-        if ahead:
-            found.append(F.coalesce(placed("b", c), F.col(f"_q_{c}")).alias(f"_n_{c}"))
-    return rows.select(*df.columns, (F.col("_off") + F.col("_i")).alias("_pos"), *found)
+        found.append(F.expr(f"coalesce({_placed(f'_a_{c}', reach)}, _p_{c})").alias(f"_p_{c}"))
+        if c in ahead:
+            found.append(F.expr(f"coalesce({_placed(f'_b_{c}', reach)}, _q_{c})").alias(f"_n_{c}"))
+        else:
+            found.append(F.col(f"_o_{c}"))
+    return rows.select(*df.columns, "_us", (F.col("_off") + F.col("_i")).alias("_pos"), *found)
 
 
 def with_position(df: DataFrame, at: Layout) -> DataFrame:
     """Adds ``_pos``, the 1-based position of a row in its series."""
     rows, _ = chunked(df, at)
     # the counts need no order: a narrow scan and a partial aggregation
-    counts = df.select(at.key, at.chunk.alias("_chunk")).groupBy(at.key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    counts = at.timed(df.select(at.key, at.ts)).groupBy(at.key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     up = Window.partitionBy(at.key).orderBy("_chunk").rowsBetween(*BEFORE)
     offsets = counts.select(at.key, "_chunk", F.coalesce(F.sum("_n").over(up), F.lit(0)).alias("_off"))
     return (rows.join(offsets, [at.key, "_chunk"])
             .select(*df.columns, (F.col("_off") + F.col("_i")).alias("_pos")))
 
 
-def over_rows(df: DataFrame, at: Layout, before: int, after: int,
-              make: Callable[[WindowSpec], dict[str, Column]]) -> DataFrame:
-    """Adds the columns ``make(window)`` returns; their frames may reach ``before`` rows back and
-    ``after`` rows ahead. Exact, in blocks of at least that many rows."""
+def in_blocks(df: DataFrame, at: Layout, before: int, after: int) -> DataFrame:
+    """Rows with their position ``_pos``, the block they belong to (``_home``) and the one they are a copy for
+    (``_block``). A block has at most ``block_rows + before + after`` rows, whatever a station holds."""
     size = max(at.block_rows, before, after, 1)
     place = F.col("_pos") - 1
     home = (place / F.lit(size)).cast("long")
@@ -133,11 +161,17 @@ def over_rows(df: DataFrame, at: Layout, before: int, after: int,
         targets.append(F.when(rest >= size - before, home + 1))
     if after:
         targets.append(F.when((rest < after) & (home > 0), home - 1))
-    rows = with_position(df, at)
-    rows = (rows.withColumn("_home", home)
-            .withColumn("_block", F.explode(F.array_compact(F.array(*targets)))))
+    return with_position(df, at).select(*df.columns, "_pos", home.alias("_home"),
+                                        F.explode(F.array_compact(F.array(*targets))).alias("_block"))
+
+
+def over_rows(df: DataFrame, at: Layout, before: int, after: int,
+              make: Callable[[WindowSpec], dict[str, Column]]) -> DataFrame:
+    """Adds the columns ``make(window)`` returns; their frames may reach ``before`` rows back and
+    ``after`` rows ahead."""
     w = Window.partitionBy(at.key, "_block").orderBy("_pos")
-    return (rows.select(*df.columns, "_home", "_block", *[e.alias(n) for n, e in make(w).items()])
+    return (in_blocks(df, at, before, after)
+            .select(*df.columns, "_home", "_block", *[e.alias(n) for n, e in make(w).items()])
             .where("_home = _block").drop("_home", "_block"))
 
 

@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hazegrid.constants import POLLUTANTS, STATION, TS
@@ -29,11 +31,10 @@ def range_read(readings: DataFrame, requests: DataFrame, limit: int = 1000, at:
     compared whole with every request for it.
     """
     asked = requests.select("req_id", STATION, "start", "end").where(F.col("start") <= F.col("end"))
-    first = asked.withColumn(at.ts, F.col("start")).withColumn("_a", at.chunk)
-    both = first.withColumn(at.ts, F.col("end")).withColumn("_z", at.chunk).drop(at.ts)
-    spread = both.withColumn("_chunk", F.explode(F.sequence("_a", "_z"))).drop("_a", "_z")
-    hits = (readings.select(*KEY, *POLLUTANTS).withColumn("_chunk", at.chunk)
-            .join(spread, [STATION, "_chunk"])
+    first, last = replace(at, ts="start"), replace(at, ts="end")
+    spread = (asked.withColumns({"_a": first.clock, "_z": last.clock})
+              .withColumn("_chunk", F.explode(F.sequence(at.chunk("_a"), at.chunk("_z")))).drop("_a", "_z"))
+    hits = (at.timed(readings.select(*KEY, *POLLUTANTS)).join(spread, [STATION, "_chunk"])
             .where(F.col(TS).between(F.col("start"), F.col("end"))))
     w = Window.partitionBy("req_id").orderBy(TS)
     return (hits.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit)

@@ -34,6 +34,12 @@ def r(c: Column | str, digits: int = 6) -> Column:
     return F.round(c, digits)
 
 
+def made(c: Column, by: float = 3.07) -> Column:
+    """A made-up reading. The last division leaves values without a short decimal form, so that no mean of a few
+    of them lies half-way between two rounded numbers, where engines differ."""
+    return F.round(c / by, 4) / 1.0007
+
+
 def rounded(df: DataFrame, cols, digits: int = 6) -> DataFrame:
     cols = set(cols)
     return df.select(*[r(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
@@ -57,7 +63,7 @@ class Tables:
         e = self.table("events", "ts", "event_type", "value")
         hour = clock.truncate("hour", F.col(TS))
         m = e.groupBy(F.col("event_type").alias(STATION), hour.alias(TS)).agg(
-            F.round(F.avg("value"), 4).alias("pm2_5"), F.count(F.lit(1)).alias("n"))
+            made(F.avg("value")).alias("pm2_5"), F.count(F.lit(1)).alias("n"))
         grid = self._grid(e.select(F.col("event_type").alias(STATION)).distinct(), e)
         outage = F.day(TS).isin(9, 18, 27) & F.hour(TS).between(3, 5)
         return grid.where(~outage).join(m, [STATION, TS], "left").select(STATION, TS, "pm2_5", "n")
@@ -68,12 +74,12 @@ class Tables:
             STATION, F.concat(F.lit("S"), (F.col("user_id") % 12).cast("string")))
 
         def mean(kind: str) -> Column:
-            return F.round(F.avg(F.when(F.col("event_type") == kind, F.col("value"))), 4)
+            return made(F.avg(F.when(F.col("event_type") == kind, F.col("value"))))
 
         m = e.groupBy(STATION, clock.truncate("hour", F.col(TS)).alias(TS)).agg(
             mean("view").alias("pm2_5"), mean("click").alias("pm10"), mean("error").alias("so2"),
             mean("purchase").alias("no2"), mean("signup").alias("co"),
-            F.round(F.max("value") - 50, 4).alias("temp"), F.round(F.min("value") / 10, 4).alias("wspm"),
+            made(F.max("value") - 50).alias("temp"), made(F.min("value"), 30.7).alias("wspm"),
             F.min("event_type").alias("wd"))
         return self._grid(e.select(STATION).distinct(), e).join(m, [STATION, TS], "left").select(
             STATION, TS, "pm2_5", "pm10", "so2", "no2", "co", "temp", "wspm", "wd")
@@ -97,10 +103,10 @@ class Tables:
     def b3_daily(self) -> DataFrame:
         l = self.table("lineitem")
         return l.groupBy(F.concat("l_returnflag", "l_linestatus").alias(STATION), F.col("l_shipdate").alias(DATE)).agg(
-            F.round(F.avg("l_extendedprice") / 307, 4).alias("pm2_5"), F.round(F.avg("l_quantity"), 4).alias("pm10"),
-            F.round(F.avg("l_discount") * 100, 4).alias("so2"), F.round(F.avg("l_tax") * 100, 4).alias("no2"),
-            F.round(F.sum("l_extendedprice") / 100, 4).alias("co"), F.count(F.lit(1)).cast("double").alias("o3"),
-            F.round(F.avg("l_partkey") / 103.0, 4).alias("temp"), F.round(1000 + F.avg("l_suppkey"), 4).alias("pres"),
+            made(F.avg("l_extendedprice"), 307).alias("pm2_5"), made(F.avg("l_quantity")).alias("pm10"),
+            made(F.avg("l_discount") * 100).alias("so2"), made(F.avg("l_tax") * 100).alias("no2"),
+            made(F.sum("l_extendedprice"), 307).alias("co"), F.count(F.lit(1)).cast("double").alias("o3"),
+            made(F.avg("l_partkey"), 307).alias("temp"), (1000 + made(F.avg("l_suppkey"), 307)).alias("pres"),
             F.round(F.min("l_discount") * 100, 4).alias("dewp"),
             F.round(F.coalesce(F.sum(F.when(F.col("l_discount") == 0, F.col("l_quantity"))), F.lit(0.0)), 4).alias("rain"),
             F.round(F.max("l_tax") * 100, 4).alias("wspm"))
@@ -131,7 +137,7 @@ class Tables:
         return (one.join(self.table("part", "p_partkey", "p_brand", "p_size"), F.col("p_partkey") == F.col("l_partkey"))
                 .join(self.places, F.col("s_suppkey") == F.col("l_suppkey")).select(
             F.col("s_name").alias(STATION), F.col("r_name").alias("station_type"), F.col("l_shipdate").alias(TS),
-            F.round(F.col("l_extendedprice") / 307, 4).alias("pm2_5"), q.alias("pm10"), d.alias("so2"),
+            (F.col("l_extendedprice") / 307).alias("pm2_5"), q.alias("pm10"), d.alias("so2"),
             F.col("l_tax").alias("no2"), F.col("l_extendedprice").alias("co"), F.col("l_linenumber").cast("double").alias("o3"),
             (q - 10).alias("temp"), (1000 + q).alias("pres"), (d * 10).alias("dewp"), F.col("l_tax").alias("rain"),
             F.round(F.col("l_tax") * 50, 4).alias("wspm"), F.when(F.col("p_size") <= 40, F.col("p_brand")).alias("wd")))
@@ -221,7 +227,7 @@ SQL: dict[str, str] = {
         SELECT g.station, g.ts, m.pm2_5, m.n
         FROM (SELECT station, unnest(generate_series((SELECT lo FROM b1_span), (SELECT hi FROM b1_span), INTERVAL 1 HOUR)) AS ts
               FROM (SELECT DISTINCT event_type AS station FROM events)) g
-        LEFT JOIN (SELECT event_type AS station, date_trunc('hour', ts) AS ts, round(avg(value), 4) AS pm2_5, count(*) AS n
+        LEFT JOIN (SELECT event_type AS station, date_trunc('hour', ts) AS ts, round(avg(value) / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS pm2_5, count(*) AS n
                    FROM events GROUP BY 1, 2) m ON m.station = g.station AND m.ts = g.ts
         WHERE NOT (day(g.ts) IN (9, 18, 27) AND hour(g.ts) BETWEEN 3 AND 5)""",
     "b1_sensor": """
@@ -229,12 +235,12 @@ SQL: dict[str, str] = {
         FROM (SELECT station, unnest(generate_series((SELECT lo FROM b1_span), (SELECT hi FROM b1_span), INTERVAL 1 HOUR)) AS ts
               FROM (SELECT DISTINCT 'S' || CAST(user_id % 12 AS VARCHAR) AS station FROM events)) g
         LEFT JOIN (SELECT 'S' || CAST(user_id % 12 AS VARCHAR) AS station, date_trunc('hour', ts) AS ts,
-                     round(avg(value) FILTER (WHERE event_type = 'view'), 4) AS pm2_5,
-                     round(avg(value) FILTER (WHERE event_type = 'click'), 4) AS pm10,
-                     round(avg(value) FILTER (WHERE event_type = 'error'), 4) AS so2,
-                     round(avg(value) FILTER (WHERE event_type = 'purchase'), 4) AS no2,
-                     round(avg(value) FILTER (WHERE event_type = 'signup'), 4) AS co,
-                     round(max(value) - 50, 4) AS temp, round(min(value) / 10, 4) AS wspm, min(event_type) AS wd
+                     round(avg(value) FILTER (WHERE event_type = 'view') / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS pm2_5,
+                     round(avg(value) FILTER (WHERE event_type = 'click') / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS pm10,
+                     round(avg(value) FILTER (WHERE event_type = 'error') / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS so2,
+                     round(avg(value) FILTER (WHERE event_type = 'purchase') / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS no2,
+                     round(avg(value) FILTER (WHERE event_type = 'signup') / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS co,
+                     round((max(value) - 50) / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS temp, round(min(value) / 30.7::DOUBLE, 4) / 1.0007::DOUBLE AS wspm, min(event_type) AS wd
                    FROM events GROUP BY 1, 2) m ON m.station = g.station AND m.ts = g.ts""",
     "b2_raw": """
         SELECT l_orderkey * 10 + l_linenumber AS no, CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month,
@@ -257,10 +263,10 @@ SQL: dict[str, str] = {
         WHERE rn = 1""",
     "b3_daily": """
         SELECT l_returnflag || l_linestatus AS station, l_shipdate AS date,
-               round(avg(l_extendedprice) / 307, 4) AS pm2_5, round(avg(l_quantity), 4) AS pm10,
-               round(avg(l_discount) * 100, 4) AS so2, round(avg(l_tax) * 100, 4) AS no2,
-               round(sum(l_extendedprice) / 100, 4) AS co, CAST(count(*) AS DOUBLE) AS o3,
-               round(avg(l_partkey) / 103.0, 4) AS temp, round(1000 + avg(l_suppkey), 4) AS pres,
+               round(avg(l_extendedprice) / 307, 4) / 1.0007::DOUBLE AS pm2_5, round(avg(l_quantity) / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS pm10,
+               round(avg(l_discount) * 100 / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS so2, round(avg(l_tax) * 100 / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS no2,
+               round(sum(l_extendedprice) / 307, 4) / 1.0007::DOUBLE AS co, CAST(count(*) AS DOUBLE) AS o3,
+               round(avg(l_partkey) / 307, 4) / 1.0007::DOUBLE AS temp, 1000 + round(avg(l_suppkey) / 307, 4) / 1.0007::DOUBLE AS pres,
                round(min(l_discount) * 100, 4) AS dewp,
                round(coalesce(sum(l_quantity) FILTER (WHERE l_discount = 0), 0), 4) AS rain, round(max(l_tax) * 100, 4) AS wspm
         FROM lineitem GROUP BY 1, 2""",
@@ -269,7 +275,7 @@ SQL: dict[str, str] = {
         SELECT CAST(s_suppkey + 1 AS INT) AS station_id, s_name AS station_name, r_name AS station_type,
                CAST(s_acctbal / 1000 AS DECIMAL(8,5)) AS latitude, CAST(s_nationkey AS DECIMAL(8,5)) AS longitude FROM b4_places""",
     "b4_wide": """
-        SELECT s_name AS station, r_name AS station_type, l_shipdate AS ts, round(l_extendedprice / 307, 4) AS pm2_5,
+        SELECT s_name AS station, r_name AS station_type, l_shipdate AS ts, l_extendedprice / 307 AS pm2_5,
                l_quantity AS pm10, l_discount AS so2, l_tax AS no2, l_extendedprice AS co, CAST(l_linenumber AS DOUBLE) AS o3,
                l_quantity - 10 AS temp, 1000 + l_quantity AS pres, l_discount * 10 AS dewp, l_tax AS rain,
                round(l_tax * 50, 4) AS wspm, CASE WHEN p_size <= 40 THEN p_brand END AS wd

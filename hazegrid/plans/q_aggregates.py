@@ -98,8 +98,8 @@ def lag_corr(t: Tables) -> DataFrame:
 
 @query("acf", "b1_hourly", f"""
     WITH f AS (SELECT station, ts, CASE WHEN pm2_5 IS NOT NULL THEN pm2_5 WHEN p.i IS NOT NULL THEN
-                 coalesce(p.x + (n.x - p.x) * (rn - p.i) / (n.i - p.i), p.x) END AS x
-               FROM (SELECT *, last_value({_struct('pm2_5')} IGNORE NULLS) OVER {UP} AS p, first_value({_struct('pm2_5')} IGNORE NULLS) OVER {ON} AS n
+                 coalesce(p.x + (q.x - p.x) * (rn - p.i) / (q.i - p.i), p.x) END AS x
+               FROM (SELECT *, last_value({_struct('pm2_5')} IGNORE NULLS) OVER {UP} AS p, first_value({_struct('pm2_5')} IGNORE NULLS) OVER {ON} AS q
                      FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY ts) AS rn FROM b1_hourly))),
          c AS (SELECT station, x - avg(x) OVER (PARTITION BY station) AS x, row_number() OVER (PARTITION BY station ORDER BY ts) AS rn
                FROM f WHERE x IS NOT NULL),

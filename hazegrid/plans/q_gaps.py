@@ -73,8 +73,8 @@ def impute(t: Tables) -> DataFrame:
 
 @query("interpolate_linear", "b1_hourly", f"""
     SELECT station, ts, round(CASE WHEN pm2_5 IS NOT NULL THEN pm2_5 WHEN p.i IS NOT NULL THEN
-             coalesce(p.x + (n.x - p.x) * (rn - p.i) / (n.i - p.i), p.x) END, 6) AS pm2_5
-    FROM (SELECT *, last_value({_struct('pm2_5')} IGNORE NULLS) OVER {UP} AS p, first_value({_struct('pm2_5')} IGNORE NULLS) OVER {ON} AS n
+             coalesce(p.x + (q.x - p.x) * (rn - p.i) / (q.i - p.i), p.x) END, 6) AS pm2_5
+    FROM (SELECT *, last_value({_struct('pm2_5')} IGNORE NULLS) OVER {UP} AS p, first_value({_struct('pm2_5')} IGNORE NULLS) OVER {ON} AS q
           FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY ts) AS rn FROM b1_hourly))""")
 def interpolate_linear(t: Tables) -> DataFrame:
     return rounded(gaps.interpolate_linear(t.b1_hourly.select(STATION, TS, "pm2_5"), "pm2_5"), ["pm2_5"])
