@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from hazegrid.constants import DATE, FEATURES, N_CLASSES, STATION
 from hazegrid.functions.category import argmax, probabilities
+from hazegrid.session import settle
 
 ID = [STATION, DATE]
 MAX_PIVOTS = 64
@@ -74,13 +75,15 @@ def neighbours(train: DataFrame, query: DataFrame, k: int, features: tuple[str,
     vec = F.array(*[F.col(c).cast("double") for c in features]).alias("v")
     t = train.select(F.col(STATION).alias("t_station"), F.col(DATE).alias("t_date"), F.col(label).cast("int").alias("t_y"), vec)
     q = query.select(*ID, vec)
+    # the tables are read several times below
+    t = settle(t)
     many = max(1, min(max_pivots, t.count() // block))
     chosen = t.orderBy(F.xxhash64("t_station", "t_date"), "t_station", "t_date").limit(many).select("v").collect()
     schema = "station string, date timestamp_ntz, t_station string, t_date timestamp_ntz, t_y int, d2 double"
     if not chosen:
         return spark.createDataFrame([], schema + ", rn int")
     pivots = np.array([r.v for r in chosen])
-    t, q = _assign(t, pivots), _assign(q, pivots)
+    t, q = settle(_assign(t, pivots)), settle(_assign(q, pivots))
     plan = _plan(t, q, pivots, k + 1 if exclude_self else k, block)
     pairs = spark.createDataFrame(plan, "qc int, tc int, lo double, hi double, qn int, tn int")
 

@@ -12,6 +12,7 @@ from hazegrid.learning.dataset import apply_scaler, build_daily_classification
 from hazegrid.operators.documents import docs_to_frame
 from hazegrid.operators.outliers import CAPPED, cap_outliers, fit_fences
 from hazegrid.operators.star import recent_days_by_station
+from hazegrid.session import settle
 
 Weights = tuple[list[list[float]], list[float]]      # [class][feature], [class]
 
@@ -50,7 +51,8 @@ def scored_history(hourly: DataFrame, scaler: DataFrame, weights: Weights, days:
                    fences: DataFrame | None = None) -> DataFrame:
     """The design matrix of each station's last ``days`` days, last day kept, with scores. Fences are
     fitted on the window unless a stored table is given."""
-    recent = recent_days_by_station(hourly, days)
+    # a bounded window per station, read by the fences, the cap and the row positions
+    recent = settle(recent_days_by_station(hourly, days))
     capped = cap_outliers(recent, fences if fences is not None else fit_fences(recent, CAPPED), CAPPED)
     d = build_daily_classification(capped, require_label=False)
     known = d.withColumn("_today", F.col("pm_today"))

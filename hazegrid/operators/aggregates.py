@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hazegrid.constants import CHANNELS, DATE, N_CLASSES, STATION, TARGET, TS
@@ -103,21 +105,25 @@ def acf(df: DataFrame, col: str = TARGET, nlags: int = 200, at: Layout = HOURLY)
     """Autocorrelation up to ``nlags`` rows about the mean of the whole series, gaps filled linearly; cells
     before the first valid one are left out.
 
-    Each block of bounded size, with the rows before it, becomes one array, and a lag is its product with
-    itself shifted. Only one sum per block and lag leaves a task.
+    Each block of bounded size, with the rows before it, becomes one array, and a lag is its dot product
+    with itself shifted. Only one sum per block and lag leaves a task.
     """
     filled = interpolate_linear(df.select(at.key, at.ts, col), col, at).where(F.col(col).isNotNull())
     mean = filled.groupBy(at.key).agg(F.avg(col).alias("_m"))
     centred = filled.join(mean, at.key).select(at.key, at.ts, (F.col(col) - F.col("_m")).alias("_x"))
-    block = (in_blocks(centred, at, nlags, 0).groupBy(at.key, "_block")
-             .agg(F.array_sort(F.collect_list(F.struct("_pos", "_x"))).alias("_a"),
-                  F.count_if(F.col("_home") != F.col("_block")).cast("int").alias("_h"))
-             .select(at.key, "_h", F.col("_a._x").alias("_x"), F.size("_a").alias("_n")))
-    # row j of the block times row j - k, for its own rows with such a predecessor in reach
-    first, pairs = "greatest(_h, k)", "_n - greatest(_h, k)"
-    dot = (f"transform(sequence(0, {nlags}), k -> IF({pairs} <= 0, 0D, aggregate(zip_with("
-           f"slice(_x, {first} + 1, {pairs}), slice(_x, {first} - k + 1, {pairs}), (a, b) -> a * b), 0D, (s, v) -> s + v)))")
-    parts = block.select(at.key, F.posexplode(F.expr(dot)).alias("lag", "s"))
+    blocks = in_blocks(centred, at, nlags, 0).select(
+        at.key, "_block", "_pos", "_x", (F.col("_home") == F.col("_block")).alias("_own"))
+
+    def products(rows: pd.DataFrame) -> pd.DataFrame:
+        """Row j of the block times row j - k, for its own rows with such a predecessor in reach."""
+        rows = rows.sort_values("_pos")
+        x, first = rows["_x"].to_numpy(), int((~rows["_own"]).sum())
+        sums = [float(x[max(first, k):] @ x[max(first, k) - k:len(x) - k]) if k < len(x) else 0.0 for k in range(nlags + 1)]
+        return pd.DataFrame({at.key: rows[at.key].iloc[0], "lag": np.arange(nlags + 1, dtype=np.int32), "s": sums})
+
+    # a few hundred products per row: as array functions this took a thousand times as long per product
+    kind = df.schema[at.key].dataType.simpleString()
+    parts = blocks.groupBy(at.key, "_block").applyInPandas(products, f"`{at.key}` {kind}, lag int, s double")
     # a lag beyond the end of a series has no pair and no value
     n = filled.groupBy(at.key).agg(F.count(F.lit(1)).alias("_n"))
     sums = parts.groupBy(at.key, "lag").agg(F.sum("s").alias("s"))

@@ -18,7 +18,7 @@ from hazegrid.learning.dataset import from_daily, temporal_split
 from hazegrid.operators.cleaning import dedup_first
 from hazegrid.operators.documents import to_documents
 from hazegrid.operators.ordered import DAILY, over_rows
-from hazegrid.session import prepare
+from hazegrid.session import prepare, settle
 from hazegrid.sources.tables import read_table
 
 STEPS = (6, 24, 45, 103, 200, 320)      # class centres of the made-up scores
@@ -137,7 +137,7 @@ class Tables:
         return (one.join(self.table("part", "p_partkey", "p_brand", "p_size"), F.col("p_partkey") == F.col("l_partkey"))
                 .join(self.places, F.col("s_suppkey") == F.col("l_suppkey")).select(
             F.col("s_name").alias(STATION), F.col("r_name").alias("station_type"), F.col("l_shipdate").alias(TS),
-            (F.col("l_extendedprice") / 307).alias("pm2_5"), q.alias("pm10"), d.alias("so2"),
+            (F.col("l_extendedprice") / 307.0009).alias("pm2_5"), q.alias("pm10"), d.alias("so2"),
             F.col("l_tax").alias("no2"), F.col("l_extendedprice").alias("co"), F.col("l_linenumber").cast("double").alias("o3"),
             (q - 10).alias("temp"), (1000 + q).alias("pres"), (d * 10).alias("dewp"), F.col("l_tax").alias("rain"),
             F.round(F.col("l_tax") * 50, 4).alias("wspm"), F.when(F.col("p_size") <= 40, F.col("p_brand")).alias("wd")))
@@ -204,7 +204,8 @@ class Tables:
 
     @cached_property
     def design(self) -> DataFrame:
-        return from_daily(self.b3_daily)
+        """Written once: splitting, scaling and fitting read it again and again."""
+        return settle(from_daily(self.b3_daily))
 
     @cached_property
     def parts(self) -> dict[str, DataFrame]:
@@ -275,7 +276,7 @@ SQL: dict[str, str] = {
         SELECT CAST(s_suppkey + 1 AS INT) AS station_id, s_name AS station_name, r_name AS station_type,
                CAST(s_acctbal / 1000 AS DECIMAL(8,5)) AS latitude, CAST(s_nationkey AS DECIMAL(8,5)) AS longitude FROM b4_places""",
     "b4_wide": """
-        SELECT s_name AS station, r_name AS station_type, l_shipdate AS ts, l_extendedprice / 307 AS pm2_5,
+        SELECT s_name AS station, r_name AS station_type, l_shipdate AS ts, l_extendedprice / 307.0009::DOUBLE AS pm2_5,
                l_quantity AS pm10, l_discount AS so2, l_tax AS no2, l_extendedprice AS co, CAST(l_linenumber AS DOUBLE) AS o3,
                l_quantity - 10 AS temp, 1000 + l_quantity AS pres, l_discount * 10 AS dewp, l_tax AS rain,
                round(l_tax * 50, 4) AS wspm, CASE WHEN p_size <= 40 THEN p_brand END AS wd
