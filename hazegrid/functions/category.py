@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from hazegrid.constants import CATEGORIES, CATEGORY_EDGES, N_CLASSES
@@ -15,8 +17,13 @@ def category_ordinal(value: Column) -> Column:
     return e.otherwise(F.lit(len(CATEGORY_EDGES)))
 
 
+def named(ordinal: Column, names: tuple[str, ...]) -> Column:
+    """The name of a number 0, 1, ...; NULL for NULL (``element_at`` on a literal array gives a name then)."""
+    return reduce(lambda e, i: e.when(ordinal == i, names[i]), range(1, len(names)), F.when(ordinal == 0, names[0]))
+
+
 def category_label(ordinal: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), ordinal + 1)
+    return named(ordinal, CATEGORIES)
 
 
 def category(value: Column) -> Column:

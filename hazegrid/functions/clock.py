@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, functions as F
 
 from hazegrid.constants import HEATING_MONTHS, SEASONS
+from hazegrid.functions.category import named
 
 NTZ = "timestamp_ntz"
 EPOCH = "1970-01-01 00:00:00"
@@ -30,8 +31,7 @@ def is_weekend(ts: Column) -> Column:
 
 
 def season(ts: Column) -> Column:
-    slot = F.floor((F.month(ts) % 12) / 3).cast("int")
-    return F.element_at(F.array(*[F.lit(s) for s in SEASONS]), slot + 1)
+    return named(F.floor((F.month(ts) % 12) / 3).cast("int"), SEASONS)
 
 
 def cycle(part: Column, period: float) -> tuple[Column, Column]:

@@ -71,7 +71,7 @@ def fit_scaler(df: DataFrame, cols: tuple[str, ...] = FEATURES) -> DataFrame:
 def apply_scaler(df: DataFrame, scaler: DataFrame, cols: tuple[str, ...] = FEATURES) -> DataFrame:
     one = scaler.select(F.struct(*scaler.columns)).scalar()
     j = df.withColumn("_sc", one)
-    return j.withColumns({c: (F.col(c) - F.col(f"_sc.mu_{c}")) / F.col(f"_sc.sd_{c}") for c in cols}).drop("_sc")
+    return j.withColumns({c: F.expr(f"(`{c}` - _sc.mu_{c}) / _sc.sd_{c}") for c in cols}).drop("_sc")
 
 
 def standardize(train: DataFrame, *others: DataFrame, cols: tuple[str, ...] = FEATURES) -> list[DataFrame]:

@@ -22,7 +22,7 @@ def score_softmax(df: DataFrame, weights: Weights, features: tuple[str, ...] = F
     w, bias = weights
 
     def logit(c: int) -> Column:
-        return reduce(lambda a, b: a + b, [F.col(f) * F.lit(w[c][i]) for i, f in enumerate(features)]) + F.lit(bias[c])
+        return F.expr(" + ".join([f"`{f}` * {float(x)!r}D" for f, x in zip(features, w[c])] + [f"{float(bias[c])!r}D"]))
 
     z = df.withColumns({f"_z{c}": logit(c) for c in range(N_CLASSES)})
     top = F.greatest(*[f"_z{c}" for c in range(N_CLASSES)])
@@ -47,36 +47,40 @@ def top_classes(scored: DataFrame, n: int = 3) -> DataFrame:
                     category_label(F.col("_c.class")).alias("category"), (-F.col("_c.neg")).alias("probability")))
 
 
-def scored_history(hourly: DataFrame, scaler: DataFrame, weights: Weights, days: int = 200,
-                   fences: DataFrame | None = None) -> DataFrame:
-    """The design matrix of each station's last ``days`` days, last day kept, with scores. Fences are
-    fitted on the window unless a stored table is given."""
+def recent_design(hourly: DataFrame, days: int = 200, fences: DataFrame | None = None) -> DataFrame:
+    """The design matrix of each station's last ``days`` days, last day kept. Fences are fitted on the window
+    unless a stored table is given."""
     # a bounded window per station, read by the fences, the cap and the row positions
     recent = settle(recent_days_by_station(hourly, days))
     capped = cap_outliers(recent, fences if fences is not None else fit_fences(recent, CAPPED), CAPPED)
-    d = build_daily_classification(capped, require_label=False)
-    known = d.withColumn("_today", F.col("pm_today"))
-    return score_softmax(apply_scaler(known, scaler), weights)
+    return build_daily_classification(capped, require_label=False)
 
 
 def forecast_next_day(docs: DataFrame, scaler: DataFrame, weights: Weights, days: int = 200, least: int = 5,
                       fences: DataFrame | None = None) -> DataFrame:
-    """One row per station with at least ``least`` feature days: tomorrow's category."""
-    scored = scored_history(docs_to_frame(docs), scaler, weights, days, fences)
-    last = scored.groupBy(STATION).agg(
-        F.count(F.lit(1)).alias("feature_days"),
-        F.max_by(F.struct(DATE, "_today", "prediction", "confidence", *probabilities()), DATE).alias("_l"))
-    return last.where(F.col("feature_days") >= least).select(
-        STATION, "feature_days", (F.col(f"_l.{DATE}") + F.expr("INTERVAL 1 DAY")).alias("forecast_date"),
-        category(F.col("_l._today")).alias("today_category"), category_label(F.col("_l.prediction")).alias("forecast_category"),
-        F.col("_l.confidence").alias("confidence"), *[F.col(f"_l.{p}").alias(p) for p in probabilities()])
-
-
-def backtest(scored: DataFrame, days: int = 90) -> DataFrame:
-    """Accuracy over each station's last ``days`` rows whose next category is known."""
+    """One row per station with at least ``least`` feature days: tomorrow's category. Only the last day of each
+    station is scored."""
+    d = recent_design(docs_to_frame(docs), days, fences)
+    last = d.groupBy(STATION).agg(F.count(F.lit(1)).alias("feature_days"), F.max_by(F.struct(DATE, *FEATURES), DATE).alias("_l"))
+    last = last.where(F.col("feature_days") >= least).select(STATION, "feature_days", "_l.*")
+    today = last.withColumn("today_category", category(F.col("pm_today")))
+    scored = score_softmax(apply_scaler(today, scaler), weights)
+    return scored.select(
+        STATION, "feature_days", (F.col(DATE) + F.expr("INTERVAL 1 DAY")).alias("forecast_date"), "today_category",
+        category_label(F.col("prediction")).alias("forecast_category"), "confidence", *probabilities())
+
+
+def last_known(design: DataFrame, days: int = 90) -> DataFrame:
+    """Each station's last ``days`` rows whose next category is known; at most that many per station and
+    task are shuffled."""
     w = Window.partitionBy(STATION).orderBy(F.col(DATE).desc())
-    known = scored.where("y IS NOT NULL").withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= days)
-    return known.groupBy(STATION).agg(F.count(F.lit(1)).alias("days"),
-                                      F.avg((F.col("y") == F.col("prediction")).cast("int")).alias("accuracy"))
+    return design.where("y IS NOT NULL").withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= days).drop("_rn")
 
 
+def backtest(hourly: DataFrame, scaler: DataFrame, weights: Weights, window: int = 200, days: int = 90,
+             fences: DataFrame | None = None) -> DataFrame:
+    """Accuracy of the next-day category over each station's last ``days`` known rows."""
+    known = last_known(recent_design(hourly, window, fences), days)
+    scored = score_softmax(apply_scaler(known, scaler), weights)
+    return scored.groupBy(STATION).agg(F.count(F.lit(1)).alias("days"),
+                                       F.avg((F.col("y") == F.col("prediction")).cast("int")).alias("accuracy"))

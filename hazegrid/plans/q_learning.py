@@ -187,7 +187,7 @@ def forecast_next_day(t: Tables) -> DataFrame:
     SELECT station, count(*) AS days, round(avg(CAST(y = prediction AS INT)), 6) AS accuracy
     FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY date DESC) AS rn FROM scored WHERE y IS NOT NULL) WHERE rn <= 90 GROUP BY 1""")
 def backtest(t: Tables) -> DataFrame:
-    return rounded(scoring.backtest(scoring.scored_history(t.b3_hourly, scaler(t), WEIGHTS)), ["accuracy"])
+    return rounded(scoring.backtest(t.b3_hourly, scaler(t), WEIGHTS), ["accuracy"])
 
 
 # ----------------------------------------------------------------- models; the optimiser's path has no SQL form
