@@ -19,9 +19,10 @@ def add_datetime(df: DataFrame, strict: bool = True) -> DataFrame:
 def as_number(c: Column) -> Column:
     """Text to DOUBLE; text that is no number, and NaN, become NULL."""
     text = F.trim(c.cast("string"))
-    # Java also reads '1d' and '1f' as numbers
-    v = F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double"))
-    return F.when(~F.isnan(v), v)
+    v = text.try_cast("double")
+    # Java also reads '1d' and '1f' as numbers, but 'inf' is one
+    suffixed = F.lower(F.substring(text, -1, 1)).isin("d", "f") & (F.abs(v) != float("inf"))
+    return F.when(v.isNotNull() & ~F.isnan(v) & ~suffixed, v)
 
 
 def coerce_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:

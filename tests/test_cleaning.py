@@ -9,9 +9,9 @@ from hazegrid.sources.readings import read_readings
 
 
 def test_numbers_from_text(spark):
-    texts = ["1.5", "NA", "abc", "", "nan", "-3", " 7 ", "1d", "2f", "1e3"]
+    texts = ["1.5", "NA", "abc", "", "nan", "-3", " 7 ", "1d", "2f", "1e3", "inf"]
     df = spark.createDataFrame([(t,) for t in texts], "pm2_5 string")
-    assert [r[0] for r in cleaning.coerce_numeric(df, ["pm2_5"]).collect()] == [1.5, None, None, None, None, -3.0, 7.0, None, None, 1000.0]
+    assert [r[0] for r in cleaning.coerce_numeric(df, ["pm2_5"]).collect()] == [1.5, None, None, None, None, -3.0, 7.0, None, None, 1000.0, float("inf")]
 
 
 def test_clean_keeps_first_and_drops_negatives(spark):

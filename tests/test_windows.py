@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazegrid.operators import aggregates, features, quality, quantiles
-from hazegrid.operators.ordered import Layout, ordered_ids, with_position
+from hazegrid.operators.ordered import Layout, in_blocks, ordered_ids, with_position
 
 TINY = Layout(chunk_days=0.4, block_rows=7)
 
@@ -56,6 +56,13 @@ def test_positions_are_consecutive(data):
         assert list(g["_pos"]) == list(range(1, len(g) + 1))
 
 
+def test_no_group_grows_with_a_station(data):
+    """Whatever a station holds, a block has its own rows and the halo, and a chunk what fits into its time."""
+    blocks = in_blocks(data, TINY, 5, 2).groupBy("station", "_block").count().agg(F.max("count")).first()[0]
+    chunks = TINY.timed(data).groupBy("station", "_chunk").count().agg(F.max("count")).first()[0]
+    assert blocks <= 7 + 5 + 2 and chunks <= 10
+
+
 def test_acf_matches_definition(data):
     rows = aggregates.acf(data, nlags=50, at=TINY).where("station = 'hot'").collect()
     s = by_station(data)["hot"]["pm2_5"].interpolate().dropna().to_numpy()
