@@ -125,9 +125,13 @@ def neighbours(train: DataFrame, query: DataFrame, k: int, features: tuple[str,
     return found.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
 
 
+def votes(near: DataFrame, k: int) -> DataFrame:
+    """Share of the k nearest rows per class (p0..p5) and the class with most votes, ties to the lowest."""
+    shares = near.where(F.col("rn") <= k).groupBy(*ID).agg(
+        *[(F.count_if(F.col("t_y") == c) / F.lit(float(k))).alias(f"p{c}") for c in range(N_CLASSES)])
+    return shares.withColumn("prediction", argmax([F.col(p) for p in probabilities()]))
+
+
 def knn_predict(train: DataFrame, query: DataFrame, k: int, features: tuple[str, ...] = FEATURES, label: str = "y",
                 exclude_self: bool = False, block: int = 4096, max_pivots: int = MAX_PIVOTS) -> DataFrame:
-    """Share of the k neighbours per class (p0..p5) and the class with most votes, ties to the lowest."""
-    near = neighbours(train, query, k, features, label, exclude_self, block, max_pivots)
-    votes = near.groupBy(*ID).agg(*[(F.count_if(F.col("t_y") == c) / F.lit(float(k))).alias(f"p{c}") for c in range(N_CLASSES)])
-    return votes.withColumn("prediction", argmax([F.col(p) for p in probabilities()]))
+    return votes(neighbours(train, query, k, features, label, exclude_self, block, max_pivots), k)

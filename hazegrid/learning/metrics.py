@@ -47,6 +47,18 @@ def macro_f1(cm: DataFrame) -> DataFrame:
     return class_report(cm).agg(F.avg("f1").alias("macro_f1"))
 
 
+def summary(df: DataFrame, label: str = "y", prediction: str = "prediction") -> DataFrame:
+    """Accuracy and macro-F1 of a prediction in one pass over it, without a shuffle but the final merge."""
+    y, p = F.col(label), F.col(prediction)
+    classes = range(N_CLASSES)
+    one = df.agg(F.avg((y == p).cast("int")).alias("accuracy"),
+                 *[F.count_if((y == c) & (p == c)).alias(f"t{c}") for c in classes],
+                 *[(F.count_if(y == c) + F.count_if(p == c)).alias(f"s{c}") for c in classes])
+    # 2 P R / (P + R) with P = t / predicted and R = t / actual
+    f1 = [F.when(F.col(f"t{c}") > 0, 2 * F.col(f"t{c}") / F.col(f"s{c}")).otherwise(0.0) for c in classes]
+    return one.select("accuracy", (sum(f1[1:], f1[0]) / N_CLASSES).alias("macro_f1"))
+
+
 def score_counts(df: DataFrame, label: str = "y") -> DataFrame:
     """Positives and negatives per class and distinct score; the combine runs before the shuffle."""
     probs = probabilities()

@@ -20,7 +20,7 @@ def fit_logreg(df: DataFrame, l2: float = 1e-3, features: tuple[str, ...] = FEAT
     """Multinomial logistic regression with an L2 penalty on the coefficients and none on the intercepts, brought
     to its optimum. Inputs must already be standardised."""
     lr = LogisticRegression(featuresCol="_features", labelCol=label, family="multinomial", regParam=l2,
-                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-8)
+                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-7)
     if weight:
         lr = lr.setWeightCol(weight)
     return _fit(lr, df, features, label)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from hazegrid.constants import DATE, FEATURES, LAG_FEATURES, STATION
 from hazegrid.learning import metrics
 from hazegrid.learning.dataset import predict_majority, predict_persistence, standardize, temporal_split, with_weights
-from hazegrid.learning.knn import knn_predict
+from hazegrid.learning.knn import knn_predict, neighbours, votes
 from hazegrid.learning.models import fit_logreg, fit_mlp, predict
 from hazegrid.operators.ordered import ordered_ids
 from hazegrid.session import settle
@@ -43,11 +43,11 @@ class Parts:
 
 def score(predicted: DataFrame) -> float:
     """Macro-F1 of a prediction."""
-    return metrics.macro_f1(metrics.confusion(predicted)).first().macro_f1
+    return metrics.summary(predicted).first().macro_f1
 
 
-def with_truth(votes: DataFrame, truth: DataFrame) -> DataFrame:
-    return votes.join(truth.select(STATION, DATE, "y"), [STATION, DATE])
+def with_truth(predicted: DataFrame, truth: DataFrame) -> DataFrame:
+    return predicted.join(truth.select(STATION, DATE, "y"), [STATION, DATE])
 
 
 def select_param(grid: tuple, run: Callable[[object], DataFrame]) -> tuple[object, dict]:
@@ -61,7 +61,9 @@ def select_l2(p: Parts) -> tuple[float, dict]:
 
 
 def select_k(p: Parts) -> tuple[int, dict]:
-    return select_param(K_GRID, lambda k: with_truth(knn_predict(p.train, p.val, k), p.val))
+    """The neighbours of the largest k hold those of the others, so they are sought once."""
+    near = settle(neighbours(p.train, p.val, max(K_GRID)))
+    return select_param(K_GRID, lambda k: with_truth(votes(near, k), p.val))
 
 
 def select_hidden(p: Parts) -> tuple[int, dict]:
@@ -102,9 +104,9 @@ def learning_curve(p: Parts, l2: float = 1e-3, fractions: tuple[float, ...] = CU
 
 
 def _run(name: str, kind: str, setting: str, deployable: bool, train: DataFrame, test: DataFrame) -> tuple:
-    def acc(d: DataFrame) -> float:
-        return metrics.accuracy(d).first().accuracy
-    return name, kind, setting, deployable, round(acc(train), 3), round(acc(test), 3), round(score(test), 3)
+    on_test = metrics.summary(test).first()
+    return (name, kind, setting, deployable, round(metrics.accuracy(train).first().accuracy, 3),
+            round(on_test.accuracy, 3), round(on_test.macro_f1, 3))
 
 
 def run_experiments(p: Parts) -> list[tuple]:

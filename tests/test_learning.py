@@ -79,6 +79,8 @@ def test_metrics_match_numpy(scored):
     pr, rc = tp / np.maximum(cm.sum(0), 1), tp / np.maximum(cm.sum(1), 1)
     f1 = np.where(pr + rc > 0, 2 * pr * rc / np.where(pr + rc > 0, pr + rc, 1), 0)
     assert math.isclose(metrics.macro_f1(metrics.confusion(d)).first().macro_f1, f1.mean())
+    one = metrics.summary(d).first()
+    assert math.isclose(one.macro_f1, f1.mean()) and math.isclose(one.accuracy, (y == p).mean())
     # area by pair counting
     aucs = []
     for c in range(5):
