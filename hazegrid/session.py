@@ -35,10 +35,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in local tests, a fresh folder is made.
+    Where the session names none, a local master gets a fresh folder; on a cluster that is an error, since
+    executors would each write to a disk of their own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share (master is {master})")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
