@@ -215,7 +215,7 @@ def _scored(frame: DataFrame, model: Gam, threshold: float) -> DataFrame:
                 [*(batch.column(c) for c in others), pa.array(p, pa.float64()), pa.array(p >= threshold).cast(pa.int32())],
                 [*others, "score", "predicted"])
 
-    schema = StructType([frame.schema[c] for c in others]).add("score", "double").add("predicted", "int")
+    schema = StructType([frame.schema[c] for c in others]).add("score", "double").add("predicted", "integer")
     return frame.mapInArrow(run, schema)
 
 
