@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from hazegrid.llm import gam, langid, repetition
+from hazegrid.llm import gam, langid, packing, repetition, simhash
 from hazegrid.llm.common import fold, table
 
 
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetition_report(table(spark, folder, "documents"))
 
@@ -25,10 +29,16 @@ def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("held_out", fold("doc_id", 4) == 2).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op5_repetition": op5_repetition,
     "op7_gam": op7_gam,
     "op9_langid": op9_langid,
+    "op10_packing": op10_packing,
 }
 
 
