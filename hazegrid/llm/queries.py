@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hazegrid.llm import gam, langid, packing, repetition, simhash
+from hazegrid.llm import gam, langid, mixing, packing, repetition, simhash
 from hazegrid.llm.common import fold, table
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -34,6 +38,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op5_repetition": op5_repetition,
     "op7_gam": op7_gam,
@@ -82,6 +87,43 @@ SELECT * EXCLUDE (n_all), ({failed}) AS base_failed,
 FROM m"""
 
 
+#: Rounds as in the operator; a recursive query fills their slots one after another.
+_MIXING_SQL = f"""
+WITH RECURSIVE numbered AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS key,
+         row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id) - 1 AS nth
+  FROM documents),
+blocked AS (SELECT *, nth // {mixing.BLOCK_DOCS} AS block, nth % {mixing.BLOCK_DOCS} AS place FROM numbered),
+sized AS (SELECT key, max(block) + 1 AS m FROM blocked GROUP BY key),
+units AS (
+  SELECT key, m, greatest(1, round({float(mixing.ROUND_BLOCKS)} * sqrt(m::DOUBLE) / sum(sqrt(m::DOUBLE)) OVER ()))::BIGINT AS a FROM sized),
+kinds AS (
+  SELECT k0, coalesce(lead(k0) OVER (ORDER BY k0), 4611686018427387904) AS k1
+  FROM (SELECT 0 AS k0 UNION SELECT m // a FROM units UNION SELECT m // a + 1 FROM units)),
+rounds AS (
+  SELECT k0, k1, list(key ORDER BY key) AS keys, list(c ORDER BY key) AS c, sum(c)::BIGINT AS r, sum(done)::BIGINT AS start
+  FROM (SELECT k0, k1, key, greatest(0, least(a, m - k0 * a)) AS c, least(m, k0 * a) AS done FROM kinds, units)
+  GROUP BY k0, k1 HAVING sum(c) > 0),
+slots AS (
+  SELECT k0, c, r, -1::BIGINT AS t, list_transform(c, lambda v: 0::BIGINT) AS taken, 0::BIGINT AS i, 0::BIGINT AS x FROM rounds
+  UNION ALL
+  SELECT k0, c, r, t, list_transform(taken, lambda v, j: v + (j = best)::BIGINT), best, taken[best]
+  FROM (
+    SELECT k0, c, r, t + 1 AS t, taken,
+           list_sort(list_filter(list_transform(range(1, len(c) + 1), lambda j:
+             CASE WHEN taken[j] < c[j] AND (taken[j] * r) // c[j] <= t + 1
+                  THEN {{'d': ((taken[j] + 1) * r + c[j] - 1) // c[j], 'j': j}} END), lambda s: s IS NOT NULL))[1].j AS best
+    FROM slots WHERE t + 1 < r)),
+plan AS (
+  SELECT keys[i] AS key, x, k0, k1, r, start, t AS slot, (x * r) // s.c[i] AS release, ((x + 1) * r + s.c[i] - 1) // s.c[i] AS deadline
+  FROM slots s JOIN rounds USING (k0, r) WHERE t >= 0)
+SELECT doc_id, source, block, start + (block // a - k0) * r + slot AS slot, place,
+       start + (block // a - k0) * r + release AS release, start + (block // a - k0) * r + deadline AS deadline
+FROM blocked JOIN units USING (key) JOIN plan USING (key)
+WHERE x = block % a AND block // a >= k0 AND block // a < k1"""
+
+
 ORACLE_SQL = {
+    "op1_mixing": _MIXING_SQL,
     "op5_repetition": _repetition_sql(),
 }
