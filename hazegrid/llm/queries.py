@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazegrid.llm import ann, chat, gam, langid, mixing, packing, repetition, simhash
+from hazegrid.llm import ann, chat, gam, langid, mixing, packing, repetition, simhash, warc
 from hazegrid.llm.common import fold, keep, table
+from hazegrid.session import scratch_path
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,6 +28,12 @@ def op5_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetition_report(table(spark, folder, "documents"))
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = scratch_path(spark, "warc")
+    warc.write_archives(warc.deduplicated(table(spark, folder, "pages")), archives)
+    return warc.page_records(warc.read_archives(spark, archives))
+
+
 def op7_gam(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = gam.train(docs, table(spark, folder, "labels"))
@@ -59,6 +66,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_forest": op3_forest,
     "op5_repetition": op5_repetition,
+    "op6_warc": op6_warc,
     "op7_gam": op7_gam,
     "op8_chat": op8_chat,
     "op9_langid": op9_langid,
@@ -160,7 +168,20 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM s GROUP BY conv_id"""
 
 
+_WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, n, h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(h, 1 + 10 * (j // 8), 10))::BIGINT >> (35 - 5 * (j % 8))) & 31) + 1)::INT, 1), '' ORDER BY j) AS digest
+  FROM p, (SELECT unnest(range(0, 32)) AS j) GROUP BY page_id, n, h),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS newest FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> newest THEN newest END AS refers_to FROM m"""
+
+
 ORACLE_SQL = {
+    "op6_warc": _WARC_SQL,
     "op8_chat": _CHAT_SQL,
     "op1_mixing": _MIXING_SQL,
     "op5_repetition": _repetition_sql(),
