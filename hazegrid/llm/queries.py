@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazegrid.llm import ann, chat, gam, langid, mixing, packing, repetition, simhash, warc
+from hazegrid.llm import ann, chat, gam, langid, lm, mixing, packing, repetition, simhash, warc
 from hazegrid.llm.common import fold, keep, table
 from hazegrid.session import scratch_path
 
@@ -24,6 +24,11 @@ def op3_forest(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
+def op4_mixing_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return lm.score(docs, fold("doc_id", 7) == 2)
+
+
 def op5_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetition_report(table(spark, folder, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op3_forest": op3_forest,
+    "op4_mixing_lm": op4_mixing_lm,
     "op5_repetition": op5_repetition,
     "op6_warc": op6_warc,
     "op7_gam": op7_gam,
