@@ -130,16 +130,57 @@ def _tiled(rows: DataFrame, radius: int, tile: int) -> DataFrame:
                     "tile", "pop", "fp"))
 
 
-def _near(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    far = np.zeros((len(a), len(b)), np.uint16)
-    for lane in range(a.shape[1]):
-        far += np.bitwise_count(a[:, lane, None] ^ b[None, :, lane])
-    return np.nonzero(far <= radius)
-
-
-def _compare(fp: np.ndarray, pop: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int) -> list[np.ndarray]:
-    """Pairs of row numbers within the radius; left and right are row numbers ordered by population count."""
-    out = []
+def spanning(pairs: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of numbers with a distance, a spanning forest of least distances: in every round each component takes
+    its nearest pair to another one. Two forests' union has the same forest as all their pairs."""
+    if not len(pairs):
+        return pairs, far
+    nodes, where = np.unique(pairs, return_inverse=True)
+    a, b = where.reshape(-1, 2).T
+    rank = np.empty(len(pairs), np.int64)       # distances with ties told apart
+    rank[np.lexsort((pairs[:, 1], pairs[:, 0], far))] = np.arange(len(pairs))
+    at_rank = np.argsort(rank)
+    label, live, taken = np.arange(len(nodes)), np.arange(len(pairs)), []
+    while len(live := live[label[a[live]] != label[b[live]]]):
+        best = np.full(len(nodes), len(pairs))
+        for end in (a, b):
+            np.minimum.at(best, label[end[live]], rank[live])
+        found = at_rank[np.unique(best[best < len(pairs)])]
+        taken.append(found)
+        while True:                              # the components that now belong together take the smallest label
+            low = np.minimum(label[a[found]], label[b[found]])
+            root = np.arange(len(nodes))
+            np.minimum.at(root, label[a[found]], low)
+            np.minimum.at(root, label[b[found]], low)
+            if (root == np.arange(len(nodes))).all():
+                break
+            label = root[label]
+    keep_ = np.sort(np.concatenate(taken)) if taken else np.zeros(0, np.int64)
+    return pairs[keep_], far[keep_]
+
+
+class _Forest:
+    """Pairs as they are found, reduced to a spanning forest whenever there are many."""
+
+    def __init__(self, most: int = 1 << 20):
+        self.pairs, self.far, self.held, self.most = [], [], 0, most
+
+    def add(self, pairs: np.ndarray, far: np.ndarray) -> None:
+        self.pairs.append(pairs)
+        self.far.append(far)
+        self.held += len(pairs)
+        if self.held > self.most:
+            pairs, far = self.result()
+            self.pairs, self.far, self.held = [pairs], [far], 0
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.pairs:
+            return np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
+        return spanning(np.concatenate(self.pairs), np.concatenate(self.far))
+
+
+def _compare(fp: np.ndarray, pop: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int, found: _Forest) -> None:
+    """Adds pairs of row numbers within the radius; left and right are row numbers ordered by population count."""
     same = left is right
     for i in range(0, len(left), STEP):
         a = left[i:i + STEP]
@@ -147,32 +188,19 @@ def _compare(fp: np.ndarray, pop: np.ndarray, left: np.ndarray, right: np.ndarra
             b = right[j:j + STEP]
             if pop[b[0]] - pop[a[-1]] > radius or pop[a[0]] - pop[b[-1]] > radius:
                 continue
-            x, y = _near(fp[a], fp[b], radius)
+            far = np.zeros((len(a), len(b)), np.uint16)
+            for lane in range(fp.shape[1]):
+                far += np.bitwise_count(fp[a, lane][:, None] ^ fp[b, lane][None, :])
+            x, y = np.nonzero(far <= radius)
             if same and i == j:
                 x, y = x[x < y], y[x < y]
-            out.append(np.stack([a[x], b[y]], 1))
-    return out
-
-
-def forest(pairs: np.ndarray, n: int) -> np.ndarray:
-    """Smallest reachable number of each of 0..n-1 along pairs of numbers."""
-    label = np.arange(n)
-    while len(pairs):
-        low = np.minimum(label[pairs[:, 0]], label[pairs[:, 1]])
-        new = label.copy()
-        np.minimum.at(new, pairs[:, 0], low)
-        np.minimum.at(new, pairs[:, 1], low)
-        np.minimum.at(new, label[pairs[:, 0]], low)
-        np.minimum.at(new, label[pairs[:, 1]], low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    return label
+            if len(x):
+                found.add(np.stack([a[x], b[y]], 1), far[x, y].astype(np.int64))
 
 
 def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]], tile: int = TILE) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints: a spanning forest, for each task, of the pairs within the radius."""
+    """Pairs (a, b) of distinct fingerprints within the radius: of all that a batch of a task finds, a spanning forest
+    of least distances."""
     rows = keep(_bucketed(classes, blocks, lanes), "buckets")
     tiled = _tiled(rows, radius, tile)
 
@@ -184,32 +212,30 @@ def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]],
             starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(pop)]))
             small = (ends - starts <= 64) & (ti[starts] == tj[starts])
             mark = np.repeat(np.where(small, np.arange(len(starts)), -1), ends - starts)
-            found = []
+            found = _Forest()
             for d in range(1, int((ends - starts)[small].max(initial=1))):  # all small groups at once
                 at = np.flatnonzero((mark[d:] == mark[:-d]) & (mark[d:] >= 0) & (pop[d:] - pop[:-d] <= radius))
                 if len(at):
                     far = np.bitwise_count(fp[at] ^ fp[at + d]).sum(1, dtype=np.int64)
-                    found.append(np.stack([at, at + d], 1)[far <= radius])
+                    found.add(np.stack([at, at + d], 1)[far <= radius], far[far <= radius])
             for s, e in zip(starts[~small], ends[~small]):
                 every = np.arange(s, e)
                 if ti[s] == tj[s]:
-                    found += _compare(fp, pop, every, every, radius)
+                    _compare(fp, pop, every, every, radius, found)
                 else:
                     left, right = every[own[s:e] == ti[s]], every[own[s:e] == tj[s]]
                     if len(left) and len(right):
-                        found += _compare(fp, pop, left, right, radius)
-            pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+                        _compare(fp, pop, left, right, radius, found)
+            pairs, far = found.result()
             if not len(pairs):
                 return None
             rows_in = np.unique(pairs)
-            nodes, where = np.unique(fp[rows_in], axis=0, return_inverse=True)
+            nodes, where = np.unique(fp[rows_in], axis=0, return_inverse=True)  # a fingerprint stands in many blocks
             number = np.zeros(len(pop), np.int64)
             number[rows_in] = where.reshape(-1)
-            root = forest(number[pairs], len(nodes))
-            at = np.flatnonzero(root != np.arange(len(nodes)))
+            pairs, _ = spanning(np.sort(number[pairs], axis=1), far)
             text = [x.tobytes() for x in nodes.astype(">u8")]
-            return pa.RecordBatch.from_arrays([pa.array([text[i] for i in at], pa.binary()),
-                                               pa.array([text[root[i]] for i in at], pa.binary())], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([text[i] for i in col], pa.binary()) for col in pairs.T], ["a", "b"])
 
         rest = None
         for batch in batches:
@@ -236,20 +262,42 @@ def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]],
     return tiled.repartition(*keys).sortWithinPartitions(*keys, "pop").mapInArrow(run, "a binary, b binary")
 
 
-def groups(prints: DataFrame, radius: int, lanes: int = 1, blocks: list[list[int]] | None = None, tile: int = TILE) -> DataFrame:
-    """Columns ``fp`` and ``first`` for each distinct fingerprint of ``prints`` (which is read several times: write it).
-
-    ``first`` is the smallest (no_id, id, text_hash) of the fingerprint's group; null ids come after all others.
-    """
+def classes_of(prints: DataFrame) -> DataFrame:
+    """Distinct fingerprints (``fp``) with their smallest (no_id, id, text_hash); null ids come after all others."""
     who = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
-    classes = keep(prints.groupBy("fp").agg(F.min(who).alias("least")), "classes")
-    found = components(links(classes, radius, lanes, blocks or exact_blocks(64 * lanes, radius), tile))
+    return keep(prints.groupBy("fp").agg(F.min(who).alias("least")), "classes")
+
+
+def groups(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Columns ``fp`` and ``first`` (the smallest ``least`` of the fingerprint's group) for all classes."""
+    found = components(edges)
     rooted = keep(classes.join(found, classes["fp"] == found["node"], "left")
                   .select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))
     return keep(rooted.join(first, "root").select("fp", "first"), "groups")
 
 
+def similar(docs: DataFrame, classes: DataFrame, edges: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The edges whose fingerprints' first documents have at least the Jaccard similarity, by their distinct shingles."""
+    edges = keep(edges.distinct(), "edges")
+    ends = edges.select(F.col("a").alias("end")).union(edges.select("b")).distinct()
+    ends = keep(ends.join(classes, ends["end"] == classes["fp"]).select("fp", F.col("least.id").alias("e_id"), F.col("least.text_hash").alias("e_hash")), "ends")
+    texts = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].cast("binary").alias("text"))
+    same = texts["id"].eqNullSafe(ends["e_id"]) & (texts["text_hash"] == ends["e_hash"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t.as_py() or b"", words)).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["fp", "shingles"])
+
+    sets = texts.join(ends, same).select("fp", "text").mapInArrow(run, "fp binary, shingles array<long>")
+    sets = keep(sets.groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingles")  # repeated rows have the same
+    one, two = (sets.select(F.col("fp").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
+    both = F.size(F.array_intersect("s_a", "s_b"))
+    return (edges.join(one, "a").join(two, "b")
+            .where(both >= F.lit(similarity) * (F.size("s_a") + F.size("s_b") - both)).select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
                     tile: int = TILE) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable).
@@ -260,25 +308,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives an empty result.
     """
     prints = keep(fingerprints(docs, id_col, text_col, words), "prints")
-    found = groups(prints, radius, tile=tile).select("fp", F.col("first.id").alias("component_id"))
+    classes = classes_of(prints)
+    found = groups(classes, links(classes, radius, 1, exact_blocks(64, radius), tile))
+    found = found.select("fp", F.col("first.id").alias("component_id"))
     return prints.join(found, "fp").select(F.col("id").alias(id_col), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                      similarity: float = 0.8, lanes: int = 4, slack: float = 1.1) -> DataFrame:
+                      similarity: float = 0.8, lanes: int = 4, slack: float = 2.0) -> DataFrame:
     """``docs`` with one row of each group of near copies, its columns unchanged: the one with the smallest id.
 
-    Fingerprints of ``lanes`` x 64 bits over ``words``-word shingles estimate the Jaccard similarity of texts. They
-    link up to the number of differing bits expected at ``similarity``, plus ``slack`` standard deviations. Buckets
-    come from sampled bits, with a recall of 0.99 at that similarity and more above it; equal fingerprints always
-    meet. Null texts are copies of the empty one; among equal ids the row with the smallest text hash stays, of
-    repeated rows one; a null id loses to any other. An empty table gives an empty result.
+    Fingerprints of ``lanes`` x 64 bits over ``words``-word shingles estimate the Jaccard similarity of texts. Those that
+    differ in no more bits than are expected at ``similarity``, plus ``slack`` standard deviations, are candidates;
+    buckets come from sampled bits. A spanning forest of least distances of the candidates is checked exactly, on the
+    sets of shingles, and the pairs that are similar make the groups. Equal fingerprints need no check.
+    Null texts are copies of the empty one; among equal ids the row with the smallest text hash stays, of repeated rows
+    one; a null id loses to any other. An empty table gives an empty result.
     """
     bits = 64 * lanes
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     radius = round(bits * share + slack * math.sqrt(bits * share * (1 - share)))
     prints = keep(fingerprints(docs, id_col, text_col, words, lanes), "prints")
-    found = groups(prints, radius, lanes, sampled_blocks(bits, prints.count(), similarity))
+    classes = classes_of(prints)
+    edges = links(classes, radius, lanes, sampled_blocks(bits, classes.count(), similarity))
+    found = groups(classes, similar(docs, classes, edges, words, similarity, id_col, text_col))
     rows = prints.join(found, "fp")
     stays = F.col("id").eqNullSafe(F.col("first.id")) & F.col("text_hash").eqNullSafe(F.col("first.text_hash"))
     gone = keep(rows.where(~stays).select("id", "text_hash").distinct(), "gone")
