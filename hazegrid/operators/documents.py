@@ -61,7 +61,7 @@ def doc_latest(docs: DataFrame, station: str) -> DataFrame:
     return docs.where(F.col(STATION) == station).orderBy(F.col("timestamp").desc()).limit(1)
 
 
-def doc_range(docs: DataFrame, station: str, lo: Column, hi: Column, limit: int | None = 1000) -> DataFrame:
+def doc_range(docs: DataFrame, station: str, lo: Column, hi: Column, limit: int | None = None) -> DataFrame:
     """Documents of one station between two times in time order; an unknown station gives none."""
     out = docs.where((F.col(STATION) == station) & F.col("timestamp").between(lo, hi)).orderBy("timestamp")
     return out.limit(limit) if limit else out

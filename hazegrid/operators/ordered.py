@@ -11,7 +11,8 @@ may hold a third of all rows. Two layouts avoid that and stay exact:
   grouped by (station, position div block), and the last rows of a block are copied to the next
   one as a halo. Blocks have equal size, whatever the time density of a station is.
 
-Rows must have a station and a time, and be unique on both (``cleaning.dedup_first``).
+Rows must be unique on station and time (``cleaning.dedup_first``). Rows that lack either have no place in a series:
+they stay, with NULL for whatever comes from neighbours, spread over groups of their own.
 """
 
 from __future__ import annotations
@@ -47,10 +48,15 @@ class Layout:
         return F.expr(f"{clock} div {max(1, int(self.chunk_days * 86_400_000_000))}")
 
     def timed(self, df: DataFrame) -> DataFrame:
-        """Adds ``_us`` and ``_chunk``. Rows without station or time have no place in a series; saying so here
-        keeps all branches of a plan alike, so that they share one shuffle."""
-        t = df.withColumn("_us", self.clock)
-        return t.withColumn("_chunk", self.chunk()).where(F.col(self.key).isNotNull() & F.col("_chunk").isNotNull())
+        """Adds ``_us`` and ``_chunk``. Rows without station or time have no ``_us``; their chunks come from a hash."""
+        t = df.withColumn("_us", F.when(F.col(self.key).isNotNull(), self.clock))
+        return t.withColumn("_chunk", F.coalesce(self.chunk(), spare_group(df, F.lit(1 << 48))))
+
+
+def spare_group(df: DataFrame, base: Column) -> Column:
+    """One of many negative numbers, from a hash of the row: groups for rows that have no place of their own."""
+    plain = [c for c, kind in df.dtypes if "map<" not in kind]
+    return -base - F.pmod(F.xxhash64(*plain), F.lit(1 << 16))
 
 
 HOURLY = Layout()
@@ -67,7 +73,7 @@ def _valid(c: str, reach: int) -> Column:
     """The reading with its place and time, NULL where the reading is missing; with ``reach`` also the
     time ``r`` of the row that many rows later."""
     later = ", 'r', _r" if reach else ""
-    return F.expr(f"IF(`{c}` IS NULL, NULL, named_struct('i', _i, 't', _us, 'x', `{c}`{later}))")
+    return F.expr(f"IF(`{c}` IS NULL OR _us IS NULL, NULL, named_struct('i', _i, 't', _us, 'x', `{c}`{later}))")
 
 
 def _placed(v: str, reach: int) -> str:
@@ -85,7 +91,7 @@ def chunk_table(rows: DataFrame, at: Layout, cols: list[str], ahead: list[str],
         aggs.append(F.array_compact(F.array(*[F.max(F.when(F.col("_i") == i, F.col("_us"))) for i in range(1, reach + 1)])).alias("_head"))
     for c in cols:
         aggs += [F.min(_valid(c, reach)).alias(f"_f_{c}"), F.max(_valid(c, reach)).alias(f"_l_{c}")]
-    s = rows.groupBy(at.key, "_chunk").agg(*aggs)
+    s = rows.where("_us IS NOT NULL").groupBy(at.key, "_chunk").agg(*aggs)
     up = Window.partitionBy(at.key).orderBy("_chunk")
     down = Window.partitionBy(at.key).orderBy(F.col("_chunk").desc())
     whole = up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -127,7 +133,7 @@ def with_neighbours(df: DataFrame, cols: list[str], at: Layout, ahead: list[str]
     rows = near(rows, w.rowsBetween(*SO_FAR), "a", cols)
     if ahead:
         rows = near(rows, back, "b", ahead)
-    rows = rows.join(carry, [at.key, "_chunk"])
+    rows = rows.join(carry, [at.key, "_chunk"], "left")
     found = []
     for c in cols:
         found.append(F.expr(f"coalesce({_placed(f'_a_{c}', reach)}, _p_{c})").alias(f"_p_{c}"))
@@ -142,10 +148,10 @@ def with_position(df: DataFrame, at: Layout) -> DataFrame:
     """Adds ``_pos``, the 1-based position of a row in its series."""
     rows, _ = chunked(df, at)
     # the counts need no order: a narrow scan and a partial aggregation
-    counts = at.timed(df.select(at.key, at.ts)).groupBy(at.key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    counts = at.timed(df.select(at.key, at.ts)).where("_us IS NOT NULL").groupBy(at.key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     up = Window.partitionBy(at.key).orderBy("_chunk").rowsBetween(*BEFORE)
     offsets = counts.select(at.key, "_chunk", F.coalesce(F.sum("_n").over(up), F.lit(0)).alias("_off"))
-    return (rows.join(offsets, [at.key, "_chunk"])
+    return (rows.join(offsets, [at.key, "_chunk"], "left")
             .select(*df.columns, (F.col("_off") + F.col("_i")).alias("_pos")))
 
 
@@ -154,7 +160,7 @@ def in_blocks(df: DataFrame, at: Layout, before: int, after: int) -> DataFrame:
     (``_block``). A block has at most ``block_rows + before + after`` rows, whatever a station holds."""
     size = max(at.block_rows, before, after, 1)
     place = F.col("_pos") - 1
-    home = (place / F.lit(size)).cast("long")
+    home = F.coalesce((place / F.lit(size)).cast("long"), spare_group(df, F.lit(1)))
     rest = place % size
     targets = [home]
     if before:
@@ -171,7 +177,7 @@ def over_rows(df: DataFrame, at: Layout, before: int, after: int,
     ``after`` rows ahead."""
     w = Window.partitionBy(at.key, "_block").orderBy("_pos")
     return (in_blocks(df, at, before, after)
-            .select(*df.columns, "_home", "_block", *[e.alias(n) for n, e in make(w).items()])
+            .select(*df.columns, "_home", "_block", *[F.when(F.col("_pos").isNotNull(), e).alias(n) for n, e in make(w).items()])
             .where("_home = _block").drop("_home", "_block"))
 
 

@@ -24,21 +24,34 @@ def latest(readings: DataFrame, requests: DataFrame) -> DataFrame:
                     F.when(F.col("_r").isNotNull(), "ok").otherwise("not_found").alias("status")))
 
 
-def range_read(readings: DataFrame, requests: DataFrame, limit: int = 1000, at: Layout = HOURLY) -> DataFrame:
-    """Readings from ``start`` to ``end`` per request, in time order, at most ``limit`` each.
+def range_read(readings: DataFrame, requests: DataFrame, at: Layout = HOURLY) -> DataFrame:
+    """Readings from ``start`` to ``end`` per request, in time order; all of them, or as many as the request's
+    ``limit`` says if there is such a column and it is not NULL.
 
     A request is matched through the time chunks it touches, so a station with a long history is not
     compared whole with every request for it.
     """
-    asked = requests.select("req_id", STATION, "start", "end").where(F.col("start") <= F.col("end"))
+    most = ["limit"] if "limit" in requests.columns else []
+    asked = requests.select("req_id", STATION, "start", "end", *most).where(F.col("start") <= F.col("end"))
     first, last = replace(at, ts="start"), replace(at, ts="end")
     spread = (asked.withColumns({"_a": first.clock, "_z": last.clock})
               .withColumn("_chunk", F.explode(F.sequence(at.chunk("_a"), at.chunk("_z")))).drop("_a", "_z"))
     hits = (at.timed(readings.select(*KEY, *POLLUTANTS)).join(spread, [STATION, "_chunk"])
             .where(F.col(TS).between(F.col("start"), F.col("end"))))
-    w = Window.partitionBy("req_id").orderBy(TS)
-    return (hits.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit)
-            .select("req_id", *KEY, *POLLUTANTS))
+    if most:
+        w = Window.partitionBy("req_id").orderBy(TS)
+        hits = hits.withColumn("_rn", F.row_number().over(w)).where(F.col("limit").isNull() | (F.col("_rn") <= F.col("limit")))
+    return hits.select("req_id", *KEY, *POLLUTANTS)
+
+
+def range_status(readings: DataFrame, stations: DataFrame, requests: DataFrame, at: Layout = HOURLY) -> DataFrame:
+    """What a range request comes to: ``not_found`` for an unknown station, ``empty`` without readings, else ``ok``,
+    and how many readings there are, whatever its limit."""
+    hits = range_read(readings, requests.select("req_id", STATION, "start", "end"), at).groupBy("req_id").agg(F.count(F.lit(1)).alias("_n"))
+    known = stations.select(F.col("station_name").alias(STATION)).distinct().withColumn("_known", F.lit(True))
+    status = F.when(F.col("_known").isNull(), "not_found").when(F.col("_n").isNull(), "empty").otherwise("ok")
+    return (requests.select("req_id", STATION).join(known, STATION, "left").join(hits, "req_id", "left")
+            .select("req_id", STATION, status.alias("status"), F.coalesce("_n", F.lit(0)).alias("n_readings")))
 
 
 def get(readings: DataFrame, requests: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ allows it, and otherwise shuffles, splitting a hot station's partition (adaptive
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from hazegrid.constants import POLLUTANTS, STATION, STATION_META, TS, WEATHER, WIND, WIND_LABELS
@@ -116,10 +116,11 @@ def load_counts(star: Star) -> DataFrame:
 
 
 def latest_per_station(star: Star) -> DataFrame:
-    """Newest reading of every station; ties are all kept."""
-    poll, st = star["pollutant_readings"], star["stations"]
-    newest = poll.groupBy("station_id").agg(F.max(TS).alias(TS))
-    return (poll.join(newest, GRAIN).join(st, "station_id")
+    """Newest reading of every station; ties are all kept. One scan: a task passes on only the newest rows of each
+    station that it has seen."""
+    newest = Window.partitionBy("station_id").orderBy(F.col(TS).desc())
+    poll = star["pollutant_readings"].where(F.col(TS).isNotNull()).withColumn("_rank", F.rank().over(newest)).where("_rank = 1")
+    return (poll.join(star["stations"], "station_id")
             .select("station_name", TS, "pm2_5", "pm10", "no2", "co").orderBy("station_name"))
 
 
@@ -132,11 +133,15 @@ def _context(star: Star, poll: DataFrame) -> DataFrame:
 
 def range_with_context(star: Star, station: str, lo: Column, hi: Column) -> DataFrame:
     """One station's readings between two times, both included, with weather and wind. The time bound
-    holds on both facts and reaches both file scans."""
+    reaches both file scans, and both facts are cut to the station before they meet."""
     st = star["stations"].where(F.col("station_name") == station)
     inside = F.col(TS).between(lo, hi)
-    cut = {**star, "stations": st, "weather_readings": star["weather_readings"].where(inside)}
-    return (_context(cut, star["pollutant_readings"].where(inside))
+
+    def own(fact: DataFrame) -> DataFrame:
+        return fact.where(inside).join(st.select("station_id"), "station_id", "left_semi")
+
+    cut = {**star, "stations": st, "weather_readings": own(star["weather_readings"])}
+    return (_context(cut, own(star["pollutant_readings"]))
             .select(TS, "pm2_5", "pm10", "temp", "wspm", "wd_code").orderBy(TS))
 
 

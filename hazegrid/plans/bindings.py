@@ -65,8 +65,7 @@ class Tables:
         m = e.groupBy(F.col("event_type").alias(STATION), hour.alias(TS)).agg(
             made(F.avg("value")).alias("pm2_5"), F.count(F.lit(1)).alias("n"))
         grid = self._grid(e.select(F.col("event_type").alias(STATION)).distinct(), e)
-        outage = F.day(TS).isin(9, 18, 27) & F.hour(TS).between(3, 5)
-        return grid.where(~outage).join(m, [STATION, TS], "left").select(STATION, TS, "pm2_5", "n")
+        return grid.join(m, [STATION, TS], "left").select(STATION, TS, "pm2_5", "n")
 
     @cached_property
     def b1_sensor(self) -> DataFrame:
@@ -166,14 +165,13 @@ class Tables:
 
     @cached_property
     def b5_requests(self) -> DataFrame:
-        """One request per order, on the key of its first line: status F asks for an existing hour, the others
-        for one half a day later; low priorities name an unknown station."""
+        """One request per order line, numbered by its key, part and day (the tables repeat line numbers): status F
+        asks for an existing hour, the others for one half a day later; low priorities name an unknown station."""
         l = self.table("lineitem", "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_tax")
-        first = l.groupBy("l_orderkey").agg(
-            F.min(F.struct("l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_tax")).alias("f"))
-        j = first.select("l_orderkey", "f.*").join(self.table("orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+        j = l.join(self.table("orders"), F.col("o_orderkey") == F.col("l_orderkey"))
         return j.select(
-            F.col("l_orderkey").alias("req_id"),
+            (((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")) * 10_000
+             + F.datediff(F.col("l_shipdate").cast("date"), F.lit("1990-01-01").cast("date"))).alias("req_id"),
             F.when(F.col("o_orderpriority") == "5-LOW", "nowhere")
             .otherwise(F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))).alias(STATION),
             F.when(F.col("o_orderstatus") == "F", F.col("l_shipdate"))
@@ -229,8 +227,7 @@ SQL: dict[str, str] = {
         FROM (SELECT station, unnest(generate_series((SELECT lo FROM b1_span), (SELECT hi FROM b1_span), INTERVAL 1 HOUR)) AS ts
               FROM (SELECT DISTINCT event_type AS station FROM events)) g
         LEFT JOIN (SELECT event_type AS station, date_trunc('hour', ts) AS ts, round(avg(value) / 3.07::DOUBLE, 4) / 1.0007::DOUBLE AS pm2_5, count(*) AS n
-                   FROM events GROUP BY 1, 2) m ON m.station = g.station AND m.ts = g.ts
-        WHERE NOT (day(g.ts) IN (9, 18, 27) AND hour(g.ts) BETWEEN 3 AND 5)""",
+                   FROM events GROUP BY 1, 2) m ON m.station = g.station AND m.ts = g.ts""",
     "b1_sensor": """
         SELECT g.station, g.ts, pm2_5, pm10, so2, no2, co, temp, wspm, wd
         FROM (SELECT station, unnest(generate_series((SELECT lo FROM b1_span), (SELECT hi FROM b1_span), INTERVAL 1 HOUR)) AS ts
@@ -298,12 +295,11 @@ SQL: dict[str, str] = {
                wd AS wind_dir, round(wspm, 1) AS wspm
         FROM b4_wide w JOIN b4_stations s ON s.station_name = w.station""",
     "b5_requests": """
-        SELECT l_orderkey AS req_id,
+        SELECT ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 10000 + date_diff('day', TIMESTAMP '1990-01-01', l_shipdate) AS req_id,
                CASE WHEN o_orderpriority = '5-LOW' THEN 'nowhere' ELSE 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') END AS station,
                CASE WHEN o_orderstatus = 'F' THEN l_shipdate ELSE l_shipdate + INTERVAL 12 HOUR END AS ts,
                l_quantity AS pm2_5, CASE WHEN l_linenumber <> 1 THEN l_tax END AS pm10, o_orderpriority AS priority
-        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey,
-                        l_quantity, l_tax) AS rn FROM lineitem) q JOIN orders ON o_orderkey = l_orderkey WHERE rn = 1""",
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
     "b6_scored": f"""
         SELECT station, date, y, {', '.join(f'round(s{i} / {_SUM}, 3) AS p{i}' for i in range(6))}
         FROM (SELECT station, date, y, {', '.join(f'exp(-abs(x - {m}) / 60) AS s{i}' for i, m in enumerate(STEPS))}

@@ -136,8 +136,20 @@ def latest_for_station(t: Tables) -> DataFrame:
 def range_for_station(t: Tables) -> DataFrame:
     """At most five readings from twenty days around each request."""
     span = F.expr("INTERVAL 20 DAYS")
-    asked = t.b5_requests.select("req_id", STATION, (F.col(TS) - span).alias("start"), (F.col(TS) + span).alias("end"))
-    return reads.range_read(t.b4_readings, asked, limit=5)
+    asked = t.b5_requests.select("req_id", STATION, (F.col(TS) - span).alias("start"), (F.col(TS) + span).alias("end"), F.lit(5).alias("limit"))
+    return reads.range_read(t.b4_readings, asked)
+
+
+@query("range_status", "b4_wide b4_stations b5_requests", """
+    WITH n AS (SELECT q.req_id, count(*) AS n FROM b5_requests q JOIN b4_wide r ON r.station = q.station AND r.ts BETWEEN q.ts AND q.ts + INTERVAL 5 DAY
+               GROUP BY 1)
+    SELECT q.req_id, q.station, CASE WHEN s.station_name IS NULL THEN 'not_found' WHEN n.n IS NULL THEN 'empty' ELSE 'ok' END AS status,
+           coalesce(n.n, 0) AS n_readings
+    FROM b5_requests q LEFT JOIN n ON n.req_id = q.req_id LEFT JOIN (SELECT DISTINCT station_name FROM b4_stations) s ON s.station_name = q.station""")
+def range_status(t: Tables) -> DataFrame:
+    """What became of a request for the five days after its time."""
+    asked = t.b5_requests.select("req_id", STATION, F.col(TS).alias("start"), (F.col(TS) + F.expr("INTERVAL 5 DAYS")).alias("end"))
+    return reads.range_status(t.b4_readings, t.b4_stations, asked)
 
 
 @query("get_by_key", "b4_wide b5_requests", f"""

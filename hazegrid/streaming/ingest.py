@@ -10,12 +10,17 @@ from hazegrid.constants import POLLUTANTS, TS
 from hazegrid.operators.mutations import KEY, create_status
 
 
-def read_accepted(spark: SparkSession, sink: str) -> DataFrame | None:
-    """What the stream has accepted so far, with the batch that did."""
+ACCEPTED = "station string, ts timestamp_ntz, " + ", ".join(f"{c} double" for c in POLLUTANTS) + ", batch int"
+
+
+def read_accepted(spark: SparkSession, sink: str) -> DataFrame:
+    """What the stream has accepted so far, with the batch that did; no rows before the first one."""
     try:
-        return spark.read.parquet(f"{sink}/accepted")
-    except AnalysisException:
-        return None
+        return spark.read.schema(ACCEPTED).parquet(f"{sink}/accepted")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ACCEPTED)
 
 
 def ingest_stream(stream: DataFrame, readings: DataFrame, stations: DataFrame, sink: str,
@@ -38,10 +43,8 @@ def ingest_stream(stream: DataFrame, readings: DataFrame, stations: DataFrame, s
                 return
             inside = F.col(TS).between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz"))
             taken = readings.where(inside).select(*KEY)
-            earlier = read_accepted(spark, sink)
-            if earlier is not None:
-                # a batch that is run again must not see its own earlier output
-                taken = taken.unionByName(earlier.where((F.col("batch") < batch) & inside).select(*KEY))
+            # a batch that is run again must not see its own earlier output
+            taken = taken.unionByName(read_accepted(spark, sink).where((F.col("batch") < batch) & inside).select(*KEY))
             judged = req.join(create_status(taken, stations, req).select("req_id", "status"), "req_id")
             values = [F.col(c).cast("double").alias(c) if c in req.columns else F.lit(None).cast("double").alias(c)
                       for c in POLLUTANTS]

@@ -57,7 +57,7 @@ def test_reads(spark, table):
     many = spark.createDataFrame([("a", T0 + dt.timedelta(days=i), float(i), None, None, None, None, None) for i in range(100)], table.schema)
     span = spark.createDataFrame([(1, "a", T0, T0 + dt.timedelta(days=80)), (2, "a", T1, T2), (3, "x", T0, T2)],
                                  "req_id long, station string, start timestamp_ntz, end timestamp_ntz")
-    rows = reads.range_read(many, span, limit=50).collect()
+    rows = reads.range_read(many, span.selectExpr("*", "50 AS limit")).collect()
     assert sorted(r.pm2_5 for r in rows) == [float(i) for i in range(50)] and {r.req_id for r in rows} == {1}
 
 
