@@ -24,10 +24,19 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a table that is sent to all tasks, at most.
+BROADCAST_ROWS = 400_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, to be broadcast if it has no more than ``rows`` rows; a larger one is joined by shuffle. Counts it, so write it first."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def internal(df: DataFrame, **columns: str | Column) -> DataFrame:
     """Only the named inputs under the operator's own names, so that no other column can clash with them."""
     return df.select(*[(df[c] if isinstance(c, str) else c).alias(name) for name, c in columns.items()])

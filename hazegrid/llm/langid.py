@@ -146,15 +146,20 @@ def train(docs: DataFrame, held_out_fold: tuple[int, int] = (4, 2), id_col: str
     parts, held = held_out_fold
     rows = (internal(docs, id=id_col, lang=lang_col, text=text_col).where("lang is not null and text is not null")
             .where(fold("id", parts) != held).where(F.col("text").rlike(r"\p{L}")))
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), F.xxhash64("text"))
-    rows = rows.withColumn("n", F.row_number().over(rank)).where(F.col("n") <= per_language).select("lang", "n", "text")
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    rank = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "text_hash")
+    chosen = rows.select("lang", "id", "text_hash").withColumn("n", F.row_number().over(rank)).where(F.col("n") <= per_language)
+    chosen = chosen.select(F.col("lang").alias("c_lang"), F.col("id").alias("c_id"), F.col("text_hash").alias("c_hash")).distinct()
+    same = (F.col("lang") == F.col("c_lang")) & F.col("id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash"))
+    # As many rows as languages times the bound; of repeated rows one teaches
+    rows = rows.join(F.broadcast(chosen), same, "left_semi").groupBy("lang", "id", "text_hash").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [profile(t.as_py()).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("n"), pa.array(x, pa.binary())], ["lang", "n", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(x, pa.binary())], ["lang", "x"])
 
-    found = rows.mapInArrow(run, "lang string, n int, x binary").orderBy("lang", "n").collect()
+    found = sorted(rows.select("lang", "text").mapInArrow(run, "lang string, x binary").collect())
     x = np.array([np.frombuffer(r.x, np.float32) for r in found], np.float32).reshape(len(found), WIDTH)
     return fit(x, [r.lang for r in found], families)
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hazegrid.llm.common import internal, keep
+from hazegrid.llm.common import internal, keep, small
 from hazegrid.llm.components import components
 from hazegrid.llm.textstats import scramble
 
@@ -110,22 +110,30 @@ def _bucketed(classes: DataFrame, blocks: list[list[int]], lanes: int) -> DataFr
 def _tiled(rows: DataFrame, radius: int, tile: int) -> DataFrame:
     """Rows with the tile pairs (ti <= tj) they take part in, and their own tile.
 
-    A bucket's rows are ranked by population count through counts per (bucket, pop), of which a bucket has at most as
-    many as a fingerprint has bits; within one count the place comes from a hash. A row goes only to pairs with tiles
-    that hold population counts within the radius of its own.
+    A bucket of up to ``tile`` rows is one tile. The rows of a larger one are ranked by population count through counts
+    per (bucket, pop), of which a bucket has at most as many as a fingerprint has bits; within one count the place comes
+    from a hash. A row goes only to pairs with tiles that hold population counts within the radius of its own.
     """
-    bucket = Window.partitionBy("block", "key")
-    upto = bucket.orderBy("pop").rowsBetween(Window.unboundedPreceding, -1)
-    near = bucket.orderBy("pop").rangeBetween(-radius, radius)
-    sizes = (rows.groupBy("block", "key", "pop").agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).withColumn("total", F.sum("n").over(bucket))
-             .withColumn("lo", F.min("before").over(near)).withColumn("hi", F.max(F.col("before") + F.col("n")).over(near))
-             .where("total > 1"))
+    large = rows.groupBy("block", "key").agg(F.count(F.lit(1)).alias("total")).where(F.col("total") > tile)
+    large = keep(large.select(F.col("block").alias("l_block"), F.col("key").alias("l_key")), "large")  # rows / tile at most
+    bucket = Window.partitionBy("l_block", "l_key")
+    upto = bucket.orderBy("l_pop").rowsBetween(Window.unboundedPreceding, -1)
+    near = bucket.orderBy("l_pop").rangeBetween(-radius, radius)
+    inside = rows.join(small(large), (F.col("block") == F.col("l_block")) & (F.col("key") == F.col("l_key")))
+    sizes = (inside.groupBy("l_block", "l_key", F.col("pop").alias("l_pop")).agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+             .withColumn("lo", F.min("before").over(near)).withColumn("hi", F.max(F.col("before") + F.col("n")).over(near)))
+    sizes = keep(sizes, "sizes")
+    same = (F.col("block") == F.col("l_block")) & (F.col("key") == F.col("l_key")) & (F.col("pop") == F.col("l_pop"))
     place = F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    return (rows.join(sizes, ["block", "key", "pop"])
-            .withColumn("tile", F.floor((F.col("before") + place * F.col("n")) / tile).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.floor(F.col("lo") / tile).cast("int"),
-                                                      F.floor((F.col("hi") - 1) / tile).cast("int"))))
+    whole = F.col("l_pop").isNull()
+
+    def number(x):
+        return F.when(whole, 0).otherwise(F.floor(x / tile).cast("int"))
+
+    return (rows.join(small(sizes), same, "left")
+            .withColumn("tile", number(F.col("before") + place * F.col("n")))
+            .withColumn("other", F.explode(F.sequence(number(F.col("lo")), number(F.col("hi") - 1))))
             .select("block", "key", F.least("tile", "other").alias("ti"), F.greatest("tile", "other").alias("tj"),
                     "tile", "pop", "fp"))
 
@@ -201,8 +209,7 @@ def _compare(fp: np.ndarray, pop: np.ndarray, left: np.ndarray, right: np.ndarra
 def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]], tile: int = TILE) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints within the radius: of all that a batch of a task finds, a spanning forest
     of least distances."""
-    rows = keep(_bucketed(classes, blocks, lanes), "buckets")
-    tiled = _tiled(rows, radius, tile)
+    tiled = _tiled(_bucketed(classes, blocks, lanes), radius, tile)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(columns):
@@ -283,19 +290,20 @@ def similar(docs: DataFrame, classes: DataFrame, edges: DataFrame, words: int, s
     ends = edges.select(F.col("a").alias("end")).union(edges.select("b")).distinct()
     ends = keep(ends.join(classes, ends["end"] == classes["fp"]).select("fp", F.col("least.id").alias("e_id"), F.col("least.text_hash").alias("e_hash")), "ends")
     texts = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].cast("binary").alias("text"))
-    same = texts["id"].eqNullSafe(ends["e_id"]) & (texts["text_hash"] == ends["e_hash"])
+    same = texts["id"].eqNullSafe(F.col("e_id")) & (texts["text_hash"] == F.col("e_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.unique(shingle_hashes(t.as_py() or b"", words)).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["fp", "shingles"])
 
-    sets = texts.join(ends, same).select("fp", "text").mapInArrow(run, "fp binary, shingles array<long>")
-    sets = keep(sets.groupBy("fp").agg(F.first("shingles").alias("shingles")), "shingles")  # repeated rows have the same
-    one, two = (sets.select(F.col("fp").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("a", "b"))
+    sets = texts.join(small(ends), same).select("fp", "text").mapInArrow(run, "fp binary, shingles array<long>")
+    sides = keep(edges.select(F.col("a").alias("end"), "a", "b").union(edges.select("b", "a", "b")), "sides")
+    # Every edge meets the sets of its two ends in one shuffle; of repeated rows, which have equal sets, the first counts
+    met = sets.join(small(sides), F.col("fp") == F.col("end")).groupBy("a", "b").agg(
+        *[F.first(F.when(F.col("fp") == F.col(c), F.col("shingles")), ignorenulls=True).alias(f"s_{c}") for c in ("a", "b")])
     both = F.size(F.array_intersect("s_a", "s_b"))
-    return (edges.join(one, "a").join(two, "b")
-            .where(both >= F.lit(similarity) * (F.size("s_a") + F.size("s_b") - both)).select("a", "b"))
+    return met.where(both >= F.lit(similarity) * (F.size("s_a") + F.size("s_b") - both)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
@@ -339,8 +347,8 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     left = docs.select(F.struct(*docs.columns).alias("row"), docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"))
 
     def of(frame: DataFrame, other: DataFrame, how: str) -> DataFrame:
-        same = frame["id"].eqNullSafe(other["id"]) & frame["text_hash"].eqNullSafe(other["text_hash"])
-        return frame.join(other, same, how)
+        same = frame["id"].eqNullSafe(F.col("o_id")) & frame["text_hash"].eqNullSafe(F.col("o_hash"))
+        return frame.join(small(other.select(F.col("id").alias("o_id"), F.col("text_hash").alias("o_hash"))), same, how)
 
     out = of(left, gone, "left_anti")
     if again.isEmpty():  # no row is repeated
