@@ -8,42 +8,42 @@ approximate; the sketch only decides how little has to be sorted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SKETCH = 10_000                 # rank error of the sketch is at most n / SKETCH
-WHOLE_GROUP = 10 * SKETCH       # groups up to this size are bracketed by their minimum and maximum
+SLACK = 4.0 / SKETCH            # a bracket reaches further than that to both sides
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: tuple[float, ...]) -> DataFrame:
-    """One row per key: ``n`` and ``q0..`` with linear interpolation between the two nearest ranks."""
+    """One row per key: ``n`` and ``q0..`` with linear interpolation between the two nearest ranks.
+
+    Of the values below a bracket the largest is kept too, and of those above it the smallest, since in a small group
+    the wanted rank may lie next to its bracket. The sketch's bound keeps the ranks within reach.
+    """
     d = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_x"))
-    slack = 4.0 / SKETCH
-    points = [p for q in probs for p in (max(q - slack, 0.0), min(q + slack, 1.0))]
-    b = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
-                             F.percentile_approx("_x", points, SKETCH).alias("_cut"))
-    small = F.col("n") <= WHOLE_GROUP
-
-    def bracket(i: int):
-        return F.struct(F.lit(i).alias("q"),
-                        F.when(small, F.col("_min")).otherwise(F.col("_cut")[2 * i]).alias("lo"),
-                        F.when(small, F.col("_max")).otherwise(F.col("_cut")[2 * i + 1]).alias("hi"))
-
-    b = b.select(*keys, "n", F.array(*[bracket(i) for i in range(len(probs))]).alias("_b"))
-    # values below a bracket are counted under a NULL value, values within it under themselves
-    counts = (d.join(b, keys)
-              .select(*keys, "n", "_x", F.explode("_b").alias("_b"))
-              .where(F.col("_x") <= F.col("_b.hi"))
-              .groupBy(*keys, "n", F.col("_b.q").alias("_q"),
-                       F.when(F.col("_x") >= F.col("_b.lo"), F.col("_x")).alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    up = Window.partitionBy(*keys, "_q").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    points = [p for q in probs for p in (max(q - SLACK, 0.0), min(q + SLACK, 1.0))]
+    b = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_x", points, SKETCH).alias("_cut"))
+    b = b.select(*keys, "n", F.array(*[F.struct(F.lit(i).alias("q"), F.col("_cut")[2 * i].alias("lo"), F.col("_cut")[2 * i + 1].alias("hi"))
+                                       for i in range(len(probs))]).alias("_b"))
+    # values below a bracket are counted together, so are those above; values within it under themselves
+    x = F.col("_x")
+    side = F.when(x < F.col("_b.lo"), 0).when(x <= F.col("_b.hi"), 1).otherwise(2)
+    counts = (d.join(b, keys).select(*keys, "n", "_x", F.explode("_b").alias("_b"))
+              .select(*keys, "n", F.col("_b.q").alias("_q"), side.alias("_side"), "_x")
+              .groupBy(*keys, "n", "_q", "_side", F.when(F.col("_side") == 1, F.col("_x")).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c"), F.when(F.col("_side") == 0, F.max("_x")).otherwise(F.min("_x")).alias("_next")))
+    up = Window.partitionBy(*keys, "_q").orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
     q = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_q") + 1)
     ranked = counts.withColumn("_cum", F.sum("_c").over(up)).withColumn("_h", (F.col("n") - 1) * q)
+
+    def at_rank(rank: Column) -> Column:
+        return F.min(F.when(F.col("_cum") > rank, F.col("_next")))
+
     picked = ranked.groupBy(*keys, "_q", "n", "_h").agg(
-        F.min(F.when(F.col("_v").isNotNull() & (F.col("_cum") > F.floor("_h")), F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_v").isNotNull() & (F.col("_cum") > F.ceil("_h")), F.col("_v"))).alias("_hi"),
-        F.max(F.when(F.col("_v").isNull(), F.col("_c")).otherwise(0)).alias("_below"))
-    missed = F.col("_hi").isNull() | F.col("_lo").isNull() | (F.col("_below") > F.floor("_h"))
+        at_rank(F.floor("_h")).alias("_lo"), at_rank(F.ceil("_h")).alias("_hi"),
+        F.sum(F.when(F.col("_side") == 0, F.col("_c")).otherwise(0)).alias("_below"),
+        F.sum(F.when(F.col("_side") < 2, F.col("_c")).otherwise(0)).alias("_upto"))
+    missed = (F.col("_below") > F.floor("_h") + 1) | (F.col("_upto") < F.ceil("_h"))
     exact = F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")).otherwise(
         F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_h") - F.floor("_h")))
     return (picked.select(*keys, "n", "_q", exact.alias("_e"))

@@ -80,10 +80,10 @@ def test_infer_frequency(data):
 def test_quantiles_of_small_and_hot_groups(spark, monkeypatch):
     # a low limit sends the big group through the brackets
     monkeypatch.setattr(quantiles, "SKETCH", 50)
-    monkeypatch.setattr(quantiles, "WHOLE_GROUP", 500)
+    monkeypatch.setattr(quantiles, "SLACK", 4.0 / 50)
     r = np.random.default_rng(5)
     groups = {"hot": np.round(r.lognormal(3, 1, 20000), 1), "tied": np.repeat([0.0, 1.0, 5.0], [3000, 10, 3000]),
-              "two": np.array([1.0, 2.0]), "one": np.array([7.0])}
+              "two": np.array([1.0, 2.0]), "one": np.array([7.0]), **{f"n{n}": r.integers(0, 9, n).astype(float) for n in range(1, 41)}}
     df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k string, v double")
     got = {x.k: x for x in quantiles.exact_quantiles(df, ["k"], "v", (0.25, 0.5, 0.75)).collect()}
     for k, vs in groups.items():
