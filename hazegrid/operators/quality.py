@@ -93,32 +93,33 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 60) -> DataFrame:
 
 
 def check_constraints(star: dict[str, DataFrame], types: tuple[str, ...] = STATION_TYPES) -> DataFrame:
-    """Counts what breaks the star schema's rules, one row per rule."""
+    """Counts what breaks the star schema's rules, one row per rule.
+
+    Both facts are grouped together, once by grain and once by station, which answers six rules.
+    """
     st, wd, poll, wx = (star[k] for k in ("stations", "wind_directions", "pollutant_readings", "weather_readings"))
     grain = ["station_id", "ts"]
-
-    def twice(df: DataFrame, cols: list[str]) -> DataFrame:
-        return df.groupBy(*cols).count().where("count > 1")
-
-    def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-        # fact keys are made distinct first: a hot or NULL key travels once per task
-        return fact.select(key).where(F.col(key).isNotNull()).distinct().join(dim, key, "left_anti")
-
-    rules = {
-        "station_name is unique": twice(st, ["station_name"]),
-        "station_id is unique": twice(st, ["station_id"]),
-        "wd_code is unique": twice(wd, ["wd_code"]),
-        "pollutant grain is unique": twice(poll, grain),
-        "weather grain is unique": twice(wx, grain),
-        "pollutant station exists": orphans(poll, st, "station_id"),
-        "weather station exists": orphans(wx, st, "station_id"),
-        "weather wind exists": orphans(wx, wd, "wind_dir_id"),
-        "station_type is allowed": st.where(~F.col("station_type").isin(*types)),
-        "pollutant row has weather row": poll.select(*grain).join(wx, grain, "left_anti"),
-        "weather row has pollutant row": wx.select(*grain).join(poll, grain, "left_anti"),
-    }
-    parts = [df.agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("violations")) for name, df in rules.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    facts = (poll.select(*grain, F.lit(1).alias("p"), F.lit(0).alias("w"))
+             .unionByName(wx.select(*grain, F.lit(0).alias("p"), F.lit(1).alias("w"))))
+    hours = facts.groupBy(*grain).agg(F.sum("p").alias("p"), F.sum("w").alias("w"))
+    keyless = F.col("station_id").isNull() | F.col("ts").isNull()      # matches nothing
+    by_hour = hours.agg(
+        F.count_if(F.col("p") > 1).alias("pollutant grain is unique"), F.count_if(F.col("w") > 1).alias("weather grain is unique"),
+        F.coalesce(F.sum(F.when((F.col("w") == 0) | keyless, F.col("p"))), F.lit(0)).alias("pollutant row has weather row"),
+        F.coalesce(F.sum(F.when((F.col("p") == 0) | keyless, F.col("w"))), F.lit(0)).alias("weather row has pollutant row"))
+    used = facts.where("station_id IS NOT NULL").groupBy("station_id").agg(F.max("p").alias("p"), F.max("w").alias("w"))
+    by_station = used.join(st, "station_id", "left_anti").agg(
+        F.count_if(F.col("p") > 0).alias("pollutant station exists"), F.count_if(F.col("w") > 0).alias("weather station exists"))
+    winds = wx.select("wind_dir_id").where("wind_dir_id IS NOT NULL").distinct().join(wd, "wind_dir_id", "left_anti")
+
+    def twice(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(key).count().agg(F.count_if(F.col("count") > 1).alias(f"{key} is unique"))
+
+    parts = [twice(st, "station_name"), twice(st, "station_id"), twice(wd, "wd_code"), by_hour, by_station,
+             winds.agg(F.count(F.lit(1)).alias("weather wind exists")),
+             st.agg(F.count_if(~F.col("station_type").isin(*types)).alias("station_type is allowed"))]
+    rules = [p.unpivot([], p.columns, "rule", "violations") for p in parts]
+    out = rules[0]
+    for r in rules[1:]:
+        out = out.unionByName(r)
     return out

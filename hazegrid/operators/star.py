@@ -49,16 +49,23 @@ def normalise_wind(wide: DataFrame, labels: DataFrame) -> DataFrame:
                     F.coalesce("wd_label", "wd_code").alias("wd_label")))
 
 
+def normalise_pollutants(wide: DataFrame, stations: DataFrame) -> DataFrame:
+    """Pollutant fact; ``stations`` from ``normalise_stations``."""
+    return wide.join(stations.select("station_id", F.col("station_name").alias(STATION)), STATION).select(*GRAIN, *POLLUTANTS)
+
+
+def normalise_weather(wide: DataFrame, stations: DataFrame, wind: DataFrame) -> DataFrame:
+    """Weather fact; an hour without wind has no wind id."""
+    keyed = wide.join(stations.select("station_id", F.col("station_name").alias(STATION)), STATION)
+    return (keyed.join(wind.select("wind_dir_id", F.col("wd_code").alias(WIND)), WIND, "left")
+            .select(*GRAIN, *WEATHER, "wind_dir_id"))
+
+
 def normalise(wide: DataFrame, meta: DataFrame, labels: DataFrame) -> Star:
-    """Wide rows to two dimensions and two facts."""
+    """Wide rows to two dimensions and two facts; the parts have functions of their own."""
     st, wd = normalise_stations(wide, meta), normalise_wind(wide, labels)
-    keyed = wide.join(st.select("station_id", F.col("station_name").alias(STATION)), STATION)
-    return {
-        "stations": st, "wind_directions": wd,
-        "pollutant_readings": keyed.select(*GRAIN, *POLLUTANTS),
-        "weather_readings": keyed.join(wd.select("wind_dir_id", F.col("wd_code").alias(WIND)), WIND, "left")
-                                 .select(*GRAIN, *WEATHER, "wind_dir_id"),
-    }
+    return {"stations": st, "wind_directions": wd, "pollutant_readings": normalise_pollutants(wide, st),
+            "weather_readings": normalise_weather(wide, st, wd)}
 
 
 def recent_months(df: DataFrame, n: int, ts: str = TS) -> DataFrame:

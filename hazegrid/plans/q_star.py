@@ -25,10 +25,6 @@ def _labels(t: Tables) -> DataFrame:
     return t.b4_wind.where("wd_code < 'Brand#2'").select("wd_code", "wd_label")
 
 
-def _normalised(t: Tables) -> dict[str, DataFrame]:
-    return star.normalise(t.b4_wide, _meta(t), _labels(t))
-
-
 NAMES = "SELECT station, row_number() OVER (ORDER BY station) AS id FROM (SELECT DISTINCT station FROM b4_wide)"
 CODES = "SELECT wd, row_number() OVER (ORDER BY wd) AS id FROM (SELECT DISTINCT wd FROM b4_wide WHERE wd IS NOT NULL)"
 
@@ -52,14 +48,14 @@ def normalise_wind(t: Tables) -> DataFrame:
 @query("normalise_pollutants", "b4_wide", f"""
     SELECT CAST(n.id AS INT) AS station_id, ts, pm2_5, pm10, so2, no2, co, o3 FROM b4_wide w JOIN ({NAMES}) n ON n.station = w.station""")
 def normalise_pollutants(t: Tables) -> DataFrame:
-    return _normalised(t)["pollutant_readings"]
+    return star.normalise_pollutants(t.b4_wide, star.normalise_stations(t.b4_wide, _meta(t)))
 
 
 @query("normalise_weather", "b4_wide", f"""
     SELECT CAST(n.id AS INT) AS station_id, ts, temp, pres, dewp, rain, wspm, CAST(c.id AS INT) AS wind_dir_id
     FROM b4_wide w JOIN ({NAMES}) n ON n.station = w.station LEFT JOIN ({CODES}) c ON c.wd = w.wd""")
 def normalise_weather(t: Tables) -> DataFrame:
-    return _normalised(t)["weather_readings"]
+    return star.normalise(t.b4_wide, _meta(t), _labels(t))["weather_readings"]
 
 
 @query("latest_per_station", "b4_poll b4_stations", """
