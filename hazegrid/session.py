@@ -55,10 +55,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, so that later plans read the same rows.
+    """Write ``df`` as Parquet to the shared folder once, so that later plans read the same rows, and only the columns
+    they need.
 
-    Used where a result is read several times (model fits) or where re-evaluation
-    could differ (row ids). Survives lost executors, unlike a local checkpoint.
+    Used where a result is read several times (model fits) or where re-evaluation could differ (row ids). Survives
+    lost executors, unlike a local checkpoint.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
