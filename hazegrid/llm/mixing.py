@@ -12,12 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazegrid.llm.common import keep
+from hazegrid.llm.common import keep, small
 
 #: Documents of a block; blocks of a whole round, about; rows of a numbering group, about.
-BLOCK_DOCS, ROUND_BLOCKS, GROUP_ROWS = 16, 512, 65_536
-#: Schedules of up to so many rows are sent to all tasks; larger ones are joined by shuffle.
-BROADCAST_ROWS = 200_000
+BLOCK_DOCS, ROUND_BLOCKS, GROUP_ROWS = 16, 512, 8192
 
 
 def source_key(source: Column) -> Column:
@@ -84,11 +82,11 @@ def interleave(rows: DataFrame, weights: dict[str | None, float] | None = None,
     A source's rows are numbered by the MD5 of the id, through groups of about ``group_rows`` rows and a table of
     their counts, so that a source of any size is spread over many tasks.
     """
-    total = rows.count()
-    salts = max(1, -(-total // group_rows))
+    salts = keep(rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("salts")), "sizes")  # one row per source
     digest = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
-    rows = rows.withColumn("digest", digest).withColumn(
-        "salt", F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * F.lit(salts) / F.lit(1 << 32)))
+    kept = rows.columns
+    rows = rows.join(small(salts), "key").withColumn("digest", digest).withColumn(
+        "salt", F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * F.col("salts") / F.lit(1 << 32))).drop("salts")
     counts = keep(rows.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("n")), "counts")
     before = Window.partitionBy("key").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("key", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
@@ -97,9 +95,6 @@ def interleave(rows: DataFrame, weights: dict[str | None, float] | None = None,
     plan = keep(round_schedule(units), "schedule")
     offsets = keep(offsets.join(units, "key").select("key", "salt", "offset", "a"), "offsets")
 
-    def small(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
     group = Window.partitionBy("key", "salt").orderBy("digest", "id", "tie")
     numbered = (rows.withColumn("nth", F.row_number().over(group)).join(small(offsets), ["key", "salt"])
                 .withColumn("nth", F.col("nth") + F.col("offset") - 1)
@@ -111,7 +106,6 @@ def interleave(rows: DataFrame, weights: dict[str | None, float] | None = None,
     found = numbered.join(plan, (F.col("key") == F.col("p_key")) & (F.col("x") == F.col("p_x"))
                           & (F.col("k") >= F.col("k0")) & (F.col("k") < F.col("k1")))
     base = F.col("start") + (F.col("k") - F.col("k0")) * F.col("r")
-    kept = [c for c in rows.columns if c not in ("digest", "salt")]
     return found.select(*kept, "block", (base + F.col("p_slot")).alias("slot"), "place", (base + F.col("release")).alias("release"),
                         (base + F.col("deadline")).alias("deadline"))
 
