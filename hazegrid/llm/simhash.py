@@ -4,6 +4,7 @@ Equal fingerprints are one class from the start. The classes are dealt to bucket
 each bucket is cut into tiles ordered by population count, and tiles are compared with NumPy (exclusive or, bit
 counts); tile pairs whose population counts differ beyond the radius are skipped. What a task finds is reduced to a
 spanning forest, so no group of copies is expanded into its pairs. Links become groups by connected components.
+Where links are checked (``similar_links``), what a forest left out comes up again until it is checked or not needed.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from hazegrid.llm.textstats import scramble
 #: Fingerprints of a tile, and of a step inside a tile.
 TILE, STEP = 4096, 512
 SEED = 42
+#: Spanning forests of candidates that a round of checks takes (None: all that is left).
+ROUNDS = (1, 8, 64, None)
 
 
 def shingle_hashes(raw: bytes, words: int) -> np.ndarray:
@@ -90,21 +93,32 @@ def sampled_blocks(bits: int, rows: int, similarity: float, recall: float = 0.99
 
 
 def _bucketed(classes: DataFrame, blocks: list[list[int]], lanes: int) -> DataFrame:
-    """One row per fingerprint and block: block, key (the block's bits), pop (bits set), fp."""
+    """One row per fingerprint and block: block, key (the block's bits), pop (bits set), fp, and the label if there is
+    one. After the blocks come buckets of the shingles in ``few``."""
     places = [(np.array([64 * lanes - 1 - b for b in block]), len(block)) for block in blocks]
+    extra = [c for c in ("few", "label") if c in classes.columns]
+    more = [c for c in extra if c == "label"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0)
-            raw = np.frombuffer(b"".join(fp.to_pylist()), np.uint8).reshape(-1, 8 * lanes)
+            raw = np.frombuffer(b"".join(x[:8 * lanes] for x in fp.to_pylist()), np.uint8).reshape(-1, 8 * lanes)
             bits = np.unpackbits(raw, axis=1)
             pop = pa.array(bits.sum(1, dtype=np.int32))
+            rest = [batch.column(c) for c in more]
             for number, (where, width) in enumerate(places):
                 key = bits[:, where].astype(np.int64) @ (np.int64(1) << np.arange(width, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(raw), number, np.int32)), pa.array(key), pop, fp], ["block", "key", "pop", "fp"])
+                    [pa.array(np.full(len(raw), number, np.int32)), pa.array(key), pop, fp, *rest], ["block", "key", "pop", "fp", *more])
+            if "few" in extra:
+                few = batch.column("few").to_pylist()
+                at = pa.array([i for i, keys in enumerate(few) for _ in keys or ()], pa.int64())
+                key = pa.array([k for keys in few for k in keys or ()], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), len(places), np.int32)), key, pop.take(at), fp.take(at), *(c.take(at) for c in rest)],
+                    ["block", "key", "pop", "fp", *more])
 
-    return classes.select("fp").mapInArrow(run, "block int, key long, pop int, fp binary")
+    return classes.select("fp", *extra).mapInArrow(run, "block int, key long, pop int, fp binary" + "".join(f", {c} binary" for c in more))
 
 
 def _tiled(rows: DataFrame, radius: int, tile: int) -> DataFrame:
@@ -135,14 +149,33 @@ def _tiled(rows: DataFrame, radius: int, tile: int) -> DataFrame:
             .withColumn("tile", number(F.col("before") + place * F.col("n")))
             .withColumn("other", F.explode(F.sequence(number(F.col("lo")), number(F.col("hi") - 1))))
             .select("block", "key", F.least("tile", "other").alias("ti"), F.greatest("tile", "other").alias("tj"),
-                    "tile", "pop", "fp"))
+                    "tile", "pop", "fp", *[c for c in rows.columns if c == "label"]))
 
 
 def spanning(pairs: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of pairs of numbers with a distance, a spanning forest of least distances: in every round each component takes
     its nearest pair to another one. Two forests' union has the same forest as all their pairs."""
+    kept = _forest_rows(pairs, far)
+    return pairs[kept], far[kept]
+
+
+def forests(pairs: np.ndarray, far: np.ndarray, count: int | None) -> np.ndarray:
+    """Places of the pairs in ``count`` spanning forests, each of what those before it left; None: of all pairs that
+    join two numbers."""
+    live = np.flatnonzero(pairs[:, 0] != pairs[:, 1])
+    if count is None:
+        return live
+    taken = []
+    while count and len(live):
+        found = _forest_rows(pairs[live], far[live])
+        taken.append(live[found])
+        live, count = np.delete(live, found), count - 1
+    return np.sort(np.concatenate(taken)) if taken else live
+
+
+def _forest_rows(pairs: np.ndarray, far: np.ndarray) -> np.ndarray:
     if not len(pairs):
-        return pairs, far
+        return np.zeros(0, np.int64)
     nodes, where = np.unique(pairs, return_inverse=True)
     a, b = where.reshape(-1, 2).T
     rank = np.empty(len(pairs), np.int64)       # distances with ties told apart
@@ -163,28 +196,34 @@ def spanning(pairs: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray
             if (root == np.arange(len(nodes))).all():
                 break
             label = root[label]
-    keep_ = np.sort(np.concatenate(taken)) if taken else np.zeros(0, np.int64)
-    return pairs[keep_], far[keep_]
+    return np.sort(np.concatenate(taken)) if taken else np.zeros(0, np.int64)
 
 
 class _Forest:
-    """Pairs as they are found, reduced to a spanning forest whenever there are many."""
+    """Pairs as they are found, reduced to spanning forests whenever there are many. With labels, only pairs of rows
+    with different labels count, and the labels are what the forests span. ``more``: a pair was left out."""
 
-    def __init__(self, most: int = 1 << 20):
-        self.pairs, self.far, self.held, self.most = [], [], 0, most
+    def __init__(self, most: int = 1 << 20, count: int | None = 1, label: np.ndarray | None = None):
+        self.pairs, self.far, self.held, self.most, self.count, self.label, self.more = [], [], 0, most, count, label, False
 
     def add(self, pairs: np.ndarray, far: np.ndarray) -> None:
+        if self.label is not None:
+            apart = self.label[pairs[:, 0]] != self.label[pairs[:, 1]]
+            pairs, far = pairs[apart], far[apart]
         self.pairs.append(pairs)
         self.far.append(far)
         self.held += len(pairs)
-        if self.held > self.most:
+        if self.held > self.most and self.count is not None:
             pairs, far = self.result()
             self.pairs, self.far, self.held = [pairs], [far], 0
 
     def result(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.pairs:
             return np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-        return spanning(np.concatenate(self.pairs), np.concatenate(self.far))
+        pairs, far = np.concatenate(self.pairs), np.concatenate(self.far)
+        at = forests(pairs if self.label is None else self.label[pairs], far, self.count)
+        self.more |= len(at) < len(pairs)
+        return pairs[at], far[at]
 
 
 def _compare(fp: np.ndarray, pop: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int, found: _Forest) -> None:
@@ -206,43 +245,65 @@ def _compare(fp: np.ndarray, pop: np.ndarray, left: np.ndarray, right: np.ndarra
                 found.add(np.stack([a[x], b[y]], 1), far[x, y].astype(np.int64))
 
 
-def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]], tile: int = TILE) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints within the radius: of all that a batch of a task finds, a spanning forest
-    of least distances."""
-    tiled = _tiled(_bucketed(classes, blocks, lanes), radius, tile)
+def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]], tile: int = TILE, count: int | None = 1,
+          wide: int | None = None) -> DataFrame:
+    """Pairs (a, b) of distinct fingerprints within the radius: of all that a batch of a task finds, ``count`` spanning
+    forests of least distances (None: all pairs). ``more`` says that the batch left out pairs.
+
+    If the classes have a ``label``, only pairs of different labels count, and forests span the labels. Bytes of a
+    fingerprint after its lanes tell classes apart and are not compared. Rows with shingles in ``few`` also meet in
+    buckets of those, with the radius ``wide``.
+    """
+    wide = radius if wide is None else wide
+    labelled = "label" in classes.columns
+    tiled = _tiled(_bucketed(classes, blocks, lanes), max(radius, wide), tile)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found, own, rows):
+            pairs, far = found.result()
+            if not len(pairs):
+                return None
+            rows_in = np.unique(pairs)
+            nodes, where = np.unique(own[rows_in], return_inverse=True)  # a fingerprint stands in many blocks
+            number = np.zeros(rows, np.int64)
+            number[rows_in] = where.reshape(-1)
+            ends = np.sort(number[pairs], axis=1)
+            _, first = np.unique(ends, axis=0, return_index=True)
+            label = None if found.label is None else found.label[pairs[first]]
+            pairs, far = ends[first], far[first]
+            at = forests(pairs if label is None else label, far, count)
+            more = found.more or len(at) < len(np.flatnonzero(pairs[:, 0] != pairs[:, 1]))
+            return pa.RecordBatch.from_arrays([*(pa.array(nodes[col].tolist(), pa.binary()) for col in pairs[at].T),
+                                               pa.array(np.full(len(at), more))], ["a", "b", "more"])
+
         def settle(columns):
-            group, ti, tj, own, pop, raw = columns
-            fp = np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, lanes)
+            group, ti, tj, own, pop, name, of = columns
+            fp = np.frombuffer(b"".join(x[:8 * lanes] for x in name), ">u8").astype(np.uint64).reshape(-1, lanes)
+            label = np.unique(of, return_inverse=True)[1].reshape(-1) if labelled else None
+            most = np.where(group[:, 0] < len(blocks), radius, wide)
             cut = np.flatnonzero(np.any(group[1:] != group[:-1], axis=1)) + 1
             starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(pop)]))
             small = (ends - starts <= 64) & (ti[starts] == tj[starts])
             mark = np.repeat(np.where(small, np.arange(len(starts)), -1), ends - starts)
-            found = _Forest()
+            found = _Forest(count=count, label=label)
             for d in range(1, int((ends - starts)[small].max(initial=1))):  # all small groups at once
-                at = np.flatnonzero((mark[d:] == mark[:-d]) & (mark[d:] >= 0) & (pop[d:] - pop[:-d] <= radius))
+                at = np.flatnonzero((mark[d:] == mark[:-d]) & (mark[d:] >= 0) & (pop[d:] - pop[:-d] <= most[:-d]))
                 if len(at):
                     far = np.bitwise_count(fp[at] ^ fp[at + d]).sum(1, dtype=np.int64)
-                    found.add(np.stack([at, at + d], 1)[far <= radius], far[far <= radius])
+                    near = far <= most[at]
+                    found.add(np.stack([at, at + d], 1)[near], far[near])
             for s, e in zip(starts[~small], ends[~small]):
                 every = np.arange(s, e)
                 if ti[s] == tj[s]:
-                    _compare(fp, pop, every, every, radius, found)
+                    _compare(fp, pop, every, every, most[s], found)
                 else:
                     left, right = every[own[s:e] == ti[s]], every[own[s:e] == tj[s]]
                     if len(left) and len(right):
-                        _compare(fp, pop, left, right, radius, found)
-            pairs, far = found.result()
-            if not len(pairs):
-                return None
-            rows_in = np.unique(pairs)
-            nodes, where = np.unique(fp[rows_in], axis=0, return_inverse=True)  # a fingerprint stands in many blocks
-            number = np.zeros(len(pop), np.int64)
-            number[rows_in] = where.reshape(-1)
-            pairs, _ = spanning(np.sort(number[pairs], axis=1), far)
-            text = [x.tobytes() for x in nodes.astype(">u8")]
-            return pa.RecordBatch.from_arrays([pa.array([text[i] for i in col], pa.binary()) for col in pairs.T], ["a", "b"])
+                        _compare(fp, pop, left, right, most[s], found)
+                if found.held > found.most:  # all pairs are wanted: pass them on
+                    yield out(found, name, len(pop))
+                    found = _Forest(count=count, label=label)
+            yield out(found, name, len(pop))
 
         rest = None
         for batch in batches:
@@ -250,23 +311,20 @@ def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]],
                 continue
             c = {n: batch.column(n) for n in batch.schema.names}
             num = {n: c[n].to_numpy(zero_copy_only=False) for n in ("block", "key", "ti", "tj", "tile", "pop")}
+            name = np.array(c["fp"].to_pylist(), object)
             now = (np.stack([num["block"], num["key"], num["ti"], num["tj"]], 1).astype(np.int64), num["ti"], num["tj"],
-                   num["tile"], num["pop"].astype(np.int64), b"".join(c["fp"].to_pylist()))
+                   num["tile"], num["pop"].astype(np.int64), name, np.array(c["label"].to_pylist(), object) if labelled else name)
             if rest is not None:
-                now = tuple(x + y if isinstance(x, bytes) else np.concatenate((x, y)) for x, y in zip(rest, now))
+                now = tuple(np.concatenate((x, y)) for x, y in zip(rest, now))
             last = int(np.argmax((now[0] == now[0][-1]).all(1)))  # where the last group, maybe not whole yet, begins
             if last:
-                out = settle((*(x[:last] for x in now[:5]), now[5][:8 * lanes * last]))
-                if out is not None:
-                    yield out
-            rest = (*(x[last:] for x in now[:5]), now[5][8 * lanes * last:])
+                yield from filter(None, settle([x[:last] for x in now]))
+            rest = tuple(x[last:] for x in now)
         if rest is not None:
-            out = settle(rest)
-            if out is not None:
-                yield out
+            yield from filter(None, settle(rest))
 
     keys = ["block", "key", "ti", "tj"]
-    return tiled.repartition(*keys).sortWithinPartitions(*keys, "pop").mapInArrow(run, "a binary, b binary")
+    return tiled.repartition(*keys).sortWithinPartitions(*keys, "pop").mapInArrow(run, "a binary, b binary, more boolean")
 
 
 def classes_of(prints: DataFrame) -> DataFrame:
@@ -306,6 +364,34 @@ def similar(docs: DataFrame, classes: DataFrame, edges: DataFrame, words: int, s
     return met.where(both >= F.lit(similarity) * (F.size("s_a") + F.size("s_b") - both)).select("a", "b")
 
 
+def similar_links(docs: DataFrame, classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]], wide: int, words: int,
+                  similarity: float, id_col: str, text_col: str, tile: int = TILE) -> DataFrame:
+    """Checked pairs (a, b) that link the same classes as all similar candidates together.
+
+    A round checks some spanning forests of the candidates; classes that are linked by then count as one in the next,
+    which takes more forests of the candidates between them, until every candidate either was checked or joins classes
+    that are linked already.
+    """
+    rows, checked, good = classes.withColumn("label", F.col("fp")), None, None
+    for count in ROUNDS:
+        found = keep(links(rows, radius, lanes, blocks, tile, count, wide), "candidates")
+        new = found.select("a", "b").distinct()
+        new = keep(new if checked is None else new.join(checked, ["a", "b"], "left_anti"), "unchecked")
+        passed = keep(similar(docs, classes, new, words, similarity, id_col, text_col), "similar")
+        checked = new if checked is None else checked.union(new)
+        good = passed if good is None else good.union(passed)
+        left = found.where("more")
+        if left.isEmpty():
+            break
+        # A forest reaches every class (as labelled in this round) that has a candidate
+        ends = left.select(F.col("a").alias("fp")).union(left.select("b")).distinct()
+        open_ = rows.join(ends, "fp").select("label").distinct()
+        root = components(good)
+        rows = keep(rows.join(open_, "label").join(root, F.col("fp") == F.col("node"), "left")
+                    .select("fp", "least", F.coalesce("root", "fp").alias("label")), "open")
+    return good
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
                     tile: int = TILE) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable).
@@ -326,10 +412,10 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       similarity: float = 0.8, lanes: int = 4, slack: float = 2.0) -> DataFrame:
     """``docs`` with one row of each group of near copies, its columns unchanged: the one with the smallest id.
 
-    Fingerprints of ``lanes`` x 64 bits over ``words``-word shingles estimate the Jaccard similarity of texts. Those that
-    differ in no more bits than are expected at ``similarity``, plus ``slack`` standard deviations, are candidates;
-    buckets come from sampled bits. A spanning forest of least distances of the candidates is checked exactly, on the
-    sets of shingles, and the pairs that are similar make the groups. Equal fingerprints need no check.
+    Fingerprints of ``lanes`` x 64 bits over ``words``-word shingles estimate the Jaccard similarity of
+    texts. Those that differ in no more bits than are expected at ``similarity``, plus ``slack`` standard deviations, are
+    candidates; buckets come from sampled bits. Candidates are checked exactly, on the sets of shingles, until no
+    unchecked one joins two groups. Equal fingerprints need no check.
     Null texts are copies of the empty one; among equal ids the row with the smallest text hash stays, of repeated rows
     one; a null id loses to any other. An empty table gives an empty result.
     """
@@ -338,8 +424,9 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     radius = round(bits * share + slack * math.sqrt(bits * share * (1 - share)))
     prints = keep(fingerprints(docs, id_col, text_col, words, lanes), "prints")
     classes = classes_of(prints)
-    edges = links(classes, radius, lanes, sampled_blocks(bits, classes.count(), similarity))
-    found = groups(classes, similar(docs, classes, edges, words, similarity, id_col, text_col))
+    blocks = sampled_blocks(bits, classes.count(), similarity)
+    edges = similar_links(docs, classes, radius, lanes, blocks, radius, words, similarity, id_col, text_col)
+    found = groups(classes, edges)
     rows = prints.join(found, "fp")
     stays = F.col("id").eqNullSafe(F.col("first.id")) & F.col("text_hash").eqNullSafe(F.col("first.text_hash"))
     gone = keep(rows.where(~stays).select("id", "text_hash").distinct(), "gone")

@@ -110,3 +110,19 @@ def test_blocks_meet_all_pairs_within_the_radius():
     assert sorted(b for block in blocks for b in block) == list(range(64)) and len(blocks) == 3
     wide = simhash.sampled_blocks(256, 10 ** 6, 0.8)
     assert len(wide[0]) == 13 and 1 - (1 - 0.8485 ** 13) ** len(wide) >= 0.99
+
+
+def left_and_wanted(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in enumerate(texts)], SCHEMA)
+    sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    want = roots(range(len(texts)), lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    return {r.doc_id for r in simhash.one_of_each_group(docs).collect()}, set(want.values())
+
+
+def test_failed_checks_do_not_hide_other_candidates(spark):
+    # A family of variants: a common core and own tails, so that most candidates of least distance are not similar
+    r = random.Random(11)
+    core = " ".join(f"c{i}" for i in range(300))
+    texts = [core + "".join(f" t{i}x{j}" for j in range(r.randint(0, 85))) for i in range(120)]
+    left, want = left_and_wanted(spark, texts)
+    assert left == want and 1 < len(want) < 30
