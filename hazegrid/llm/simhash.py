@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from hazegrid.llm.common import internal, keep, small
 from hazegrid.llm.components import components
@@ -28,6 +28,8 @@ TILE, STEP = 4096, 512
 SEED = 42
 #: Spanning forests of candidates that a round of checks takes (None: all that is left).
 ROUNDS = (1, 8, 64, None)
+#: Distinct shingles of a short text, and deviations from the expected distance at which short texts are candidates.
+SHORT, SHORT_SLACK = 50, 8.0
 
 
 def shingle_hashes(raw: bytes, words: int) -> np.ndarray:
@@ -73,6 +75,30 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return frame.mapInArrow(run, StructType([frame.schema["id"], frame.schema["text_hash"]]).add("fp", "binary"))
 
 
+def set_prefix(hashes: np.ndarray, similarity: float) -> np.ndarray:
+    """Of sorted distinct hashes, so many of the smallest that sets of the given Jaccard similarity have one in common."""
+    return hashes[:len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1] if len(hashes) else hashes
+
+
+def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int, similarity: float) -> DataFrame:
+    """As ``fingerprints``, of the distinct shingles: ``fp`` has 16 bytes more, a digest of the set, so that only texts
+    with the same shingles have the same ``fp``. ``few`` is the set's prefix if it is short, or null."""
+    frame = internal(docs, id=id_col, text_hash=F.xxhash64(docs[text_col]), text=docs[text_col].cast("binary"))
+    most = math.ceil(SHORT / similarity)  # what a short set can be similar to
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, few = [], []
+            for t in batch.column(2):
+                h = np.unique(shingle_hashes(t.as_py() or b"", words))
+                found.append(fingerprint(h, lanes).astype(">u8").tobytes() + xxhash.xxh3_128_digest(h.astype("<u8").tobytes(), SEED))
+                few.append(set_prefix(h, similarity).view(np.int64) if len(h) <= most else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary()), pa.array(few, pa.list_(pa.int64()))],
+                                             ["id", "text_hash", "fp", "few"])
+
+    return frame.mapInArrow(run, StructType([frame.schema["id"], frame.schema["text_hash"]]).add("fp", "binary").add("few", ArrayType(LongType())))
+
+
 def _matrix(column: pa.Array, lanes: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, lanes)
 
@@ -330,7 +356,8 @@ def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]],
 def classes_of(prints: DataFrame) -> DataFrame:
     """Distinct fingerprints (``fp``) with their smallest (no_id, id, text_hash); null ids come after all others."""
     who = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
-    return keep(prints.groupBy("fp").agg(F.min(who).alias("least")), "classes")
+    few = [F.first("few").alias("few")] if "few" in prints.columns else []  # the same in all rows of a class
+    return keep(prints.groupBy("fp").agg(F.min(who).alias("least"), *few), "classes")
 
 
 def groups(classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -388,7 +415,7 @@ def similar_links(docs: DataFrame, classes: DataFrame, radius: int, lanes: int,
         open_ = rows.join(ends, "fp").select("label").distinct()
         root = components(good)
         rows = keep(rows.join(open_, "label").join(root, F.col("fp") == F.col("node"), "left")
-                    .select("fp", "least", F.coalesce("root", "fp").alias("label")), "open")
+                    .select("fp", "least", "few", F.coalesce("root", "fp").alias("label")), "open")
     return good
 
 
@@ -409,23 +436,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                      similarity: float = 0.8, lanes: int = 4, slack: float = 2.0) -> DataFrame:
+                      similarity: float = 0.8, lanes: int = 4, slack: float = 4.0) -> DataFrame:
     """``docs`` with one row of each group of near copies, its columns unchanged: the one with the smallest id.
 
-    Fingerprints of ``lanes`` x 64 bits over ``words``-word shingles estimate the Jaccard similarity of
+    Fingerprints of ``lanes`` x 64 bits over the distinct ``words``-word shingles estimate the Jaccard similarity of
     texts. Those that differ in no more bits than are expected at ``similarity``, plus ``slack`` standard deviations, are
-    candidates; buckets come from sampled bits. Candidates are checked exactly, on the sets of shingles, until no
-    unchecked one joins two groups. Equal fingerprints need no check.
+    candidates; buckets come from sampled bits, and for texts of few shingles also from the shingles that similar sets
+    must share. Candidates are checked exactly, on the sets of shingles, those with equal fingerprints too, until no
+    unchecked one joins two groups. Only texts with equal sets of shingles need no check.
     Null texts are copies of the empty one; among equal ids the row with the smallest text hash stays, of repeated rows
     one; a null id loses to any other. An empty table gives an empty result.
     """
     bits = 64 * lanes
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    radius = round(bits * share + slack * math.sqrt(bits * share * (1 - share)))
-    prints = keep(fingerprints(docs, id_col, text_col, words, lanes), "prints")
+    radius, wide = (round(bits * share + s * math.sqrt(bits * share * (1 - share))) for s in (slack, SHORT_SLACK))
+    prints = keep(set_fingerprints(docs, id_col, text_col, words, lanes, similarity), "prints")
     classes = classes_of(prints)
     blocks = sampled_blocks(bits, classes.count(), similarity)
-    edges = similar_links(docs, classes, radius, lanes, blocks, radius, words, similarity, id_col, text_col)
+    edges = similar_links(docs, classes, radius, lanes, blocks, wide, words, similarity, id_col, text_col)
     found = groups(classes, edges)
     rows = prints.join(found, "fp")
     stays = F.col("id").eqNullSafe(F.col("first.id")) & F.col("text_hash").eqNullSafe(F.col("first.text_hash"))

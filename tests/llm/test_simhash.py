@@ -126,3 +126,22 @@ def test_failed_checks_do_not_hide_other_candidates(spark):
     texts = [core + "".join(f" t{i}x{j}" for j in range(r.randint(0, 85))) for i in range(120)]
     left, want = left_and_wanted(spark, texts)
     assert left == want and 1 < len(want) < 30
+
+
+def test_fillers_make_no_copies_and_hide_none(spark):
+    filler = "bar " * 900
+    texts = [filler + " ".join(f"u{i}x{j}" for j in range(150)) for i in range(4)]            # equal fillers, other texts
+    once = " ".join(f"v{j}" for j in range(200))
+    texts += [once, once + " " + " ".join(once.split()[40:60] * 40)]                          # one passage repeated
+    left, want = left_and_wanted(spark, texts)
+    assert left == want == {0, 1, 2, 3, 4}
+
+
+def test_short_texts_are_found(spark):
+    r = random.Random(13)
+    texts = []
+    for i in range(300):
+        words = [f"s{i}x{j}" for j in range(r.randint(8, 40))]
+        texts += [" ".join(words), " ".join(words + [f"more{i}"])]
+    left, want = left_and_wanted(spark, texts)
+    assert left == want and len(want) < 400
