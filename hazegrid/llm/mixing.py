@@ -126,8 +126,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **o
                                               "place", "release", "deadline")
 
 
+def order_key(docs: DataFrame, source_col: str = "source") -> tuple[Column, Column]:
+    """The columns ``key`` and ``tie`` by which ``in_mixed_order`` places a row, besides its id."""
+    return source_key(docs[source_col]), F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+
+
 def in_mixed_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """``docs`` with all columns unchanged, in the order of the mix (written, the files follow it)."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), docs[id_col].alias("id"), source_key(docs[source_col]).alias("key"),
-                       F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind]).alias("tie"))
+    key, tie = order_key(docs, source_col)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), docs[id_col].alias("id"), key.alias("key"), tie.alias("tie"))
     return interleave(rows, **options).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")

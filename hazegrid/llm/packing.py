@@ -14,10 +14,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hazegrid.llm import mixing
 from hazegrid.llm.common import internal, keep
 
 SEQUENCE = 2048
@@ -67,13 +68,14 @@ class Encoder:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE,
-           end_id: int = 0) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32, and its place in the input (part, number).
+           end_id: int = 0, **carried: Column) -> DataFrame:
+    """One row per piece: id, piece, start, length, ids_crc32, its place in the input (part, number) and ``carried`` columns.
 
     Every text's ids are followed by ``end_id``. Texts of more than ``size`` ids are cut so that all pieces but the
     first are full. A null text is an empty one: one piece of one id.
     """
-    frame = internal(docs, id=id_col, text=text_col).withColumn("part", F.spark_partition_id())
+    frame = internal(docs, id=id_col, text=text_col, part=F.spark_partition_id(), **carried)
+    names = list(carried)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -95,12 +97,28 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             of, *rest = rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(of, pa.int64())), *(pa.array(v, pa.int64()) for v in rest),
-                 batch.column(2).take(pa.array(of, pa.int64()))], ["id", "piece", "start", "length", "ids_crc32", "number", "part"])
+                 *(c.take(pa.array(of, pa.int64())) for c in batch.columns[2:])],
+                ["id", "piece", "start", "length", "ids_crc32", "number", "part", *names])
 
     schema = StructType([frame.schema["id"]])
     for c in ("piece", "start", "length", "ids_crc32", "number"):
         schema = schema.add(c, "long")
-    return frame.mapInArrow(run, schema.add("part", "integer"))
+    schema = schema.add("part", "integer")
+    for c in names:
+        schema = schema.add(frame.schema[c])
+    return frame.mapInArrow(run, schema)
+
+
+def in_mixed_order(cut: DataFrame, **options) -> DataFrame:
+    """Rows of ``pieces`` (with ``key`` and ``tie`` of their documents) with places that follow the mix, in which a
+    document's pieces stay together. Texts do not travel again."""
+    first = (F.col("number") - F.col("piece")).alias("first")  # a document's pieces have running numbers
+    texts = keep(cut.groupBy("part", first, "id", "key", "tie")
+                 .agg(F.sort_array(F.collect_list(F.struct("piece", "start", "length", "ids_crc32"))).alias("cut")), "texts")
+    rows = mixing.interleave(texts.select("id", "key", "tie", "cut"), **options)
+    rows = rows.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("id", F.explode("cut").alias("cut"))
+    place = F.monotonically_increasing_id()
+    return rows.select("id", "cut.*", F.shiftrightunsigned(place, 33).cast("int").alias("part"), place.bitwiseAND((1 << 33) - 1).alias("number"))
 
 
 def best_fit(lengths: np.ndarray, size: int = SEQUENCE, most_docs: int = SEQUENCE, most_cost: int = SEQUENCE ** 2,
@@ -177,3 +195,13 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     cut = keep(pieces(docs, tokenizer_path, id_col, text_col, size), "pieces")
     return pack(cut, size, block, **rule).select(
         F.col("id").alias(id_col), F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def pack_mixed(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               size: int = SEQUENCE, block: int = BLOCK, mix: dict | None = None, **rule) -> DataFrame:
+    """As ``pack_documents``, with blocks cut in the order of ``mixing.in_mixed_order`` (options ``mix``), however the
+    rows are read: files of a written mix do not come back in their order."""
+    key, tie = mixing.order_key(docs, source_col)
+    cut = keep(pieces(docs, tokenizer_path, id_col, text_col, size, key=key, tie=tie), "pieces")
+    return pack(keep(in_mixed_order(cut, **(mix or {})), "mixed"), size, block, **rule).select(
+        F.col("id").alias(id_col), F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -1,7 +1,9 @@
 import random
 from fractions import Fraction
 
-from hazegrid.llm import mixing
+import public_tokenizers
+
+from hazegrid.llm import mixing, packing
 
 
 def plain_schedule(c):
@@ -70,3 +72,16 @@ def test_order_of_written_files_and_native_plan(spark, tmp_path):
     assert "Python" not in out._jdf.queryExecution().toString() and "Arrow" not in out._jdf.queryExecution().toString()
     read = [slots[r.doc_id] for r in out.collect()]
     assert read == sorted(read)
+
+
+def test_sequences_follow_the_mix_over_files_of_unequal_size(spark, tmp_path):
+    r = random.Random(4)
+    rows = [(i, " ".join(f"w{r.randrange(90)}" for _ in range(r.choice((3, 20, 200)))), "hot" if i % 3 else r.choice("ab")) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    places = {x.doc_id: (x.slot, x.place) for x in mixing.mix(docs).collect()}
+    for at, part in enumerate((docs.where("doc_id < 20"), docs.where("doc_id >= 20 and doc_id < 500"), docs.where("doc_id >= 500"))):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/n={at}"))
+    read = spark.read.parquet(str(tmp_path / "in")).select("doc_id", "text", "source")
+    out = packing.pack_mixed(read, public_tokenizers.path("byte_bpe_50k.json"), block=50).collect()
+    order = sorted({(places[x.doc_id], x.doc_id, x.piece): x.sequence_id // 51 for x in out}.items())
+    assert len(order) == 600 and [b for _, b in order] == [i // 50 for i in range(600)]
