@@ -2,7 +2,7 @@
 
 Records are gzip members of archives of bounded size, written by Spark. The reader checks each member (gzip checksum),
 each record (version line, length, digest) and, after a failed check, looks for the next member or version line that
-starts a valid record; the bytes between are quarantined and logged.
+starts a valid record, inside a member too; the bytes between are quarantined and logged.
 """
 
 from __future__ import annotations
@@ -125,6 +125,48 @@ def _member(data: memoryview, at: int) -> tuple[bytes, int]:
     return b"".join(out), end - len(inflate.unused_data)
 
 
+def _inflated(data: memoryview, at: int) -> bytes:
+    """What a damaged gzip member at ``at`` gives before its first error."""
+    def feed(end: int, step: int) -> int:
+        while end < len(data) and not inflate.eof:
+            try:
+                out.append(inflate.decompress(data[end:end + step]))
+            except zlib.error:
+                break
+            end += step
+        return end
+
+    inflate, out = zlib.decompressobj(31), []
+    failed = feed(at, 1 << 16)                       # the part with the error gives nothing in one go
+    inflate, out = zlib.decompressobj(31), []
+    view, data = data, data[:failed]
+    feed(at, 1 << 16)
+    data = view[:failed + (1 << 16)]
+    feed(failed, 1)
+    return b"".join(out)
+
+
+def _records(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes | None, str | None]]:
+    """Records and gaps of the content of a member, as ``salvage`` has them, found by version lines only."""
+    at, bad, why = 0, -1, ""
+    while at < len(data):
+        try:
+            fields, block, end = _plain(data, at)
+        except ValueError as e:
+            if bad < 0:
+                bad, why = at, str(e)
+            line = _LINE.search(data, at + 1)
+            at = line.start() if line else len(data)
+            continue
+        if bad >= 0:
+            yield bad, at - bad, None, None, why
+            bad = -1
+        yield at, end - at, fields, block, None
+        at = end
+    if bad >= 0:
+        yield bad, len(data) - bad, None, None, why
+
+
 def _plain(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """Fields and block of the record at ``at``, and where it ends. Raises ValueError if a check fails."""
     if not _LINE.match(data, at):
@@ -154,6 +196,11 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, byte
 
     Gaps run from the first byte that fails a check to the next valid member or version line, or to the end. Records
     and gaps cover the archive; empty members and line breaks between records count to neither.
+
+    Records and gaps inside a whole member have its offset and length; the reason of a gap names the bytes of the
+    content. A member with a wrong checksum or without its end is a gap; what it gives before the error is searched
+    too, and records from there have its offset and length 0. A member that holds nothing but one record is not
+    whole without its checksum, so that record stays in the gap.
     """
     view, at, bad, why = memoryview(data), 0, -1, ""
 
@@ -166,16 +213,34 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, byte
     while at < len(data):
         try:
             if data.startswith(GZIP, at):
-                content, end = _member(view, at)
-                inner, rows = 0, []
-                while inner < len(content):
-                    fields, block, inner = _plain(content, inner)
-                    rows.append((fields, block))
+                try:
+                    content, end = _member(view, at)
+                except zlib.error as e:
+                    found = list(_records(_inflated(view, at)))
+                    rows = [r for r in found if r[2] is not None]
+                    if not rows or len(found) == 1:
+                        raise
+                    if bad >= 0:
+                        yield bad, at - bad, None, None, why
+                    for _, _, fields, block, _ in rows:
+                        yield at, 0, fields, block, None
+                    for start, length, fields, _, reason in found:
+                        if fields is None:
+                            yield at, 0, None, None, f"{reason} (bytes {start} to {start + length} of the member's content)"
+                    bad, why = at, str(e)
+                    at = next_start(at + 1)
+                    continue
+                rows = list(_records(content))
+                failed = [r for r in rows if r[2] is None]
+                if len(failed) == len(rows) > 0:
+                    raise ValueError(failed[0][4])
+                rows = [(fields, block, reason and f"{reason} (bytes {start} to {start + length} of the member's content)")
+                        for start, length, fields, block, reason in rows]
             elif data.startswith(b"\r\n", at):
                 end, rows = at + 2, []
             else:
                 fields, block, end = _plain(data, at)
-                rows = [(fields, block)]
+                rows = [(fields, block, None)]
         except (zlib.error, ValueError) as e:
             if bad < 0:
                 bad, why = at, str(e)
@@ -184,8 +249,8 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, byte
         if bad >= 0 and rows:  # only a record ends a gap
             yield bad, at - bad, None, None, why
             bad = -1
-        for fields, block in rows:
-            yield at, end - at, fields, block, None
+        for fields, block, reason in rows:
+            yield at, end - at, fields, block, reason
         at = end
     if bad >= 0:
         yield bad, len(data) - bad, None, None, why

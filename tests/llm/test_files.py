@@ -62,6 +62,27 @@ def test_salvage_of_plain_records():
     assert ids(records[0] + b"junk\r\n" + records[1]) == [names[0], None, names[1]]
 
 
+def test_salvage_inside_a_member():
+    r = np.random.RandomState(1)
+    records = [one(i, r.bytes(3000).hex().encode()) for i in range(60)]
+    names = [f"<urn:page:{i}>" for i in range(60)]
+    content = bytearray(b"".join(records))
+    content[len(b"".join(records[:3])) - 10] ^= 1          # the block digest of the third fails, the member is whole
+    whole = gzip.compress(bytes(content), mtime=0)
+    assert ids(whole) == [*names[:2], None, *names[3:]]
+    assert "of the member's content" in [x for x in warc.salvage(whole) if x[2] is None][0][4]
+    good = gzip.compress(b"".join(records), mtime=0)
+    after = gzip.compress(one(99), mtime=0)
+    wrong = bytearray(good)
+    wrong[-6] ^= 1                                         # the checksum
+    assert ids(bytes(wrong) + after) == [*names, None, "<urn:page:99>"]
+    cut = ids(good[:len(good) // 2])                       # its end is missing
+    assert cut[:28] == names[:28] and cut[-1] is None and len(cut) < 40
+    flipped = bytearray(good)
+    flipped[len(good) // 2] ^= 0xFF
+    assert ids(bytes(flipped) + after)[:25] == names[:25] and ids(bytes(flipped) + after)[-1] == "<urn:page:99>"
+
+
 def test_archives_round_trip(spark):
     long = "x<p>é</p>\r\n\r\nWARC/1.1\r\n" * 4000
     pages = [(1, "u", "a"), (2, None, "a"), (3, "u\r\nv", "b"), (4, "u", None), (5, "u", ""), (6, "u", long), (7, "u", long), (7, "u", long),
