@@ -76,3 +76,14 @@ def test_coverage_counts_characters():
     m = repetition.measure(text.encode(), (5, 8))
     assert m["dup_chars_5"] == 2 * 9 and m["dup_chars_8"] == 0
     assert (m["n_dup_lines"], m["dup_line_chars"], m["n_words"]) == (1, 9, 15)
+
+
+def test_a_text_can_fail_by_coverage_alone(spark):
+    words = [f"w{i:03}" for i in range(130)]
+    texts = [words[:100] + words[:25] + words[100:] + words[:k] for k in (0, 25)]  # 25 words twice, three times
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    out = {r.doc_id: r for r in repetition.repetition_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(r.base_failed for r in out.values())
+    few = " ".join(words + words[:12])                       # 17 percent
+    short = repetition.repetition_report(spark.createDataFrame([(0, few)], "doc_id long, text string")).first()
+    assert short.kept and not any(r.kept for r in out.values())
