@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazegrid.llm import ann, chat, gam, langid, lm, mixing, packing, repetition, simhash, warc
+from hazegrid.llm import ann, blockmax, chat, gam, importance, langid, lm, merkle, mixing, oracle, packing, repetition, simhash, warc
 from hazegrid.llm.common import fold, keep, table
 from hazegrid.session import scratch_path
 
@@ -66,6 +66,28 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), longest=1, buckets=10_000,
+                               percent=10, least_words=20, seed=2024)
+
+
+def op12_topk(spark: SparkSession, folder: str) -> DataFrame:
+    rows = blockmax.quantised(table(spark, folder, "embeddings"), 64)
+    return blockmax.top_k(rows, rows.where("id % 20 = 0"), k=20)
+
+
+UPPER, LOWER = (bytes(range(first, first + 26)).decode() for first in (65, 97))
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fifth document, by its id's CRC, comes back with its capitals lower-cased and is held against the manifest."""
+    docs = table(spark, folder, "documents")
+    text = F.when(fold("doc_id", 5) == 0, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    seen = merkle.digest(merkle.record(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text))
+    found = merkle.verified(merkle.manifest(docs, seen=seen), "seen")
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -77,6 +99,9 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_langid": op9_langid,
     "op10_packing": op10_packing,
+    "op11_importance": op11_importance,
+    "op12_topk": op12_topk,
+    "op13_manifest": op13_manifest,
 }
 
 
@@ -191,4 +216,7 @@ ORACLE_SQL = {
     "op8_chat": _CHAT_SQL,
     "op1_mixing": _MIXING_SQL,
     "op5_repetition": _repetition_sql(),
+    "op11_importance": oracle.importance_sql(10_000, 10, 20, 2024),
+    "op12_topk": oracle.top_k_sql(20, 20, 64),
+    "op13_manifest": oracle.merkle_sql(),
 }
