@@ -4,12 +4,10 @@ Equal fingerprints are one class from the start. The classes are dealt to bucket
 each bucket is cut into tiles ordered by population count, and tiles are compared with NumPy (exclusive or, bit
 counts); tile pairs whose population counts differ beyond the radius are skipped. What a task finds is reduced to a
 spanning forest, so no group of copies is expanded into its pairs. Links become groups by connected components.
-Where links are checked (``similar_links``), what a forest left out comes up again until it is checked or not needed.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,19 +15,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructType
+from pyspark.sql.types import StructType
 
 from hazegrid.llm.common import internal, keep, small
 from hazegrid.llm.components import components
-from hazegrid.llm.textstats import scramble
 
 #: Fingerprints of a tile, and of a step inside a tile.
 TILE, STEP = 4096, 512
 SEED = 42
-#: Spanning forests of candidates that a round of checks takes (None: all that is left).
-ROUNDS = (1, 8, 64, None)
-#: Distinct shingles of a short text, and deviations from the expected distance at which short texts are candidates.
-SHORT, SHORT_SLACK = 50, 8.0
 
 
 def shingle_hashes(raw: bytes, words: int) -> np.ndarray:
@@ -47,104 +40,48 @@ def shingle_hashes(raw: bytes, words: int) -> np.ndarray:
     return np.array([h(joined[a:b], SEED) for a, b in zip(start, end[words - 1:].tolist())], np.uint64)
 
 
-def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
-    """``lanes`` 64-bit numbers; a bit is 1 if set in over half the hashes. Lane 0 takes the hashes as they are,
-    further lanes take them scrambled anew. No hashes: zero."""
-    out = np.zeros(lanes, np.uint64)
-    h = hashes
-    for lane in range(lanes):
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(h), 1 << 16):
-            part = np.ascontiguousarray(h[at:at + (1 << 16)]).astype("<u8")
-            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out[lane] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
-        h = scramble(h)
-    return out
+def fingerprint(hashes: np.ndarray) -> int:
+    """A bit is 1 if set in over half the hashes. No hashes: zero."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        part = np.ascontiguousarray(hashes[at:at + (1 << 16)]).astype("<u8")
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, lanes: int = 1) -> DataFrame:
-    """Columns ``id``, ``text_hash`` and ``fp`` (big-endian bytes, 8 per lane) of every row; a null text has no words."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """Columns ``id``, ``text_hash`` and ``fp`` (big-endian bytes) of every row; a null text has no words."""
     frame = internal(docs, id=id_col, text_hash=F.xxhash64(docs[text_col]), text=docs[text_col].cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(shingle_hashes(t.as_py() or b"", words), lanes).astype(">u8").tobytes() for t in batch.column(2)]
+            found = [fingerprint(shingle_hashes(t.as_py() or b"", words)).to_bytes(8, "big") for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())],
                                              ["id", "text_hash", "fp"])
 
     return frame.mapInArrow(run, StructType([frame.schema["id"], frame.schema["text_hash"]]).add("fp", "binary"))
 
 
-def set_prefix(hashes: np.ndarray, similarity: float) -> np.ndarray:
-    """Of sorted distinct hashes, so many of the smallest that sets of the given Jaccard similarity have one in common."""
-    return hashes[:len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1] if len(hashes) else hashes
-
-
-def set_fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int, similarity: float) -> DataFrame:
-    """As ``fingerprints``, of the distinct shingles: ``fp`` has 16 bytes more, a digest of the set, so that only texts
-    with the same shingles have the same ``fp``. ``few`` is the set's prefix if it is short, or null."""
-    frame = internal(docs, id=id_col, text_hash=F.xxhash64(docs[text_col]), text=docs[text_col].cast("binary"))
-    most = math.ceil(SHORT / similarity)  # what a short set can be similar to
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, few = [], []
-            for t in batch.column(2):
-                h = np.unique(shingle_hashes(t.as_py() or b"", words))
-                found.append(fingerprint(h, lanes).astype(">u8").tobytes() + xxhash.xxh3_128_digest(h.astype("<u8").tobytes(), SEED))
-                few.append(set_prefix(h, similarity).view(np.int64) if len(h) <= most else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary()), pa.array(few, pa.list_(pa.int64()))],
-                                             ["id", "text_hash", "fp", "few"])
-
-    return frame.mapInArrow(run, StructType([frame.schema["id"], frame.schema["text_hash"]]).add("fp", "binary").add("few", ArrayType(LongType())))
-
-
-def _matrix(column: pa.Array, lanes: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, lanes)
-
-
 def exact_blocks(bits: int, radius: int) -> list[list[int]]:
     """Bits dealt into radius + 1 blocks: two fingerprints within the radius agree on one of them at least."""
     return [list(map(int, b)) for b in np.array_split(np.arange(bits), radius + 1)]
 
 
-def sampled_blocks(bits: int, rows: int, similarity: float, recall: float = 0.99) -> list[list[int]]:
-    """Blocks of sampled bits for a wide radius. The block width follows the number of rows (some 128 rows to a
-    bucket), the number of blocks follows from the wanted recall for pairs of the given Jaccard similarity."""
-    agree = 1 - math.acos(2 * similarity / (1 + similarity)) / math.pi
-    width = max(8, math.ceil(math.log2(max(rows, 1) / 128)) if rows > 128 else 8)
-    count = math.ceil(math.log(1 - recall) / math.log(1 - agree ** width))
-    pick = np.random.RandomState(SEED)
-    return [sorted(map(int, pick.choice(bits, width, replace=False))) for _ in range(count)]
-
-
-def _bucketed(classes: DataFrame, blocks: list[list[int]], lanes: int) -> DataFrame:
-    """One row per fingerprint and block: block, key (the block's bits), pop (bits set), fp, and the label if there is
-    one. After the blocks come buckets of the shingles in ``few``."""
-    places = [(np.array([64 * lanes - 1 - b for b in block]), len(block)) for block in blocks]
-    extra = [c for c in ("few", "label") if c in classes.columns]
-    more = [c for c in extra if c == "label"]
+def _bucketed(classes: DataFrame, blocks: list[list[int]]) -> DataFrame:
+    """One row per fingerprint and block: block, key (the block's bits), pop (bits set) and fp."""
+    places = [(np.array([63 - b for b in block]), len(block)) for block in blocks]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0)
-            raw = np.frombuffer(b"".join(x[:8 * lanes] for x in fp.to_pylist()), np.uint8).reshape(-1, 8 * lanes)
-            bits = np.unpackbits(raw, axis=1)
+            bits = np.unpackbits(np.frombuffer(b"".join(fp.to_pylist()), np.uint8).reshape(-1, 8), axis=1)
             pop = pa.array(bits.sum(1, dtype=np.int32))
-            rest = [batch.column(c) for c in more]
             for number, (where, width) in enumerate(places):
                 key = bits[:, where].astype(np.int64) @ (np.int64(1) << np.arange(width, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(raw), number, np.int32)), pa.array(key), pop, fp, *rest], ["block", "key", "pop", "fp", *more])
-            if "few" in extra:
-                few = batch.column("few").to_pylist()
-                at = pa.array([i for i, keys in enumerate(few) for _ in keys or ()], pa.int64())
-                key = pa.array([k for keys in few for k in keys or ()], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), len(places), np.int32)), key, pop.take(at), fp.take(at), *(c.take(at) for c in rest)],
-                    ["block", "key", "pop", "fp", *more])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), number, np.int32)), pa.array(key), pop, fp],
+                                                 ["block", "key", "pop", "fp"])
 
-    return classes.select("fp", *extra).mapInArrow(run, "block int, key long, pop int, fp binary" + "".join(f", {c} binary" for c in more))
+    return classes.select("fp").mapInArrow(run, "block int, key long, pop int, fp binary")
 
 
 def _tiled(rows: DataFrame, radius: int, tile: int) -> DataFrame:
@@ -175,44 +112,23 @@ def _tiled(rows: DataFrame, radius: int, tile: int) -> DataFrame:
             .withColumn("tile", number(F.col("before") + place * F.col("n")))
             .withColumn("other", F.explode(F.sequence(number(F.col("lo")), number(F.col("hi") - 1))))
             .select("block", "key", F.least("tile", "other").alias("ti"), F.greatest("tile", "other").alias("tj"),
-                    "tile", "pop", "fp", *[c for c in rows.columns if c == "label"]))
-
-
-def spanning(pairs: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of pairs of numbers with a distance, a spanning forest of least distances: in every round each component takes
-    its nearest pair to another one. Two forests' union has the same forest as all their pairs."""
-    kept = _forest_rows(pairs, far)
-    return pairs[kept], far[kept]
-
-
-def forests(pairs: np.ndarray, far: np.ndarray, count: int | None) -> np.ndarray:
-    """Places of the pairs in ``count`` spanning forests, each of what those before it left; None: of all pairs that
-    join two numbers."""
-    live = np.flatnonzero(pairs[:, 0] != pairs[:, 1])
-    if count is None:
-        return live
-    taken = []
-    while count and len(live):
-        found = _forest_rows(pairs[live], far[live])
-        taken.append(live[found])
-        live, count = np.delete(live, found), count - 1
-    return np.sort(np.concatenate(taken)) if taken else live
+                    "tile", "pop", "fp"))
 
 
-def _forest_rows(pairs: np.ndarray, far: np.ndarray) -> np.ndarray:
+def spanning(pairs: np.ndarray) -> np.ndarray:
+    """Of pairs of numbers, a spanning forest: pairs that join the same numbers together. The union of two forests
+    has a forest of all their pairs."""
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
     if not len(pairs):
-        return np.zeros(0, np.int64)
+        return pairs
     nodes, where = np.unique(pairs, return_inverse=True)
     a, b = where.reshape(-1, 2).T
-    rank = np.empty(len(pairs), np.int64)       # distances with ties told apart
-    rank[np.lexsort((pairs[:, 1], pairs[:, 0], far))] = np.arange(len(pairs))
-    at_rank = np.argsort(rank)
     label, live, taken = np.arange(len(nodes)), np.arange(len(pairs)), []
     while len(live := live[label[a[live]] != label[b[live]]]):
         best = np.full(len(nodes), len(pairs))
-        for end in (a, b):
-            np.minimum.at(best, label[end[live]], rank[live])
-        found = at_rank[np.unique(best[best < len(pairs)])]
+        for end in (a, b):                       # every component takes its first pair to another one
+            np.minimum.at(best, label[end[live]], live)
+        found = np.unique(best[best < len(pairs)])
         taken.append(found)
         while True:                              # the components that now belong together take the smallest label
             low = np.minimum(label[a[found]], label[b[found]])
@@ -222,34 +138,23 @@ def _forest_rows(pairs: np.ndarray, far: np.ndarray) -> np.ndarray:
             if (root == np.arange(len(nodes))).all():
                 break
             label = root[label]
-    return np.sort(np.concatenate(taken)) if taken else np.zeros(0, np.int64)
+    return pairs[np.sort(np.concatenate(taken))]
 
 
 class _Forest:
-    """Pairs as they are found, reduced to spanning forests whenever there are many. With labels, only pairs of rows
-    with different labels count, and the labels are what the forests span. ``more``: a pair was left out."""
+    """Pairs as they are found, reduced to a spanning forest whenever there are many."""
 
-    def __init__(self, most: int = 1 << 20, count: int | None = 1, label: np.ndarray | None = None):
-        self.pairs, self.far, self.held, self.most, self.count, self.label, self.more = [], [], 0, most, count, label, False
+    def __init__(self, most: int = 1 << 20):
+        self.pairs, self.held, self.most = [], 0, most
 
-    def add(self, pairs: np.ndarray, far: np.ndarray) -> None:
-        if self.label is not None:
-            apart = self.label[pairs[:, 0]] != self.label[pairs[:, 1]]
-            pairs, far = pairs[apart], far[apart]
+    def add(self, pairs: np.ndarray) -> None:
         self.pairs.append(pairs)
-        self.far.append(far)
         self.held += len(pairs)
-        if self.held > self.most and self.count is not None:
-            pairs, far = self.result()
-            self.pairs, self.far, self.held = [pairs], [far], 0
+        if self.held > self.most:
+            self.pairs, self.held = [self.result()], 0
 
-    def result(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.pairs:
-            return np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-        pairs, far = np.concatenate(self.pairs), np.concatenate(self.far)
-        at = forests(pairs if self.label is None else self.label[pairs], far, self.count)
-        self.more |= len(at) < len(pairs)
-        return pairs[at], far[at]
+    def result(self) -> np.ndarray:
+        return spanning(np.concatenate(self.pairs)) if self.pairs else np.zeros((0, 2), np.int64)
 
 
 def _compare(fp: np.ndarray, pop: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int, found: _Forest) -> None:
@@ -261,75 +166,46 @@ def _compare(fp: np.ndarray, pop: np.ndarray, left: np.ndarray, right: np.ndarra
             b = right[j:j + STEP]
             if pop[b[0]] - pop[a[-1]] > radius or pop[a[0]] - pop[b[-1]] > radius:
                 continue
-            far = np.zeros((len(a), len(b)), np.uint16)
-            for lane in range(fp.shape[1]):
-                far += np.bitwise_count(fp[a, lane][:, None] ^ fp[b, lane][None, :])
-            x, y = np.nonzero(far <= radius)
+            x, y = np.nonzero(np.bitwise_count(fp[a][:, None] ^ fp[b][None, :]) <= radius)
             if same and i == j:
                 x, y = x[x < y], y[x < y]
             if len(x):
-                found.add(np.stack([a[x], b[y]], 1), far[x, y].astype(np.int64))
+                found.add(np.stack([a[x], b[y]], 1))
 
 
-def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]], tile: int = TILE, count: int | None = 1,
-          wide: int | None = None) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints within the radius: of all that a batch of a task finds, ``count`` spanning
-    forests of least distances (None: all pairs). ``more`` says that the batch left out pairs.
-
-    If the classes have a ``label``, only pairs of different labels count, and forests span the labels. Bytes of a
-    fingerprint after its lanes tell classes apart and are not compared. Rows with shingles in ``few`` also meet in
-    buckets of those, with the radius ``wide``.
-    """
-    wide = radius if wide is None else wide
-    labelled = "label" in classes.columns
-    tiled = _tiled(_bucketed(classes, blocks, lanes), max(radius, wide), tile)
+def links(classes: DataFrame, radius: int, blocks: list[list[int]], tile: int = TILE) -> DataFrame:
+    """Pairs (a, b) of distinct fingerprints within the radius: of all that a batch of a task finds, a spanning forest."""
+    tiled = _tiled(_bucketed(classes, blocks), radius, tile)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(found, own, rows):
-            pairs, far = found.result()
-            if not len(pairs):
-                return None
-            rows_in = np.unique(pairs)
-            nodes, where = np.unique(own[rows_in], return_inverse=True)  # a fingerprint stands in many blocks
-            number = np.zeros(rows, np.int64)
-            number[rows_in] = where.reshape(-1)
-            ends = np.sort(number[pairs], axis=1)
-            _, first = np.unique(ends, axis=0, return_index=True)
-            label = None if found.label is None else found.label[pairs[first]]
-            pairs, far = ends[first], far[first]
-            at = forests(pairs if label is None else label, far, count)
-            more = found.more or len(at) < len(np.flatnonzero(pairs[:, 0] != pairs[:, 1]))
-            return pa.RecordBatch.from_arrays([*(pa.array(nodes[col].tolist(), pa.binary()) for col in pairs[at].T),
-                                               pa.array(np.full(len(at), more))], ["a", "b", "more"])
-
         def settle(columns):
-            group, ti, tj, own, pop, name, of = columns
-            fp = np.frombuffer(b"".join(x[:8 * lanes] for x in name), ">u8").astype(np.uint64).reshape(-1, lanes)
-            label = np.unique(of, return_inverse=True)[1].reshape(-1) if labelled else None
-            most = np.where(group[:, 0] < len(blocks), radius, wide)
+            group, ti, tj, own, pop, name = columns
+            fp = np.frombuffer(b"".join(name), ">u8").astype(np.uint64)
             cut = np.flatnonzero(np.any(group[1:] != group[:-1], axis=1)) + 1
             starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(pop)]))
             small = (ends - starts <= 64) & (ti[starts] == tj[starts])
             mark = np.repeat(np.where(small, np.arange(len(starts)), -1), ends - starts)
-            found = _Forest(count=count, label=label)
+            found = _Forest()
             for d in range(1, int((ends - starts)[small].max(initial=1))):  # all small groups at once
-                at = np.flatnonzero((mark[d:] == mark[:-d]) & (mark[d:] >= 0) & (pop[d:] - pop[:-d] <= most[:-d]))
-                if len(at):
-                    far = np.bitwise_count(fp[at] ^ fp[at + d]).sum(1, dtype=np.int64)
-                    near = far <= most[at]
-                    found.add(np.stack([at, at + d], 1)[near], far[near])
+                at = np.flatnonzero((mark[d:] == mark[:-d]) & (mark[d:] >= 0) & (pop[d:] - pop[:-d] <= radius))
+                at = at[np.bitwise_count(fp[at] ^ fp[at + d]) <= radius]
+                found.add(np.stack([at, at + d], 1))
             for s, e in zip(starts[~small], ends[~small]):
                 every = np.arange(s, e)
                 if ti[s] == tj[s]:
-                    _compare(fp, pop, every, every, most[s], found)
+                    _compare(fp, pop, every, every, radius, found)
                 else:
                     left, right = every[own[s:e] == ti[s]], every[own[s:e] == tj[s]]
                     if len(left) and len(right):
-                        _compare(fp, pop, left, right, most[s], found)
-                if found.held > found.most:  # all pairs are wanted: pass them on
-                    yield out(found, name, len(pop))
-                    found = _Forest(count=count, label=label)
-            yield out(found, name, len(pop))
+                        _compare(fp, pop, left, right, radius, found)
+            pairs = found.result()
+            if len(pairs):
+                rows_in = np.unique(pairs)
+                nodes, where = np.unique(name[rows_in], return_inverse=True)  # a fingerprint stands in many blocks
+                number = np.zeros(len(pop), np.int64)
+                number[rows_in] = where.reshape(-1)
+                ends = spanning(np.unique(np.sort(number[pairs], axis=1), axis=0))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[col].tolist(), pa.binary()) for col in ends.T], ["a", "b"])
 
         rest = None
         for batch in batches:
@@ -337,27 +213,25 @@ def links(classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]],
                 continue
             c = {n: batch.column(n) for n in batch.schema.names}
             num = {n: c[n].to_numpy(zero_copy_only=False) for n in ("block", "key", "ti", "tj", "tile", "pop")}
-            name = np.array(c["fp"].to_pylist(), object)
             now = (np.stack([num["block"], num["key"], num["ti"], num["tj"]], 1).astype(np.int64), num["ti"], num["tj"],
-                   num["tile"], num["pop"].astype(np.int64), name, np.array(c["label"].to_pylist(), object) if labelled else name)
+                   num["tile"], num["pop"].astype(np.int64), np.array(c["fp"].to_pylist(), object))
             if rest is not None:
                 now = tuple(np.concatenate((x, y)) for x, y in zip(rest, now))
             last = int(np.argmax((now[0] == now[0][-1]).all(1)))  # where the last group, maybe not whole yet, begins
             if last:
-                yield from filter(None, settle([x[:last] for x in now]))
+                yield from settle([x[:last] for x in now])
             rest = tuple(x[last:] for x in now)
         if rest is not None:
-            yield from filter(None, settle(rest))
+            yield from settle(rest)
 
     keys = ["block", "key", "ti", "tj"]
-    return tiled.repartition(*keys).sortWithinPartitions(*keys, "pop").mapInArrow(run, "a binary, b binary, more boolean")
+    return tiled.repartition(*keys).sortWithinPartitions(*keys, "pop").mapInArrow(run, "a binary, b binary")
 
 
 def classes_of(prints: DataFrame) -> DataFrame:
     """Distinct fingerprints (``fp``) with their smallest (no_id, id, text_hash); null ids come after all others."""
     who = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
-    few = [F.first("few").alias("few")] if "few" in prints.columns else []  # the same in all rows of a class
-    return keep(prints.groupBy("fp").agg(F.min(who).alias("least"), *few), "classes")
+    return keep(prints.groupBy("fp").agg(F.min(who).alias("least")), "classes")
 
 
 def groups(classes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -369,54 +243,12 @@ def groups(classes: DataFrame, edges: DataFrame) -> DataFrame:
     return keep(rooted.join(first, "root").select("fp", "first"), "groups")
 
 
-def similar(docs: DataFrame, classes: DataFrame, edges: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The edges whose fingerprints' first documents have at least the Jaccard similarity, by their distinct shingles."""
-    edges = keep(edges.distinct(), "edges")
-    ends = edges.select(F.col("a").alias("end")).union(edges.select("b")).distinct()
-    ends = keep(ends.join(classes, ends["end"] == classes["fp"]).select("fp", F.col("least.id").alias("e_id"), F.col("least.text_hash").alias("e_hash")), "ends")
-    texts = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].cast("binary").alias("text"))
-    same = texts["id"].eqNullSafe(F.col("e_id")) & (texts["text_hash"] == F.col("e_hash"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(shingle_hashes(t.as_py() or b"", words)).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["fp", "shingles"])
-
-    sets = texts.join(small(ends), same).select("fp", "text").mapInArrow(run, "fp binary, shingles array<long>")
-    sides = keep(edges.select(F.col("a").alias("end"), "a", "b").union(edges.select("b", "a", "b")), "sides")
-    # Every edge meets the sets of its two ends in one shuffle; of repeated rows, which have equal sets, the first counts
-    met = sets.join(small(sides), F.col("fp") == F.col("end")).groupBy("a", "b").agg(
-        *[F.first(F.when(F.col("fp") == F.col(c), F.col("shingles")), ignorenulls=True).alias(f"s_{c}") for c in ("a", "b")])
-    both = F.size(F.array_intersect("s_a", "s_b"))
-    return met.where(both >= F.lit(similarity) * (F.size("s_a") + F.size("s_b") - both)).select("a", "b")
-
-
-def similar_links(docs: DataFrame, classes: DataFrame, radius: int, lanes: int, blocks: list[list[int]], wide: int, words: int,
-                  similarity: float, id_col: str, text_col: str, tile: int = TILE) -> DataFrame:
-    """Checked pairs (a, b) that link the same classes as all similar candidates together.
-
-    A round checks some spanning forests of the candidates; classes that are linked by then count as one in the next,
-    which takes more forests of the candidates between them, until every candidate either was checked or joins classes
-    that are linked already.
-    """
-    rows, checked, good = classes.withColumn("label", F.col("fp")), None, None
-    for count in ROUNDS:
-        found = keep(links(rows, radius, lanes, blocks, tile, count, wide), "candidates")
-        new = found.select("a", "b").distinct()
-        new = keep(new if checked is None else new.join(checked, ["a", "b"], "left_anti"), "unchecked")
-        passed = keep(similar(docs, classes, new, words, similarity, id_col, text_col), "similar")
-        checked = new if checked is None else checked.union(new)
-        good = passed if good is None else good.union(passed)
-        left = found.where("more")
-        if left.isEmpty():
-            break
-        # A forest reaches every class (as labelled in this round) that has a candidate
-        ends = left.select(F.col("a").alias("fp")).union(left.select("b")).distinct()
-        open_ = rows.join(ends, "fp").select("label").distinct()
-        root = components(good)
-        rows = keep(rows.join(open_, "label").join(root, F.col("fp") == F.col("node"), "left")
-                    .select("fp", "least", "few", F.coalesce("root", "fp").alias("label")), "open")
-    return good
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
+            tile: int = TILE) -> DataFrame:
+    """One row per document: ``id``, ``text_hash``, ``fp`` and ``first``, the (no_id, id, text_hash) that comes first in its group."""
+    prints = keep(fingerprints(docs, id_col, text_col, words), "prints")
+    classes = classes_of(prints)
+    return prints.join(groups(classes, links(classes, radius, exact_blocks(64, radius), tile)), "fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
@@ -428,34 +260,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other, and the component of a group that has null ids only is null. Other columns are ignored; an empty table
     gives an empty result.
     """
-    prints = keep(fingerprints(docs, id_col, text_col, words), "prints")
-    classes = classes_of(prints)
-    found = groups(classes, links(classes, radius, 1, exact_blocks(64, radius), tile))
-    found = found.select("fp", F.col("first.id").alias("component_id"))
-    return prints.join(found, "fp").select(F.col("id").alias(id_col), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+    return grouped(docs, id_col, text_col, words, radius, tile).select(
+        F.col("id").alias(id_col), F.lower(F.hex("fp")).alias("fingerprint"), F.col("first.id").alias("component_id"))
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                      similarity: float = 0.8, lanes: int = 4, slack: float = 4.0) -> DataFrame:
-    """``docs`` with one row of each group of near copies, its columns unchanged: the one with the smallest id.
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
+                      tile: int = TILE) -> DataFrame:
+    """``docs`` with one row of each group of ``near_duplicates``, its columns unchanged: the one with the smallest id.
 
-    Fingerprints of ``lanes`` x 64 bits over the distinct ``words``-word shingles estimate the Jaccard similarity of
-    texts. Those that differ in no more bits than are expected at ``similarity``, plus ``slack`` standard deviations, are
-    candidates; buckets come from sampled bits, and for texts of few shingles also from the shingles that similar sets
-    must share. Candidates are checked exactly, on the sets of shingles, those with equal fingerprints too, until no
-    unchecked one joins two groups. Only texts with equal sets of shingles need no check.
     Null texts are copies of the empty one; among equal ids the row with the smallest text hash stays, of repeated rows
     one; a null id loses to any other. An empty table gives an empty result.
     """
-    bits = 64 * lanes
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    radius, wide = (round(bits * share + s * math.sqrt(bits * share * (1 - share))) for s in (slack, SHORT_SLACK))
-    prints = keep(set_fingerprints(docs, id_col, text_col, words, lanes, similarity), "prints")
-    classes = classes_of(prints)
-    blocks = sampled_blocks(bits, classes.count(), similarity)
-    edges = similar_links(docs, classes, radius, lanes, blocks, wide, words, similarity, id_col, text_col)
-    found = groups(classes, edges)
-    rows = prints.join(found, "fp")
+    rows = keep(grouped(docs, id_col, text_col, words, radius, tile), "grouped")
     stays = F.col("id").eqNullSafe(F.col("first.id")) & F.col("text_hash").eqNullSafe(F.col("first.text_hash"))
     gone = keep(rows.where(~stays).select("id", "text_hash").distinct(), "gone")
     again = keep(rows.where(stays).groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "again")
