@@ -7,9 +7,12 @@ under three capacities (tokens, documents, attention cost).
 
 from __future__ import annotations
 
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -24,8 +27,8 @@ from hazegrid.llm.common import internal, keep
 SEQUENCE = 2048
 #: Pieces that one task packs.
 BLOCK = 16_384
-#: Distinct words whose ids a task remembers.
-REMEMBERED = 1_000_000
+#: Distinct words whose ids a Python worker remembers, about; new words that are encoded together.
+REMEMBERED, JOINED = 1_500_000, 2000
 # Every character but space and line feed that some table counts as white space or as a break.
 _RARE = [chr(c) for c in (*range(10), *range(11, 32), 127, *range(0x80, 0xA1), 0x1680, 0x180E, *range(0x2000, 0x2010),
                           *range(0x2028, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF)]
@@ -37,36 +40,67 @@ class Encoder:
 
     The pre-tokeniser of byte-level BPE starts a token at every space between two characters that are no white space,
     so a text's ids are those of its first word and of each further word with its leading space. Texts with other
-    spacing, or with the string of a special token, are encoded whole.
+    spacing, or with the string of a special token, are encoded whole. For the same reason many new words can be encoded
+    as one text, whose ids are then cut where the bytes of the tokens add up to a word.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)    # a token's bytes: one character each
+        self.size[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.known: dict[str, bytes] = {}       # ids of a word after a space
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, words: list[str]) -> None:
+        """Remembers the ids of words, those that do not touch a line feed or nothing at all as one text."""
+        alone = [w for w in words if not w or w[0] == "\n" or w[-1] == "\n"]
+        rest = [w for w in words if w and w[0] != "\n" and w[-1] != "\n"]
+        for at in range(0, len(rest), JOINED):
+            part = rest[at:at + JOINED]
+            ids, = self._ids(["".join([" " + w for w in part])])
+            reached = np.cumsum(self.size[np.frombuffer(ids, "<u4")])
+            ends = np.cumsum([len(w.encode()) + 1 for w in part])
+            cut = np.searchsorted(reached, ends)
+            if len(reached) and reached[-1] == ends[-1] and (reached[cut] == ends).all():
+                cut = ((cut + 1) * 4).tolist()
+                self.known.update((w, ids[a:b]) for w, a, b in zip(part, [0, *cut], cut))
+            else:                               # a token reaches over a word's end
+                alone += part
+        self.known.update(zip(alone, self._ids([" " + w for w in alone])))
+
     def _plain(self, t: str) -> bool:
         return not ("  " in t or "\n " in t or " \n" in t or any(c in t for c in (_RARE_ASCII if t.isascii() else _RARE))
                     or any(s in t for s in self.special))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         known = self.known
+        if len(known) > REMEMBERED:
+            for w in list(islice(known, len(known) // 2)):  # the half that came first
+                del known[w]
         heads, words = [], []
         for t in texts:
             first, *rest = t.split(" ") if self._plain(t) else [t]
             heads.append(first)
             words.append(rest)
-        new = list({w for rest in words for w in rest if w not in known})
-        known.update(zip(new, self._ids([" " + w for w in new])))
+        self._learn(list({w for rest in words for w in rest if w not in known}))
         return [h + b"".join([known[w] for w in rest]) for h, rest in zip(self._ids(heads), words)]
 
 
+def shared_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, with the words that its earlier tasks met. Functions travel to tasks by value, so
+    a global of this module would start anew in every task; a module of the worker's own does not."""
+    held = sys.modules.setdefault("_words_of_this_worker", ModuleType("_words_of_this_worker"))
+    found = vars(held).setdefault("encoders", {})
+    if path not in found:
+        found[path] = Encoder(path)
+    return found[path]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE,
            end_id: int = 0, **carried: Column) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, its place in the input (part, number) and ``carried`` columns.
@@ -80,7 +114,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, number = Encoder(tokenizer_path), 0
+        encoder, number = shared_encoder(tokenizer_path), 0
         tail = int(end_id).to_bytes(4, "little")
         for batch in batches:
             rows: list[list] = [[] for _ in range(6)]
