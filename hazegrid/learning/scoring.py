@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -56,20 +57,25 @@ def recent_design(hourly: DataFrame, days: int = 200, fences: DataFrame | None =
     return build_daily_classification(capped, require_label=False)
 
 
-def forecast_next_day(docs: DataFrame, scaler: DataFrame, weights: Weights, days: int = 200, least: int = 5,
-                      fences: DataFrame | None = None) -> DataFrame:
-    """One row per station with at least ``least`` feature days: tomorrow's category. Only the last day of each
-    station is scored."""
+def forecast_rows(docs: DataFrame, score: Callable[[DataFrame], DataFrame], days: int = 200, least: int = 5,
+                  fences: DataFrame | None = None) -> DataFrame:
+    """One row per station with at least ``least`` feature days: tomorrow's category, by any function that scores design
+    rows. Only the last day of each station is scored."""
     d = recent_design(docs_to_frame(docs), days, fences)
     last = d.groupBy(STATION).agg(F.count(F.lit(1)).alias("feature_days"), F.max_by(F.struct(DATE, *FEATURES), DATE).alias("_l"))
     last = last.where(F.col("feature_days") >= least).select(STATION, "feature_days", "_l.*")
     today = last.withColumn("today_category", category(F.col("pm_today")))
-    scored = score_softmax(apply_scaler(today, scaler), weights)
-    return scored.select(
+    return score(today).select(
         STATION, "feature_days", (F.col(DATE) + F.expr("INTERVAL 1 DAY")).alias("forecast_date"), "today_category",
         category_label(F.col("prediction")).alias("forecast_category"), "confidence", *probabilities())
 
 
+def forecast_next_day(docs: DataFrame, scaler: DataFrame, weights: Weights, days: int = 200, least: int = 5,
+                      fences: DataFrame | None = None) -> DataFrame:
+    """The forecast from given softmax weights."""
+    return forecast_rows(docs, lambda d: score_softmax(apply_scaler(d, scaler), weights), days, least, fences)
+
+
 def last_known(design: DataFrame, days: int = 90) -> DataFrame:
     """Each station's last ``days`` rows whose next category is known; at most that many per station and
     task are shuffled."""
@@ -77,10 +83,14 @@ def last_known(design: DataFrame, days: int = 90) -> DataFrame:
     return design.where("y IS NOT NULL").withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= days).drop("_rn")
 
 
-def backtest(hourly: DataFrame, scaler: DataFrame, weights: Weights, window: int = 200, days: int = 90,
-             fences: DataFrame | None = None) -> DataFrame:
+def backtest_rows(hourly: DataFrame, score: Callable[[DataFrame], DataFrame], window: int = 200, days: int = 90,
+                  fences: DataFrame | None = None) -> DataFrame:
     """Accuracy of the next-day category over each station's last ``days`` known rows."""
-    known = last_known(recent_design(hourly, window, fences), days)
-    scored = score_softmax(apply_scaler(known, scaler), weights)
+    scored = score(last_known(recent_design(hourly, window, fences), days))
     return scored.groupBy(STATION).agg(F.count(F.lit(1)).alias("days"),
                                        F.avg((F.col("y") == F.col("prediction")).cast("int")).alias("accuracy"))
+
+
+def backtest(hourly: DataFrame, scaler: DataFrame, weights: Weights, window: int = 200, days: int = 90,
+             fences: DataFrame | None = None) -> DataFrame:
+    return backtest_rows(hourly, lambda d: score_softmax(apply_scaler(d, scaler), weights), window, days, fences)

@@ -7,12 +7,14 @@ design matrix.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazegrid.constants import DATE, FEATURES, LAG_FEATURES, STATION
 from hazegrid.learning import metrics
-from hazegrid.learning.dataset import predict_majority, predict_persistence, standardize, temporal_split, with_weights
+from hazegrid.learning.dataset import apply_scaler, fit_scaler, predict_majority, predict_persistence, temporal_split, with_weights
 from hazegrid.learning.knn import knn_predict, neighbours, votes
 from hazegrid.learning.models import fit_logreg, fit_mlp, predict
 from hazegrid.operators.ordered import ordered_ids
@@ -34,7 +36,8 @@ class Parts:
     def __init__(self, design: DataFrame):
         split = settle(temporal_split(predict_persistence(design).withColumnRenamed("prediction", "today")))
         raw = {p: split.where(F.col("part") == p) for p in ("train", "val", "test")}
-        self.train, self.val, self.test = (settle(d) for d in standardize(raw["train"], raw["val"], raw["test"]))
+        self.scaler = settle(fit_scaler(raw["train"]))
+        self.train, self.val, self.test = (settle(apply_scaler(raw[p], self.scaler)) for p in ("train", "val", "test"))
         self.train_val = self.train.unionByName(self.val)
 
     def sizes(self) -> str:
@@ -74,22 +77,27 @@ def select_beta(p: Parts, l2: float) -> tuple[float, dict]:
     return select_param(BETA_GRID, lambda b: predict(fit_logreg(with_weights(p.train, b), l2, weight="weight"), p.val))
 
 
+def tune(p: Parts) -> dict[str, tuple[object, dict]]:
+    """The chosen setting and all validation scores of each model."""
+    l2 = select_l2(p)
+    return {"logistic_l2": l2, "knn_k": select_k(p), "neural_hidden": select_hidden(p), "balanced_beta": select_beta(p, l2[0])}
+
+
+def tuning_table(spark: SparkSession, tuned: dict[str, tuple[object, dict]]) -> DataFrame:
+    rows = [(name, str(g), float(v), g == best) for name, (best, scores) in tuned.items() for g, v in scores.items()]
+    return spark.createDataFrame(rows, "model string, setting string, val_macro_f1 double, chosen boolean")
+
+
 def grid_selection(p: Parts) -> DataFrame:
     """All validation scores with the chosen setting of each model marked."""
-    l2, l2s = select_l2(p)
-    k, ks = select_k(p)
-    h, hs = select_hidden(p)
-    b, bs = select_beta(p, l2)
-    rows = [(name, str(g), float(v), g == best)
-            for name, best, scores in (("logistic_l2", l2, l2s), ("knn_k", k, ks), ("neural_hidden", h, hs), ("balanced_beta", b, bs))
-            for g, v in scores.items()]
-    return p.train.sparkSession.createDataFrame(rows, "model string, setting string, val_macro_f1 double, chosen boolean")
+    return tuning_table(p.train.sparkSession, tune(p))
 
 
-def learning_curve(p: Parts, l2: float = 1e-3, fractions: tuple[float, ...] = CURVE_FRACTIONS,
+def learning_curve(p: Parts, l2: float | None = None, fractions: tuple[float, ...] = CURVE_FRACTIONS,
                    least: int = CURVE_LEAST) -> DataFrame:
     """Train and test macro-F1 of the logistic model on growing parts of train and validation, taken in
-    (part, station, date) order."""
+    (part, station, date) order; without ``l2`` at the penalty that is best on the validation part."""
+    l2 = select_l2(p)[0] if l2 is None else l2
     both = p.train.withColumn("_o", F.lit(0)).unionByName(p.val.withColumn("_o", F.lit(1)))
     numbered = ordered_ids(both, [F.col("_o"), F.col(STATION), F.col(DATE)], "_id")
     n = numbered.count()
@@ -109,32 +117,47 @@ def _run(name: str, kind: str, setting: str, deployable: bool, train: DataFrame,
             round(on_test.accuracy, 3), round(on_test.macro_f1, 3))
 
 
-def run_experiments(p: Parts) -> list[tuple]:
+@dataclass
+class Outcome:
+    """Experiments in running order, the fitted models by experiment, and what tuning found."""
+
+    rows: list[tuple]
+    models: dict[str, PipelineModel]
+    tuned: dict[str, tuple[object, dict]]
+
+    @property
+    def chosen(self) -> dict[str, object]:
+        return {name: best for name, (best, _) in self.tuned.items()}
+
+    def tuning(self, spark: SparkSession) -> DataFrame:
+        return tuning_table(spark, self.tuned)
+
+
+def run_experiments(p: Parts) -> Outcome:
     """Two baselines and eight models: chosen on the validation part, refitted with it, scored on the test part."""
-    best_l2, _ = select_l2(p)
-    best_k, _ = select_k(p)
-    best_h, _ = select_hidden(p)
-    best_b, _ = select_beta(p, best_l2)
+    out = Outcome([], {}, tune(p))
+    best_l2, best_k, best_h, best_b = (out.chosen[name] for name in ("logistic_l2", "knn_k", "neural_hidden", "balanced_beta"))
     today = lambda d: d.withColumn("prediction", F.col("today"))
-    rows = [
+    out.rows += [
         _run("persistence", "naive", "none", False, today(p.train), today(p.test)),
         _run("majority", "naive", "most frequent class", False, predict_majority(p.train, p.train), predict_majority(p.train, p.test)),
     ]
 
-    def fitted(name: str, kind: str, setting: str, model, deployable: bool = True) -> None:
-        rows.append(_run(name, kind, setting, deployable, predict(model, p.train), predict(model, p.test)))
+    def fitted(name: str, kind: str, setting: str, model: PipelineModel, deployable: bool = True) -> None:
+        out.models[name] = model
+        out.rows.append(_run(name, kind, setting, deployable, predict(model, p.train), predict(model, p.test)))
 
     fitted("logistic, lags only", "linear", f"{len(LAG_FEATURES)} features", fit_logreg(p.train, features=LAG_FEATURES), False)
     fitted("logistic, all features", "linear", f"{len(FEATURES)} features", fit_logreg(p.train), False)
     fitted("logistic, tuned", "linear", f"l2={best_l2}", fit_logreg(p.train_val, best_l2))
-    rows.append(_run("nearest neighbours, tuned", "instance", f"k={best_k}", False,
-                     with_truth(knn_predict(p.train, p.train, best_k, exclude_self=True), p.train),
-                     with_truth(knn_predict(p.train_val, p.test, best_k), p.test)))
+    out.rows.append(_run("nearest neighbours, tuned", "instance", f"k={best_k}", False,
+                         with_truth(knn_predict(p.train, p.train, best_k, exclude_self=True), p.train),
+                         with_truth(knn_predict(p.train_val, p.test, best_k), p.test)))
     for name, h in (("neural, small", SMALL_HIDDEN), ("neural, tuned", best_h), ("neural, large", LARGE_HIDDEN)):
         fitted(name, "neural", f"hidden={h}", fit_mlp(p.train_val, h))
     fitted("logistic, balanced", "linear", f"l2={best_l2}, beta={best_b}",
            fit_logreg(with_weights(p.train_val, best_b), best_l2, weight="weight"))
-    return rows
+    return out
 
 
 def experiment_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from hazegrid.constants import FEATURES, STATION
-from hazegrid.learning import dataset, metrics, scoring, selection
+from hazegrid.learning import dataset, deploy, metrics, scoring, selection
 from hazegrid.learning.knn import knn_predict
 from hazegrid.learning.models import fit_logreg, fit_mlp, predict
 from hazegrid.functions.category import argmax, probabilities
+from hazegrid.operators import outliers
 from hazegrid.operators.documents import to_documents
 from hazegrid.plans.bindings import CATEGORY_SQL, LABEL_SQL, WEIGHTS, Tables, argmax_sql, design_sql, rounded, scaled_sql, softmax_sql
 from hazegrid.plans.registry import query
+from hazegrid.session import scratch_path
 
 PROBS = ", ".join(f"round(p{c}, 6) AS p{c}" for c in range(6))
 FEATS = ", ".join(f"round({c}, 6) AS {c}" for c in FEATURES)
@@ -154,17 +156,18 @@ def top3_classes(t: Tables) -> DataFrame:
 LIVE = "FROM {s} WHERE date >= (SELECT max(x.date) FROM {s} x WHERE x.station = {s}.station) - INTERVAL 200 DAY"
 
 
-def history_sql(daily: str) -> str:
-    """The last 200 days of each station, capped, as scored design rows; needs the binding ``train``."""
+def history_sql(daily: str, fitted_on: str = "recent") -> str:
+    """The last 200 days of each station, capped, as scored design rows; needs the binding ``train``. Fences come from
+    those days, or from another table."""
     fences = " UNION ALL ".join(
         f"SELECT station, '{c}' AS channel, q3 - q1 AS iqr, q3 + 3 * (q3 - q1) AS fence FROM (SELECT station, quantile_cont({c}, 0.25) AS q1, "
-        f"quantile_cont({c}, 0.75) AS q3 FROM recent WHERE {c} IS NOT NULL GROUP BY 1)" for c in ("pm2_5", "wspm"))
+        f"quantile_cont({c}, 0.75) AS q3 FROM {fitted_on} WHERE {c} IS NOT NULL GROUP BY 1)" for c in ("pm2_5", "wspm"))
     cap = ", ".join(f"CASE WHEN f_{c}.iqr > 0 AND s.{c} > f_{c}.fence THEN f_{c}.fence ELSE s.{c} END AS {c}" for c in ("pm2_5", "wspm"))
     joins = " ".join(f"LEFT JOIN (SELECT * FROM fences WHERE channel = '{c}') f_{c} ON f_{c}.station = s.station" for c in ("pm2_5", "wspm"))
     return f"""WITH daily AS ({daily}),
         recent AS (SELECT * FROM daily WHERE date >= (SELECT max(x.date) FROM daily x WHERE x.station = daily.station) - INTERVAL 200 DAY),
         fences AS ({fences}),
-        capped AS (SELECT s.* REPLACE ({cap.replace(' END AS pm2_5', ' END AS pm2_5').replace(' END AS wspm', ' END AS wspm')}) FROM recent s {joins}),
+        capped AS (SELECT s.* REPLACE ({cap}) FROM recent s {joins}),
         live AS ({design_sql('capped', False)}),
         scored AS ({softmax_sql('(' + scaled_sql('live', 'train') + ')', 'station, date, y, raw_today')})"""
 
@@ -190,6 +193,43 @@ def backtest(t: Tables) -> DataFrame:
     return rounded(scoring.backtest(t.b3_hourly, scaler(t), WEIGHTS), ["accuracy"])
 
 
+def stored_model(t: Tables) -> deploy.Deployed:
+    """The fixed weights as the newest version of a model folder, with the scaler and the fences of the whole history."""
+    folder = scratch_path(t.spark, "models")
+    unscaled = ([[0.0] * len(FEATURES)] * 6, [0.0] * 6)
+    fences = outliers.fit_fences(t.b3_hourly, outliers.CAPPED)
+    for weights in (unscaled, WEIGHTS):     # a second version replaces the first
+        deploy.save_version(folder, weights, scaler(t), fences, {"deployed_model": "fixed weights"})
+    return deploy.load_version(t.spark, folder)
+
+
+@query("model_roundtrip", "test train", f"SELECT station, date, y, {PROBS}, prediction, round(confidence, 6) AS confidence FROM {SCORED_TEST}")
+def model_roundtrip(t: Tables) -> DataFrame:
+    d = stored_model(t).score(t.parts["test"])
+    return rounded(d.select(STATION, "date", "y", *probabilities(), "prediction", "confidence"), [*probabilities(), "confidence"])
+
+
+@query("forecast_stored", "b3_daily train", f"""{history_sql(f'SELECT station, date, {ROUNDED} FROM b3_daily', 'b3_daily')},
+    best AS (SELECT *, list_sort([{', '.join(f"{{'p': -p{c}, 'c': {c}}}" for c in range(6))}]) AS o,
+                    row_number() OVER (PARTITION BY station ORDER BY date DESC) AS rn, count(*) OVER (PARTITION BY station) AS n FROM scored)
+    SELECT station, CAST(n AS BIGINT) AS feature_days, date + INTERVAL 1 DAY AS forecast_date,
+           {LABEL_SQL.format('(' + CATEGORY_SQL.format('raw_today') + ')')} AS today_category, {LABEL_SQL.format('prediction')} AS forecast_category,
+           round(confidence, 6) AS confidence, {PROBS},
+           {', '.join(f"{LABEL_SQL.format(f'o[{i}].c')} AS top{i}, round(-o[{i}].p, 6) AS probability{i}" for i in (1, 2, 3))},
+           'fixed weights' AS deployed_model, 2 AS version
+    FROM best WHERE rn = 1 AND n >= 5""")
+def forecast_stored(t: Tables) -> DataFrame:
+    docs = to_documents(t.b3_hourly.withColumn("wd", F.lit(None).cast("string")), t.b4_stations)
+    return rounded(deploy.forecast(docs, stored_model(t)), [*probabilities(), "confidence", "probability1", "probability2", "probability3"])
+
+
+@query("backtest_stored", "b3_daily train", f"""{history_sql('SELECT * FROM b3_daily', 'b3_daily')}
+    SELECT station, count(*) AS days, round(avg(CAST(y = prediction AS INT)), 6) AS accuracy
+    FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY date DESC) AS rn FROM scored WHERE y IS NOT NULL) WHERE rn <= 90 GROUP BY 1""")
+def backtest_stored(t: Tables) -> DataFrame:
+    return rounded(deploy.backtest(t.b3_hourly, stored_model(t)), ["accuracy"])
+
+
 # ----------------------------------------------------------------- models; the optimiser's path has no SQL form
 
 def _parts(t: Tables) -> selection.Parts:
@@ -242,6 +282,15 @@ def learning_curve(t: Tables) -> DataFrame:
     return selection.learning_curve(_parts(t))
 
 
+@query("train_to_forecast")
+def train_to_forecast(t: Tables) -> DataFrame:
+    """Experiments, a new version of a model folder, and the forecast of every station from it."""
+    folder = scratch_path(t.spark, "models")
+    deploy.deploy(t.design, outliers.fit_fences(t.b3_hourly, outliers.CAPPED), folder, curve=False)     # a key of its own
+    docs = to_documents(t.b3_hourly.withColumn("wd", F.lit(None).cast("string")), t.b4_stations)
+    return deploy.forecast(docs, deploy.load_version(t.spark, folder))
+
+
 @query("experiment_table")
 def experiment_table(t: Tables) -> DataFrame:
-    return selection.experiment_table(t.spark, selection.run_experiments(_parts(t)))
+    return selection.experiment_table(t.spark, selection.run_experiments(_parts(t)).rows)
