@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hazegrid.constants import N_CLASSES
 from hazegrid.functions.category import probabilities
+from hazegrid.session import settle
 
 
 def confusion(df: DataFrame, label: str = "y", prediction: str = "prediction") -> DataFrame:
@@ -68,35 +69,27 @@ def score_counts(df: DataFrame, label: str = "y") -> DataFrame:
             .agg(F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg")))
 
 
-def score_bucket(score: Column) -> Column:
-    """A bucket that never decreases with the score and is finer where scores crowd, near 0 and near 1.
-    Exact arithmetic only, so every task agrees on it."""
-    fine, edge = float(1 << 24), 1.0 / (1 << 12)
-    low = F.floor(score * fine)
-    mid = F.lit(1 << 13) + F.floor(score * float(1 << 12))
-    high = F.lit(1 << 14) + F.floor((score - (1.0 - edge)) * fine)
-    return F.when(score < edge, low).when(score < 1.0 - edge, mid).otherwise(high)
-
-
-def cumulative(counts: DataFrame) -> DataFrame:
+def cumulative(counts: DataFrame, parts: int | None = None) -> DataFrame:
     """Positives and negatives at or above each score, per class, with the class totals.
 
-    Two levels: totals of score buckets are accumulated first, then the scores within each bucket, so no
-    task sorts all scores of a class.
+    Prefix sums in parallel: rows are range-partitioned by class and falling score and written; totals per class and
+    partition, of which there are few, are accumulated, then the scores within each partition. Partitions follow
+    the data, so scores may crowd anywhere.
     """
-    c = counts.withColumn("_b", score_bucket(F.col("score")))
-    buckets = c.groupBy("class", "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    down = Window.partitionBy("class").orderBy(F.col("_b").desc())
-    before = down.rowsBetween(Window.unboundedPreceding, -1)
+    order = ["class", F.col("score").desc()]
+    ranged = counts.repartitionByRange(parts, *order) if parts else counts.repartitionByRange(*order)
+    c = settle(ranged.withColumn("_part", F.spark_partition_id()))
+    totals = c.groupBy("class", "_part").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
+    before = Window.partitionBy("class").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("class")
-    offsets = buckets.select(
-        "class", "_b", F.coalesce(F.sum("_bp").over(before), F.lit(0)).alias("_op"),
+    offsets = totals.select(
+        "class", "_part", F.coalesce(F.sum("_bp").over(before), F.lit(0)).alias("_op"),
         F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"),
         F.sum("_bp").over(whole).alias("positives"), F.sum("_bn").over(whole).alias("negatives"))
-    inside = Window.partitionBy("class", "_b").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    rows = c.select("class", "_b", "score", F.sum("pos").over(inside).alias("_cp"), F.sum("neg").over(inside).alias("_cn"),
+    inside = Window.partitionBy("class", "_part").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    rows = c.select("class", "_part", "score", F.sum("pos").over(inside).alias("_cp"), F.sum("neg").over(inside).alias("_cn"),
                     "pos", "neg")
-    return (rows.join(offsets, ["class", "_b"])
+    return (rows.join(offsets, ["class", "_part"])
             .select("class", "score", "pos", "neg", (F.col("_op") + F.col("_cp")).alias("tp"),
                     (F.col("_on") + F.col("_cn")).alias("fp"), "positives", "negatives"))
 

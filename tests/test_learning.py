@@ -94,12 +94,18 @@ def test_metrics_match_numpy(scored):
     assert sorted((r.fpr, r.tpr) for r in flat) == [(0.0, 0.0), (1.0, 1.0)]
 
 
-def test_score_bucket_never_decreases(spark):
+def test_curves_where_scores_crowd(spark):
+    """All scores within a millionth: no partition gets more than its share, and the running sums are exact."""
     r = random.Random(1)
-    xs = sorted([r.random() ** r.choice([1, 5, 20]) for _ in range(3000)] + [1 - r.random() ** 20 for _ in range(2000)] + [0.0, 1.0])
-    df = spark.createDataFrame([(x,) for x in xs], "score double")
-    b = [r.b for r in df.select("score", metrics.score_bucket(F.col("score")).alias("b")).orderBy("score").collect()]
-    assert b == sorted(b)
+    rows = {(c, 0.5 + r.random() * 1e-6): (r.randrange(3), r.randrange(3)) for c in (0, 0, 0, 1) for _ in range(2000)}
+    df = spark.createDataFrame([(c, x, p, n) for (c, x), (p, n) in rows.items()], "class int, score double, pos long, neg long")
+    got = {(x["class"], x.score): (x.tp, x.fp, x.positives, x.negatives) for x in metrics.cumulative(df, 12).collect()}
+    for c in (0, 1):
+        mine = sorted((x for x in rows if x[0] == c), reverse=True)
+        tp, fp = np.cumsum([rows[x] for x in mine], axis=0).T
+        assert all(got[x] == (a, b, tp[-1], fp[-1]) for x, a, b in zip(mine, tp, fp))
+    sizes = [x["count"] for x in df.repartitionByRange(12, "class", F.col("score").desc()).groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 3 * sum(sizes) / 12
 
 
 def test_class_weights(points):
