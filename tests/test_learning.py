@@ -38,13 +38,13 @@ def test_scaler_keeps_flat_columns(points):
 
 
 @pytest.mark.parametrize("exclude_self", [False, True])
-@pytest.mark.parametrize("block, pivots", [(16, 8), (1000, 1)])
-def test_knn_equals_brute_force(points, exclude_self, block, pivots):
+@pytest.mark.parametrize("block, cells", [(16, 8), (1000, 1)])
+def test_knn_equals_brute_force(points, exclude_self, block, cells):
     k = 7
     # a third of the train rows are copies of one point
     train = points.unionByName(points.where("station = 'a'").withColumns({f: F.lit(0.5) for f in FEATURES}).withColumn("station", F.lit("copy")))
     query = train if exclude_self else points.where("station = 'b'")
-    got = {(r.station, r.date): r for r in knn.knn_predict(train, query, k, exclude_self=exclude_self, block=block, max_pivots=pivots).collect()}
+    got = {(r.station, r.date): r for r in knn.knn_predict(train, query, k, exclude_self=exclude_self, block=block, cells=cells).collect()}
     t = sorted(((r.station, r.date, r.y, np.array([r[f] for f in FEATURES])) for r in train.collect()), key=lambda e: e[:2])
     tv = np.array([e[3] for e in t])
     asked = query.collect()
@@ -57,6 +57,29 @@ def test_knn_equals_brute_force(points, exclude_self, block, pivots):
         assert np.allclose([got[q.station, q.date][f"p{c}"] for c in range(6)], votes / k)
 
 
+def test_knn_does_not_depend_on_the_layout(points, tmp_path):
+    """Ties of points that lie in different blocks, on checkpointed, Parquet and repartitioned inputs."""
+    train = points.withColumns({f: F.round(f, 0) for f in FEATURES[:3]} | {f: F.lit(0.1) for f in FEATURES[3:]})
+    train.write.parquet(str(tmp_path / "t"))
+    read = points.sparkSession.read.parquet(str(tmp_path / "t"))
+    shown = [sorted((r.station, r.date, r.rn, r.t_station, r.t_date, r.d2) for r in knn.neighbours(d, d, 5, exclude_self=True, block=b, cells=c).collect())
+             for d, b, c in ((train.checkpoint(), 30, 6), (read, 30, 6), (read.repartition(7), 11, 3))]
+    assert shown[0] == shown[1] == shown[2] and len(shown[0]) == 5 * 450
+
+
+def test_knn_second_round_visits_few_cells(spark):
+    """Clustered points: hardly any query has to leave its cell, and the bound is its own."""
+    r = np.random.RandomState(0)
+    centres = r.randn(12, len(FEATURES)) * 50
+    x = centres[np.arange(1200) % 12] + r.randn(1200, len(FEATURES))
+    df = spark.createDataFrame([(D0 + dt.timedelta(days=i), [float(v) for v in x[i]], i % 12) for i in range(1200)], "date timestamp_ntz, v array<double>, cell int")
+    asked = df.withColumns({"station": F.lit("s"), "bound": F.lit(100.0)})
+    radius = np.array([np.sqrt(((x[c::12] - centres[c]) ** 2).sum(1)).max() for c in range(12)])
+    assert knn._others(asked, centres, radius).count() == 0
+    wide = knn._others(asked.withColumn("bound", F.lit(1e9)), centres, radius).groupBy("cell").count().collect()
+    assert {r["count"] for r in wide} == {1100}
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     r = random.Random(2)
