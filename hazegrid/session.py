@@ -55,10 +55,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, so that later plans read the same rows.
+    """Write ``df`` to the shared folder once, as Parquet, so that later plans read the same rows.
 
     Used where a result is read several times (model fits) or where re-evaluation
-    could differ (row ids). Survives lost executors, unlike a local checkpoint.
+    could differ (row ids). Survives lost executors, unlike a local checkpoint; readers prune
+    columns, and Spark knows the size.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
