@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from hazegrid.constants import HOURLY_LAGS, HOURLY_WINDOWS, STATION, TARGET, TS
 from hazegrid.functions import clock
 from hazegrid.functions.category import category_ordinal
 from hazegrid.operators.cleaning import clean
 from hazegrid.operators.gaps import impute
-from hazegrid.operators.ordered import DAILY, HOURLY, Layout, over_rows
+from hazegrid.operators.ordered import DAILY, HOURLY, Layout, before_moments, over_rows, with_runs
 from hazegrid.operators.outliers import CAPPED, cap_outliers, fit_fences
 from hazegrid.session import settle
 
@@ -34,15 +36,36 @@ def lag_columns(w: WindowSpec, target: str, lags: tuple[int, ...]) -> dict[str,
     return {f"{target}_lag{k}": F.lag(target, k).over(w) for k in lags}
 
 
+#: Windows of more rows are put together from runs; a frame of a few rows is as cheap.
+SHORT_WINDOW = 8
+
+
+def past_runs(target: str, windows: tuple[int, ...], at: Layout) -> Callable[[DataFrame], DataFrame]:
+    """Adds to blocks what ``past_columns`` needs for long windows."""
+    def add(blocks: DataFrame) -> DataFrame:
+        for n in windows:
+            if n > SHORT_WINDOW:
+                blocks = with_runs(blocks, at, target, n)
+        return blocks
+    return add
+
+
 def past_columns(w: WindowSpec, target: str, windows: tuple[int, ...], mean: bool = True, std: bool = True) -> dict[str, Column]:
     """Mean and sample deviation of the rows before the current one."""
     out = {}
     for n in windows:
-        frame, least = w.rowsBetween(-n, -1), max(2, n // 4)
+        least = max(2, n // 4)
+        if n > SHORT_WINDOW:
+            m = before_moments(w, n)
+            enough = m["n"] >= least
+            average, deviation = F.when(enough, m["mean"]), F.when(enough, F.sqrt(m["m2"] / (m["n"] - 1)))
+        else:
+            frame = w.rowsBetween(-n, -1)
+            average, deviation = guarded(F.avg(target), target, frame, least), guarded(F.stddev_samp(target), target, frame, least)
         if mean:
-            out[f"{target}_ma{n}"] = guarded(F.avg(target), target, frame, least)
+            out[f"{target}_ma{n}"] = average
         if std:
-            out[f"{target}_mstd{n}"] = guarded(F.stddev_samp(target), target, frame, least)
+            out[f"{target}_mstd{n}"] = deviation
     return out
 
 
@@ -53,14 +76,14 @@ def add_lag_features(df: DataFrame, target: str = TARGET, lags: tuple[int, ...]
 
 def add_moving_averages(df: DataFrame, target: str = TARGET, windows: tuple[int, ...] = HOURLY_WINDOWS,
                         at: Layout = HOURLY, mean: bool = True, std: bool = True) -> DataFrame:
-    return over_rows(df, at, max(windows), 0, lambda w: past_columns(w, target, windows, mean, std))
+    return over_rows(df, at, max(windows), 0, lambda w: past_columns(w, target, windows, mean, std), past_runs(target, windows, at))
 
 
 def add_history(df: DataFrame, target: str = TARGET, lags: tuple[int, ...] = HOURLY_LAGS,
                 windows: tuple[int, ...] = HOURLY_WINDOWS, at: Layout = HOURLY) -> DataFrame:
     """Lags and moving averages in one pass over the blocks."""
     return over_rows(df, at, max((*lags, *windows)), 0,
-                     lambda w: {**lag_columns(w, target, lags), **past_columns(w, target, windows)})
+                     lambda w: {**lag_columns(w, target, lags), **past_columns(w, target, windows)}, past_runs(target, windows, at))
 
 
 def rolling_columns(w: WindowSpec, col: str, n: int, least: int, prefix: str | None = None) -> dict[str, Column]:

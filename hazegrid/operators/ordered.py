@@ -171,16 +171,46 @@ def in_blocks(df: DataFrame, at: Layout, before: int, after: int) -> DataFrame:
                                         F.explode(F.array_compact(F.array(*targets))).alias("_block"))
 
 
-def over_rows(df: DataFrame, at: Layout, before: int, after: int,
-              make: Callable[[WindowSpec], dict[str, Column]]) -> DataFrame:
+def over_rows(df: DataFrame, at: Layout, before: int, after: int, make: Callable[[WindowSpec], dict[str, Column]],
+              first: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Adds the columns ``make(window)`` returns; their frames may reach ``before`` rows back and
-    ``after`` rows ahead."""
+    ``after`` rows ahead. ``first`` may add columns to the blocks that ``make`` reads."""
     w = Window.partitionBy(at.key, "_block").orderBy("_pos")
-    return (in_blocks(df, at, before, after)
+    blocks = in_blocks(df, at, before, after)
+    return ((first(blocks) if first else blocks)
             .select(*df.columns, "_home", "_block", *[F.when(F.col("_pos").isNotNull(), e).alias(n) for n, e in make(w).items()])
             .where("_home = _block").drop("_home", "_block"))
 
 
+def with_runs(blocks: DataFrame, at: Layout, col: str, n: int) -> DataFrame:
+    """Adds the moments (count, mean, sum of squared deviations) of ``col`` in each row's run of n positions, from the run's
+    start to the row (``_up_n``) and from the row to the run's end (``_down_n``). Both frames only grow, so a row costs the same
+    whatever n is. A block that starts inside a run lacks the run's beginning."""
+    run = Window.partitionBy(at.key, "_block", F.floor((F.col("_pos") - 1) / n))
+
+    def moments(frame: WindowSpec) -> Column:
+        f = frame.rowsBetween(*SO_FAR)
+        size = F.count(col).over(f)
+        return F.struct(size.alias("n"), F.coalesce(F.avg(col).over(f), F.lit(0.0)).alias("mean"),
+                        F.coalesce(F.var_pop(col).over(f) * size, F.lit(0.0)).alias("m2"))
+
+    return blocks.withColumns({f"_up_{n}": moments(run.orderBy("_pos")), f"_down_{n}": moments(run.orderBy(F.col("_pos").desc()))})
+
+
+def before_moments(w: WindowSpec, n: int) -> Column:
+    """Moments of the n rows before the current one, from ``with_runs``: the rest of the run in which they begin and the part
+    of the next one that they reach, or one whole run. Merging adds no differences of large sums, so flat windows stay flat."""
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    whole = (F.col("_pos") - 1) % n == 0
+    a = F.when(whole, none).otherwise(F.coalesce(F.lag(f"_down_{n}", n).over(w), none))
+    b = F.coalesce(F.lag(f"_up_{n}", 1).over(w), none)
+    size = a["n"] + b["n"]
+    apart = b["mean"] - a["mean"]
+    share = F.when(size > 0, b["n"] / size).otherwise(0.0)
+    return F.struct(size.alias("n"), F.when(a["n"] > 0, F.when(b["n"] > 0, a["mean"] + apart * share).otherwise(a["mean"])).otherwise(b["mean"]).alias("mean"),
+                    (a["m2"] + b["m2"] + F.when((a["n"] > 0) & (b["n"] > 0), apart * apart * a["n"] * share).otherwise(0.0)).alias("m2"))
+
+
 def ordered_ids(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Numbers all rows 1..n in a total order without one task seeing them all.
 

@@ -13,9 +13,11 @@ from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 from hazegrid.constants import POLLUTANTS, STATION, STATION_META, TS, WEATHER, WIND, WIND_LABELS
 from hazegrid.functions.clock import is_heating
 from hazegrid.operators.ordered import ordered_ids
+from hazegrid.session import settle
 
 Star = dict[str, DataFrame]
 GRAIN = ["station_id", "ts"]
+CANDIDATES = 20_000     # rows of a top-k list that are sent to every task, at most
 
 
 def station_meta(spark: SparkSession, meta: dict[str, tuple] = STATION_META) -> DataFrame:
@@ -152,10 +154,26 @@ def range_with_context(star: Star, station: str, lo: Column, hi: Column) -> Data
             .select(TS, "pm2_5", "pm10", "temp", "wspm", "wd_code").orderBy(TS))
 
 
-def top_hours(star: Star, n: int = 10) -> DataFrame:
-    """The n worst hours with their context; equal values are ordered by station and time."""
-    return (_context(star, star["pollutant_readings"]).select("station_name", TS, "pm2_5", "wspm", "wd_code")
-            .orderBy(F.col("pm2_5").desc_nulls_last(), "station_name", TS).limit(n))
+def top_hours(star: Star, n: int = 10, first: int = 4) -> DataFrame:
+    """The n worst hours with their context; equal values are ordered by station and time.
+
+    Candidates come from the pollutant table alone: its ``first`` x n worst hours that have a station. Only they meet the
+    weather. While fewer than n of them have weather, eight times as many are taken; beyond ``CANDIDATES`` rows the facts are
+    joined whole. Up to there weather is read for a handful of keys, and no fact is shuffled. Runs a job per round.
+    """
+    order = [F.col("pm2_5").desc_nulls_last(), F.col("station_name"), F.col(TS)]
+    cols = ["station_name", TS, "pm2_5", "wspm", "wd_code"]
+    named = star["pollutant_readings"].join(star["stations"].select("station_id", "station_name"), "station_id").select(
+        *GRAIN, "station_name", "pm2_5")
+    size = first * n
+    while size <= CANDIDATES:
+        worst = settle(named.orderBy(*order).limit(size))
+        found = settle(star["weather_readings"].join(F.broadcast(worst), GRAIN)
+                       .join(star["wind_directions"], "wind_dir_id", "left").select(*cols).orderBy(*order).limit(n))
+        if found.count() >= n or worst.count() < size:
+            return found.orderBy(*order)
+        size *= 8
+    return _context(star, star["pollutant_readings"]).select(*cols).orderBy(*order).limit(n)
 
 
 def denormalise(star: Star) -> DataFrame:

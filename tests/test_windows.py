@@ -116,3 +116,21 @@ def test_date_slice_holds_both_days(series):
     d = series({"a": list(range(72))})
     assert features.date_slice(d, "2020-01-02", "2020-01-02").count() == 24
     assert d.agg(F.min("ts")).first()[0] == dt.datetime(2020, 1, 1)
+
+
+def test_long_windows_are_exact_and_flat_ones_stay_flat(spark, series):
+    """Runs put together at every place: gaps, a flat series far from zero, a series whose level jumps."""
+    r = random.Random(9)
+    jump = [1e6 + r.random() if i > 150 else (None if i % 6 == 0 else r.random()) for i in range(320)]
+    data = series({"flat": [0.1] * 200, "big": [98765.4321] * 90, "jump": jump, "empty": [None] * 60})
+    for windows in ((9,), (24, 30), (168,)):
+        out = features.add_moving_averages(data.select("station", "ts", "pm2_5"), windows=windows, at=Layout(chunk_days=0.4, block_rows=40))
+        for name, g in by_station(out).items():
+            for n in windows:
+                past, least = g["pm2_5"].shift(1), max(2, n // 4)
+                mean = [w.mean() if w.count() >= least else np.nan for w in (past[max(0, i - n + 1):i + 1] for i in range(len(past)))]
+                std = [w.std() if w.count() >= least else np.nan for w in (past[max(0, i - n + 1):i + 1] for i in range(len(past)))]
+                np.testing.assert_allclose(g[f"pm2_5_ma{n}"].astype(float), mean, rtol=1e-12)
+                np.testing.assert_allclose(g[f"pm2_5_mstd{n}"].astype(float), std, rtol=1e-8, atol=1e-9)
+                if name in ("flat", "big"):
+                    assert (g[f"pm2_5_mstd{n}"].dropna() < 1e-9).all()
