@@ -126,4 +126,4 @@ def stream_ingest(t: Tables) -> DataFrame:
     req.write.parquet(arrivals)
     stream = t.spark.readStream.schema(req.schema).parquet(arrivals)
     ingest_stream(stream, t.b4_readings, t.b4_stations, sink, state).awaitTermination()
-    return t.b4_readings.unionByName(read_accepted(t.spark, sink).drop("batch"))
+    return t.b4_readings.unionByName(read_accepted(t.spark, sink).drop("period", "batch"))

@@ -111,3 +111,43 @@ def test_stream_accepts_each_key_once_and_survives_a_restart(spark, table, stati
     assert rows == {("a", T1): 2.0, ("b", T2): 4.0}
     refused = {r.req_id: r.status for r in spark.read.parquet(f"{sink}/refused").collect()}
     assert refused == {1: "conflict", 3: "conflict", 4: "not_found", 5: "conflict"}
+
+
+def test_stream_batches_read_their_own_days(spark, table, stations, tmp_path):
+    """Many batches on many days: a late request meets its own day's keys, and only that day's folder is read. A request
+    without a time is kept too."""
+    src, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    days = [T0.replace(year=2031, month=1, day=d) for d in range(1, 7)]
+
+    def run(rows):
+        spark.createDataFrame(rows, REQ).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(REQ).parquet(src)
+        ingest_stream(stream, table, stations, sink, state, "yyyy-MM-dd").awaitTermination()
+
+    for i, d in enumerate(days):
+        run([(10 * i, "a", d, float(i), None), (10 * i + 1, "b", d, float(i), None)])
+    run([(100, "a", days[0], 7.0, None), (101, "b", days[2].replace(hour=23), 8.0, None), (102, "a", None, 9.0, None)])
+    rows = sorted((str(r.ts), r.station, r.pm2_5) for r in read_accepted(spark, sink).collect())
+    assert rows == sorted([(str(d), s, float(i)) for i, d in enumerate(days) for s in "ab"]
+                          + [(str(days[2].replace(hour=23)), "b", 8.0), ("None", "a", 9.0)])
+    assert [(r.req_id, r.status) for r in spark.read.parquet(f"{sink}/refused").collect()] == [(100, "conflict")]
+    one = read_accepted(spark, sink, ["2031-01-03", "2031-09-09"])
+    assert {r.batch for r in one.collect()} == {2, 6} and all("period=2031-01-03" in f for f in one.inputFiles())
+    assert read_accepted(spark, sink, ["2031-09-09"]).count() == 0
+
+
+def test_stream_batch_that_runs_again_writes_nothing_twice(spark, table, stations, tmp_path):
+    """The last batch's commit is lost: it runs again and overwrites its own folders."""
+    src, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def run():
+        ingest_stream(spark.readStream.schema(REQ).parquet(src), table, stations, sink, state).awaitTermination()
+
+    for rows in ([(1, "a", T1, 1.0, None)], [(2, "a", T1, 2.0, None), (3, "b", T2, 3.0, None)]):
+        spark.createDataFrame(rows, REQ).coalesce(1).write.mode("append").parquet(src)
+        run()
+    before = sorted(map(str, read_accepted(spark, sink).collect()))
+    for f in (tmp_path / "state" / "commits").glob("*1*"):
+        f.unlink()
+    run()
+    assert sorted(map(str, read_accepted(spark, sink).collect())) == before and len(before) == 2
