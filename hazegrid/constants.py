@@ -1,6 +1,6 @@
 """Names and fixed values shared by all operators."""
 
-# Column names. Raw files call them PM2.5, TEMP, ...; tables use lower snake case.
+# Column names. Raw files call them PM2.5, TEMP, ...; tables use lower snake case.
 STATION, TS, DATE = "station", "ts", "date"
 TARGET = "pm2_5"
 POLLUTANTS = ("pm2_5", "pm10", "so2", "no2", "co", "o3")

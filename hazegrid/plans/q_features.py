@@ -106,3 +106,31 @@ def build_features(t: Tables) -> DataFrame:
     d = features.build_features(t.b1_sensor.select(STATION, TS, *SENSOR, "wd"))
     made = [c for c in d.columns if "_lag" in c or "_ma" in c or "_mstd" in c]
     return rounded(d.select(STATION, TS, *SENSOR, "wd", "hour", "is_weekend", *made), [*SENSOR, *made])
+
+
+CLEANED = "SELECT station, ts, CASE WHEN pm2_5 >= 0 THEN pm2_5 END AS pm2_5, CASE WHEN wspm >= 0 THEN wspm END AS wspm, temp, wd FROM b1_sensor"
+
+
+def features_sql(source: str) -> str:
+    return f"""
+    SELECT station, ts, {_r(SENSOR)}, wd, CAST(hour(ts) AS INT) AS hour, CAST(isodow(ts) >= 6 AS INT) AS is_weekend,
+           {', '.join(f'round(lag(pm2_5, {k}) OVER (PARTITION BY station ORDER BY ts), 6) AS pm2_5_lag{k}' for k in HOURLY_LAGS)},
+           {past('avg', 'ma')}, {past('stddev_samp', 'mstd')} FROM {source}"""
+
+
+def shown_features(t: Tables, **switches: bool) -> DataFrame:
+    d = features.build_features(t.b1_sensor.select(STATION, TS, *SENSOR, "wd"), **switches)
+    made = [c for c in d.columns if "_lag" in c or "_ma" in c or "_mstd" in c]
+    return rounded(d.select(STATION, TS, *SENSOR, "wd", "hour", "is_weekend", *made), [*SENSOR, *made])
+
+
+@query("build_features_raw", "b1_sensor", f"WITH clean AS ({CLEANED}) {features_sql('clean')}")
+def build_features_raw(t: Tables) -> DataFrame:
+    """Neither filled nor capped."""
+    return shown_features(t, do_impute=False, do_cap=False)
+
+
+@query("build_features_uncapped", "b1_sensor", f"WITH clean AS ({CLEANED}), imputed AS ({imputed_sql('clean', SENSOR)}) {features_sql('imputed')}")
+def build_features_uncapped(t: Tables) -> DataFrame:
+    """Filled, but not capped."""
+    return shown_features(t, do_cap=False)
