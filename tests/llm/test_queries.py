@@ -13,10 +13,10 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = [k for k in entry.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
-@pytest.mark.parametrize("key", ["op1_mixing", "op5_repetition", "op6_warc", "op8_chat"])
+@pytest.mark.parametrize("key", ["op1_mixing", "op5_repetition", "op6_warc", "op8_chat", "op11_importance", "op12_topk", "op13_manifest"])
 def test_against_sql(spark, key):
     con = duckdb.connect()
     for t in TABLES:
