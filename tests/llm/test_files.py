@@ -213,3 +213,17 @@ def test_best_fit_against_a_plain_loop():
 def test_word_by_word_ids_are_the_ids_of_the_text(text):
     encoder = test_word_by_word_ids_are_the_ids_of_the_text.__dict__.setdefault("encoder", packing.Encoder(TOKENS))
     assert encoder.encode([text])[0] == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_words_learned_together_and_forgotten(monkeypatch):
+    """Words that touch line feeds or nothing, words of many bytes, and a memory that gives up its older half."""
+    monkeypatch.setattr(packing, "JOINED", 5)
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    encoder = packing.Encoder(TOKENS)
+    texts = ["", " ", "a ", " a", "one\ntwo three\n", "\nfour five\n six", "ünï 中文 😀 ok", "x" * 300 + " y's don't 12,5 (z)", "don't 're é"]
+    texts += [" ".join(f"w{i}x{j % 13}" for j in range(30)) for i in range(20)]
+    for _ in range(2):
+        for at in range(0, len(texts), 4):
+            assert encoder.encode(texts[at:at + 4]) == encoder._ids(texts[at:at + 4])
+    assert len(encoder.known) < 200
+    assert packing.shared_encoder(TOKENS) is packing.shared_encoder(TOKENS)
