@@ -111,7 +111,7 @@ def _repetition_sql() -> str:
 rep{n} AS (
   SELECT k, sum(length(ws[j])) AS c FROM (
     SELECT DISTINCT r.k, r.i + o.o AS j FROM (
-      SELECT k, i, count(*) OVER (PARTITION BY k, g) AS times
+      SELECT k, i, row_number() OVER (PARTITION BY k, g ORDER BY i) AS times
       FROM (SELECT k, i, array_to_string(ws[i:i + {n - 1}], ' ') AS g
             FROM (SELECT k, ws, unnest(range(1, len(ws) - {n - 2})) AS i FROM w))) r,
       (SELECT unnest(range(0, {n})) AS o) o WHERE times > 1) JOIN w USING (k) GROUP BY k)""" for n in lengths]
@@ -139,9 +139,8 @@ m AS (
          coalesce(lines.c, 0)::BIGINT AS dup_line_chars, length(text) AS n_all,
          {', '.join(f'coalesce(rep{n}.c, 0)::BIGINT AS dup_chars_{n}' for n in lengths)}
   FROM w LEFT JOIN tri USING (k) LEFT JOIN lines USING (k) {' '.join(f'LEFT JOIN rep{n} USING (k)' for n in lengths)})
-SELECT * EXCLUDE (n_all), ({failed}) AS base_failed,
-       NOT ({failed}) AND {limits} AND 100 * dup_line_chars <= {repetition.LINE_LIMIT} * n_all
-       AND 100 * n_symbols <= {repetition.SYMBOL_LIMIT} * n_words AS kept
+SELECT * EXCLUDE (n_all), 100 * n_symbols > {repetition.SYMBOL_LIMIT} * n_words AS symbols_failed, ({failed}) AS base_failed,
+       NOT ({failed}) AND {limits} AND 100 * dup_line_chars <= {repetition.LINE_LIMIT} * n_all AS kept
 FROM m"""
 
 

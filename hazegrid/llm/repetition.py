@@ -1,6 +1,6 @@
 """Quality rules by repetition coverage.
 
-Rolling hashes of several n-gram lengths find the word n-grams of a text that occur twice or more; the characters
+Rolling hashes of several n-gram lengths find the word n-grams of a text that occurred in it before; the characters
 inside them, and inside repeated lines, are measured against the characters of all words. One pass over the texts,
 no shuffle; every text is measured whole in the task that reads it.
 """
@@ -15,16 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from hazegrid.llm.common import internal
-from hazegrid.llm.textstats import (GAPS, byte_set, covered, exact_windows, heads, repeated, scramble, window_hashes,
+from hazegrid.llm.textstats import (GAPS, again, byte_set, covered, exact_windows, heads, repeated, scramble, window_hashes,
                                     word_edges, word_numbers)
 
 SYMBOLS = b"#*$%&|<>"
-#: Largest share (in percent) of a text's word characters in repeated n-grams of so many words, the first occurrence
-#: among them: about twice the usual limits of 15 to 10 percent on later occurrences.
-COVERAGE_LIMITS = {5: 30, 8: 28, 10: 20}
+#: Largest share (in percent) of a text's word characters in n-grams of so many words that occurred before.
+COVERAGE_LIMITS = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
 #: Largest share of the characters in lines equal to an earlier one.
-LINE_LIMIT = 30
-#: Most characters of SYMBOLS per 100 words.
+LINE_LIMIT = 20
+#: Most characters of SYMBOLS per 100 words; reported, but no part of the verdict.
 SYMBOL_LIMIT = 30
 #: Fewest words, and the largest share of words in 3-word windows found twice.
 MIN_WORDS = 50
@@ -53,7 +52,7 @@ def measure(raw: bytes, lengths: tuple[int, ...]) -> dict[str, int]:
     out["n_repeat_words"] = int(covered(repeated(exact_windows(ids, kinds, 3, mixed)), 3, len(ids)).sum())
     some = True
     for n in sorted(lengths):  # a repeated window holds repeated shorter ones, so after none there are no more
-        found = repeated(window_hashes(mixed, n)) if some else np.zeros(0, bool)
+        found = again(window_hashes(mixed, n)) if some else np.zeros(0, bool)
         some = bool(found.any())
         out[f"dup_chars_{n}"] = int(chars[covered(found, n, len(ids))].sum()) if some else 0
     return out
@@ -63,11 +62,14 @@ def repetition_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       coverage_limits: dict[int, int] | None = None, line_limit: int = LINE_LIMIT,
                       symbol_limit: int = SYMBOL_LIMIT,
                       min_words: int = MIN_WORDS, repeat_limit: int = REPEAT_LIMIT) -> DataFrame:
-    """One row per document: counts, ``dup_chars_n`` per n-gram length, ``dup_line_chars``, ``base_failed`` and ``kept``.
+    """One row per document: counts, ``dup_chars_n`` per n-gram length, ``dup_line_chars``, ``symbols_failed``,
+    ``base_failed`` and ``kept``.
 
     ``base_failed``: fewer than ``min_words`` words, or over ``repeat_limit`` percent of the words in 3-word windows
-    found twice. ``kept``: not base_failed, no n-gram length covers more than its limit, lines equal to an earlier
-    line hold at most ``line_limit`` percent of all characters, and there are at most ``symbol_limit`` symbols per 100 words.
+    found twice. ``kept``: not base_failed, no n-gram length has more than its limit of the word characters in n-grams
+    that occurred before (their first occurrence does not count), and lines equal to an earlier line hold at most
+    ``line_limit`` percent of all characters. ``symbols_failed`` (over ``symbol_limit`` symbols per 100 words) does not
+    bear on ``kept``.
     A null text has no words (as an empty one): all counts 0, base_failed. A null id stays null. Repeated rows are
     measured each; other columns of ``docs`` are ignored. An empty table gives an empty result.
     """
@@ -81,13 +83,16 @@ def repetition_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             rows = [measure(t.as_py() or b"", tuple(limits)) for t in batch.column(1)]
             failed = [r["n_words"] < min_words or 100 * r["n_repeat_words"] > repeat_limit * r["n_words"] for r in rows]
             fine = [not f and all(100 * r[f"dup_chars_{n}"] <= most * r["word_chars"] for n, most in limits.items())
-                    and 100 * r["dup_line_chars"] <= line_limit * r["n_chars_all"]
-                    and 100 * r["n_symbols"] <= symbol_limit * r["n_words"] for r, f in zip(rows, failed)]
+                    and 100 * r["dup_line_chars"] <= line_limit * r["n_chars_all"] for r, f in zip(rows, failed)]
+            symbols = [100 * r["n_symbols"] > symbol_limit * r["n_words"] for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array([r[c] for r in rows], pa.int64()) for c in counts),
-                 pa.array(failed, pa.bool_()), pa.array(fine, pa.bool_())], [id_col, *counts, "base_failed", "kept"])
+                 *(pa.array(v, pa.bool_()) for v in (symbols, failed, fine))],
+                [id_col, *counts, "symbols_failed", "base_failed", "kept"])
 
     schema = StructType().add(id_col, frame.schema["id"].dataType)
     for c in counts:
         schema = schema.add(c, "long")
-    return frame.mapInArrow(run, schema.add("base_failed", "boolean").add("kept", "boolean"))
+    for c in ("symbols_failed", "base_failed", "kept"):
+        schema = schema.add(c, "boolean")
+    return frame.mapInArrow(run, schema)

@@ -68,6 +68,15 @@ def repeated(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def again(keys: np.ndarray) -> np.ndarray:
+    """Which entries equal an earlier one."""
+    out = np.zeros(len(keys), bool)
+    if len(keys) > 1:
+        order = np.argsort(keys, kind="stable")
+        out[order[1:][keys[order[1:]] == keys[order[:-1]]]] = True
+    return out
+
+
 def covered(windows: np.ndarray, n: int, words: int) -> np.ndarray:
     """Which words lie in a marked window of n words."""
     edge = np.zeros(words + 1, np.int64)
