@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hazegrid.llm.common import fold, internal
+from hazegrid.llm.common import fold, internal, keep, small
 
 UNKNOWN = "und"
 # Families of ISO 639-1 codes. A language that is not listed is a family of its own.
@@ -29,8 +29,9 @@ FAMILIES = {
     "turkic": ("az", "kk", "ky", "tr", "tt", "uz"),
     "uralic": ("et", "fi", "hu"),
 }
-#: Training texts of each language at most (those with the smallest hash of the id).
-SAMPLE_PER_LANGUAGE = 600
+#: Training texts of each language at most (those with the smallest hash of the id), and of all languages together: with
+#: very many languages each gets an equal share of these, so that what comes to the driver is bounded.
+SAMPLE_PER_LANGUAGE, SAMPLE_ROWS = 600, 60_000
 #: Buckets of byte pairs and of byte triples; single bytes have 256 of their own.
 PAIRS, TRIPLES = 1024, 2048
 WIDTH = 256 + PAIRS + TRIPLES
@@ -137,22 +138,31 @@ def fit(x: np.ndarray, langs: list[str], families: dict[str, tuple[str, ...]] |
 
 
 def train(docs: DataFrame, held_out_fold: tuple[int, int] = (4, 2), id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE,
+          lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS,
           families: dict[str, tuple[str, ...]] | None = None) -> LanguageModel:
     """Learn from texts of documents outside the held-out fold, at most ``per_language`` of each language.
 
-    Null texts, null languages and texts without a letter teach nothing. Only profiles of the sample come to the driver.
+    Null texts, null languages and texts without a letter teach nothing; of repeated rows one teaches. A count per
+    language gives the hash below which about twice the bound lies, so no task ever ranks a whole language. Only
+    profiles of the sample come to the driver.
     """
     parts, held = held_out_fold
     rows = (internal(docs, id=id_col, lang=lang_col, text=text_col).where("lang is not null and text is not null")
             .where(fold("id", parts) != held).where(F.col("text").rlike(r"\p{L}")))
-    rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "text_hash")
-    chosen = rows.select("lang", "id", "text_hash").withColumn("n", F.row_number().over(rank)).where(F.col("n") <= per_language)
-    chosen = chosen.select(F.col("lang").alias("c_lang"), F.col("id").alias("c_id"), F.col("text_hash").alias("c_hash")).distinct()
+    names = rows.select("lang", "id", F.xxhash64("text").alias("text_hash"))
+    names = names.withColumn("h", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "text_hash"))
+    names = keep(names.distinct(), "languages")
+    sizes = names.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    bound = F.least(F.lit(per_language), F.greatest(F.lit(2), F.floor(F.lit(sample_rows) / F.count(F.lit(1)).over(Window.partitionBy()))))
+    sizes = keep(sizes.withColumn("bound", bound), "sizes")  # one row per language
+    # Hashes are even over 64 bits: about 2 x bound + 64 rows of a language lie below its limit, all if it has no more
+    near = names.join(small(sizes), "lang").where((F.col("h") / F.lit(2.0 ** 64) + 0.5) * F.col("n") <= 2 * F.col("bound") + 64)
+    rank = Window.partitionBy("lang").orderBy("h", "id", "text_hash")
+    chosen = near.withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= F.col("bound"))
+    chosen = keep(chosen.select(F.col("lang").alias("c_lang"), F.col("id").alias("c_id"), F.col("text_hash").alias("c_hash")), "sample")
     same = (F.col("lang") == F.col("c_lang")) & F.col("id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash"))
-    # As many rows as languages times the bound; of repeated rows one teaches
-    rows = rows.join(F.broadcast(chosen), same, "left_semi").groupBy("lang", "id", "text_hash").agg(F.first("text").alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    rows = rows.join(small(chosen), same, "left_semi").groupBy("lang", "id", "text_hash").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
