@@ -74,7 +74,7 @@ def test_windows_against_plain_counting():
 def test_coverage_counts_characters():
     text = "α bb ccc dd e x α bb ccc dd e\nsame line\nsame line\n"
     m = repetition.measure(text.encode(), (5, 8))
-    assert m["dup_chars_5"] == 2 * 9 and m["dup_chars_8"] == 0
+    assert m["dup_chars_5"] == 9 and m["dup_chars_8"] == 0
     assert (m["n_dup_lines"], m["dup_line_chars"], m["n_words"]) == (1, 9, 15)
 
 
@@ -87,3 +87,26 @@ def test_a_text_can_fail_by_coverage_alone(spark):
     few = " ".join(words + words[:12])                       # 17 percent
     short = repetition.repetition_report(spark.createDataFrame([(0, few)], "doc_id long, text string")).first()
     assert short.kept and not any(r.kept for r in out.values())
+
+
+def test_verdict_is_coverage_not_symbols(spark):
+    words = [f"w{i:03}" for i in range(200)]
+    rows = [(0, " ".join(words + [f"#{i}#$" for i in range(60)])),      # many symbols, nothing repeated
+            (1, " ".join(words[:170] + words[:25]))]                                                # 25 of 195 words a second time
+    out = {r.doc_id: r for r in repetition.repetition_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[0].kept and out[0].symbols_failed
+    assert not out[1].kept and not out[1].base_failed and out[1].dup_chars_10 == 25 * 4
+
+
+def test_languages_learn_from_a_bounded_sample(spark, monkeypatch):
+    texts = {"en": "the cat and the dog were in the house {}", "de": "der hund und die katze sind in dem haus {}"}
+    rows = [(i, texts[lang].format(f"{lang}{i}"), lang) for lang in texts for i in range(3000 if lang == "en" else 40)] * 2
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda x, langs, families=None: seen.append(langs))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for _ in range(2):
+        langid.train(docs.repartition(5), per_language=100)
+    langid.train(docs, sample_rows=60)
+    held = sum(1 for i in range(40) if zlib.crc32(str(i).encode()) % 4 == 2)
+    assert seen[0] == seen[1] and seen[0].count("en") == 100 and seen[0].count("de") == 40 - held
+    assert (seen[2].count("en"), seen[2].count("de")) == (30, 30 if 40 - held >= 30 else 40 - held)
