@@ -27,8 +27,8 @@ from hazegrid.llm.common import internal, keep
 SEQUENCE = 2048
 #: Pieces that one task packs.
 BLOCK = 16_384
-#: Distinct words whose ids a Python worker remembers, about; new words that are encoded together.
-REMEMBERED, JOINED = 1_500_000, 2000
+#: Distinct words whose ids a Python worker remembers, about (some 150 bytes each, held between tasks); new words encoded together.
+REMEMBERED, JOINED = 1_000_000, 2000
 # Every character but space and line feed that some table counts as white space or as a break.
 _RARE = [chr(c) for c in (*range(10), *range(11, 32), 127, *range(0x80, 0xA1), 0x1680, 0x180E, *range(0x2000, 0x2010),
                           *range(0x2028, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF)]
