@@ -1,10 +1,15 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame functions only.
 
-The documents of a source form blocks of equal size. Time runs in rounds: in each, a source with weight ``a`` units has
-``a`` blocks (fewer in its last round, none after that). A round of R blocks in which a source has c gives that source's
-block x the window from floor(x R / c) to ceil((x + 1) R / c); earliest deadline first among the released blocks fills
-every slot, all windows are met, and so at no time is any source a whole block off its share. Rounds end with all
-shares exact, so each can be scheduled by itself, and only as many differ as there are sources running out.
+The documents of a source form blocks of equal size, dealt as two half blocks, each with a slot of its own. Target shares
+are whole numbers of a billionth. After round k a source with weight w of W, in a round of R slots, has been dealt
+floor(k R u / W) - floor(k R (u - w) / W) half blocks, u being the weights up to and with its own: its due k R w / W
+rounded up or down, with no drift however many rounds there are, and k R in sum. R is so long that every source has
+half a block due in a round. Within a round a source with c of its r slots gives half block x the window from
+floor(x r / c) to ceil((x + 1) r / c); earliest deadline first among the released ones fills every slot, and all windows
+are met. A source is thus less than one half block off the line between its counts at the round's two ends, which are
+themselves less than one half block off its due: less than one block off the target at any time. Each round follows from
+its number alone, so rounds are scheduled in parallel. A source that runs out leaves its slots to the others; the rest of
+it is spread over its last round, in which the bound holds for that round's own counts.
 """
 
 from __future__ import annotations
@@ -14,8 +19,23 @@ from pyspark.sql import functions as F
 
 from hazegrid.llm.common import keep, small
 
-#: Documents of a block; blocks of a whole round, about; rows of a numbering group, about.
-BLOCK_DOCS, ROUND_BLOCKS, GROUP_ROWS = 16, 512, 8192
+#: Documents of a block (two half blocks); slots of a round, at least; rows of a numbering group, about.
+BLOCK_DOCS, ROUND_SLOTS, GROUP_ROWS = 16, 512, 8192
+#: Parts into which the whole of the target weights is divided, and the least share of a source.
+PARTS, LEAST_PARTS = 1_000_000_000, 1000
+#: Rounds scheduled one after another in a task, slots put together at a time.
+CHUNK_ROUNDS, CHUNK_SLOTS = 4, 64
+
+
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
+def half_block(block_docs: int) -> int:
+    """Documents of half a block of ``block_docs``, at least 2."""
+    if block_docs < 2:
+        raise ValueError("a block has two halves of at least one document each")
+    return block_docs // 2
 
 
 def source_key(source: Column) -> Column:
@@ -23,8 +43,8 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
 
 
-def _units(sources: DataFrame, weights: dict[str | None, float] | None, temper: float, round_blocks: int) -> DataFrame:
-    """Adds ``a``, the blocks of each source in a whole round: its share of the weights, at least one."""
+def _weighed(sources: DataFrame, weights: dict[str | None, float] | None, temper: float) -> DataFrame:
+    """Adds ``w``, a source's part of the target weights, at least the least share."""
     if weights is None:
         weight = F.pow(F.col("m").cast("double"), F.lit(temper))
     else:
@@ -32,91 +52,113 @@ def _units(sources: DataFrame, weights: dict[str | None, float] | None, temper:
         for name, w in sorted(weights.items(), key=lambda x: str(x[0])):
             weight = F.when(F.col("key") == source_key(F.lit(name)), F.lit(float(max(w, 0.0)))).otherwise(weight)
     whole = Window.partitionBy()  # one row per source
-    sources = sources.withColumn("w", weight).withColumn("all", F.sum("w").over(whole))
-    share = F.when(F.col("all") > 0, F.round(F.lit(float(round_blocks)) * F.col("w") / F.col("all"))).otherwise(F.lit(1.0))
-    return sources.withColumn("a", F.greatest(F.lit(1), share.cast("long"))).select("key", "m", "a")
+    sources = sources.withColumn("raw", weight).withColumn("all", F.sum("raw").over(whole))
+    part = F.when(F.col("all") > 0, F.round(F.lit(float(PARTS)) * F.col("raw") / F.col("all"))).otherwise(F.lit(1.0))
+    return sources.withColumn("w", F.greatest(F.lit(LEAST_PARTS), part.cast("long"))).select("key", "m", "w")
 
 
 def _earliest_deadline_first(c: Column, r: Column) -> Column:
-    """The sources (by place in ``c``) of the slots 0..r-1, with the block's number, release and deadline."""
+    """The sources (by place in ``c``) of the slots 0..r-1, with the half block's number, release and deadline."""
     def released(x, i, t):
-        of = F.get(c, i)
-        return F.when((x < of) & (F.floor(x * r / of) <= t),
-                      F.struct(F.ceil((x + 1) * r / of).alias("deadline"), i.alias("i"), x.alias("x"),
-                               F.floor(x * r / of).alias("release")))
+        of = F.greatest(F.get(c, i), F.lit(1))
+        return F.when((x < F.get(c, i)) & (_div(x * r, of) <= t),
+                      F.struct(_div((x + 1) * r + of - 1, of).alias("deadline"), i.alias("i"), x.alias("x"), _div(x * r, of).alias("release")))
 
     def slot(state, t):
         best = F.array_min(F.filter(F.transform(state["next"], lambda x, i: released(x, i, t)), lambda s: s.isNotNull()))
-        return F.struct(F.transform(state["next"], lambda x, i: F.when(i == best["i"], x + 1).otherwise(x)).alias("next"),
-                        F.concat(state["out"], F.array(best)).alias("out"))
+        return F.transform(F.array(best), lambda b: F.struct(  # binds the choice, so that it is made once a slot
+            F.transform(state["next"], lambda x, i: F.when(i == b["i"], x + 1).otherwise(x)).alias("next"),
+            F.concat(state["out"], F.array(b)).alias("out")))[0]
 
-    start = F.struct(F.transform(c, lambda v: F.lit(0).cast("long")).alias("next"),
-                     F.array().cast("array<struct<deadline:bigint,i:int,x:bigint,release:bigint>>").alias("out"))
-    return F.aggregate(F.sequence(F.lit(0).cast("long"), r - 1), start, slot)["out"]
+    empty = F.array().cast("array<struct<deadline:bigint,i:int,x:bigint,release:bigint>>").alias("out")
 
+    def stretch(state, g):
+        last = F.least(g + CHUNK_SLOTS, r) - 1
+        part = F.aggregate(F.sequence(g, last), F.struct(state["next"].alias("next"), empty), slot)
+        return F.transform(F.array(part), lambda p: F.struct(p["next"].alias("next"), F.concat(state["out"], p["out"]).alias("out")))[0]
 
-def round_schedule(sources: DataFrame) -> DataFrame:
-    """Slots of the rounds, from sources (key, m blocks, a per round).
+    start = F.struct(F.transform(c, lambda v: F.lit(0).cast("long")).alias("next"), empty)
+    return F.aggregate(F.sequence(F.lit(0).cast("long"), r - 1, F.lit(CHUNK_SLOTS).cast("long")), start, stretch)["out"]
 
-    One row per kind of round (``k0`` is the first such round, ``k1`` the first of the next kind), source and block x
-    in the round: ``r`` blocks in the round, ``start`` slots before round k0, ``slot``, ``release`` and ``deadline``.
+
+def schedule(sources: DataFrame, round_slots: int = ROUND_SLOTS) -> DataFrame:
+    """The slot of every half block of sources (key, m half blocks, w parts): key, half, slot, release, deadline.
+
+    One row holds all sources; it is sent to the rounds, which are spread over tasks.
     """
-    one = sources.agg(F.sort_array(F.collect_list(F.struct("key", "m", "a"))).alias("src"))  # one entry per source
-    ends = F.flatten(F.transform("src", lambda s: F.array(F.lit(0).cast("long"), F.floor(s["m"] / s["a"]), F.floor(s["m"] / s["a"]) + 1)))
-    kinds = (one.withColumn("ks", F.array_sort(F.array_distinct(ends))).select("src", "ks", F.posexplode("ks").alias("at", "k0"))
-             .withColumn("k1", F.coalesce(F.get("ks", F.col("at") + 1), F.lit((1 << 62)))))
-    zero = F.lit(0).cast("long")
-    kinds = (kinds.withColumn("c", F.transform("src", lambda s: F.greatest(zero, F.least(s["a"], s["m"] - F.col("k0") * s["a"]))))
-             .withColumn("r", F.aggregate("c", zero, lambda x, y: x + y)).where("r > 0")
-             .withColumn("start", F.aggregate("src", zero, lambda x, s: x + F.least(s["m"], F.col("k0") * s["a"])))
-             .withColumn("out", _earliest_deadline_first(F.col("c"), F.col("r"))))
-    return (kinds.select("src", "k0", "k1", "r", "start", F.posexplode("out").alias("slot", "b"))
-            .select(F.get("src", F.col("b.i"))["key"].alias("key"), F.col("b.x").alias("x"), "k0", "k1", "r", "start", "slot",
-                    F.col("b.release").alias("release"), F.col("b.deadline").alias("deadline")))
+    long = F.lit(0).cast("long")
+    upto = F.sum("w").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0))  # one row per source
+    one = (sources.withColumn("upto", upto)
+           .agg(F.sort_array(F.collect_list(F.struct("key", "m", "w", "upto"))).alias("src"), F.sum("w").alias("all"), F.min("w").alias("least"))
+           .where("size(src) > 0")
+           .withColumn("r", F.greatest(F.lit(round_slots), _div(F.col("all") + F.col("least") - 1, F.col("least")))))
+    # rounds by whose end all is due, and perhaps an empty one after them
+    last = F.array_max(F.transform("src", lambda s: F.floor(s["m"].cast("double") * F.col("all") / (F.col("r") * s["w"])) + 2))
+
+    def dealt(u, k):
+        return k * _div(F.col("r") * u, F.col("all")) + _div(k * F.pmod(F.col("r") * u, F.col("all")), F.col("all"))
+
+    def done(k):
+        return F.transform("src", lambda s: F.least(s["m"], dealt(s["upto"], k) - dealt(s["upto"] - s["w"], k)))
+
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rounds = (one.withColumn("last", last)
+              .select("src", "all", "r", "last", F.explode(F.sequence(long, F.col("last") - 1, F.lit(CHUNK_ROUNDS).cast("long"))).alias("k0"))
+              .repartition(tasks, "k0")
+              .select("src", "all", "r", F.explode(F.sequence("k0", F.least(F.col("k0") + CHUNK_ROUNDS, F.col("last")) - 1)).alias("k"))
+              .withColumn("done", done(F.col("k"))).withColumn("next", done(F.col("k") + 1))
+              .withColumn("c", F.zip_with("done", "next", lambda a, b: b - a))
+              .select(F.transform("src", lambda s: s["key"]).alias("keys"), "done", "c",
+                      F.aggregate("done", long, lambda x, y: x + y).alias("start"), F.aggregate("c", long, lambda x, y: x + y).alias("n"))
+              .where("n > 0"))
+    slots = rounds.select("keys", "done", "start", F.posexplode(_earliest_deadline_first(F.col("c"), F.col("n"))).alias("slot", "b"))
+    return slots.select(F.get("keys", F.col("b.i")).alias("key"), (F.get("done", F.col("b.i")) + F.col("b.x")).alias("half"),
+                        (F.col("start") + F.col("slot")).alias("slot"), (F.col("start") + F.col("b.release")).alias("release"),
+                        (F.col("start") + F.col("b.deadline")).alias("deadline"))
 
 
 def interleave(rows: DataFrame, weights: dict[str | None, float] | None = None, temper: float = 0.5,
-               block_docs: int = BLOCK_DOCS, round_blocks: int = ROUND_BLOCKS, group_rows: int = GROUP_ROWS) -> DataFrame:
+               block_docs: int = BLOCK_DOCS, round_slots: int = ROUND_SLOTS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Adds ``block``, ``slot``, ``place``, ``release`` and ``deadline`` to rows with ``key``, ``id`` and ``tie``.
 
     A source's rows are numbered by the MD5 of the id, through groups of about ``group_rows`` rows and a table of
-    their counts, so that a source of any size is spread over many tasks.
+    their counts, so that a source of any size is spread over many tasks. A group meets its stretch of the schedule as
+    one row, in the partitions in which it was numbered, so rows are shuffled once.
     """
+    half = half_block(block_docs)
     salts = keep(rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("salts")), "sizes")  # one row per source
     digest = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
     kept = rows.columns
     rows = rows.join(small(salts), "key").withColumn("digest", digest).withColumn(
         "salt", F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * F.col("salts") / F.lit(1 << 32))).drop("salts")
     counts = keep(rows.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("n")), "counts")
+    sources = counts.groupBy("key").agg(F.ceil(F.sum("n") / half).alias("m"))
+    plan = keep(schedule(keep(_weighed(sources, weights, temper), "weights"), round_slots), "schedule")
+
     before = Window.partitionBy("key").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("key", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    sources = counts.groupBy("key").agg(F.ceil(F.sum("n") / block_docs).alias("m"))
-    units = keep(_units(sources, weights, temper, round_blocks), "units")
-    plan = keep(round_schedule(units), "schedule")
-    offsets = keep(offsets.join(units, "key").select("key", "salt", "offset", "a"), "offsets")
+    ranges = (counts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+              .withColumn("first", F.floor(F.col("offset") / half)))
+    stretches = (ranges.select("key", "salt", "offset", "first", F.explode(F.sequence("first", F.floor((F.col("offset") + F.col("n") - 1) / half))).alias("half"))
+                 .join(plan, ["key", "half"]).groupBy("key", "salt", "offset", "first")
+                 .agg(F.sort_array(F.collect_list(F.struct("half", "slot", "release", "deadline"))).alias("stretch")))  # about group_rows / half
+    stretches = keep(stretches.withColumnRenamed("key", "s_key").withColumnRenamed("salt", "s_salt"), "stretches")
 
     group = Window.partitionBy("key", "salt").orderBy("digest", "id", "tie")
-    numbered = (rows.withColumn("nth", F.row_number().over(group)).join(small(offsets), ["key", "salt"])
-                .withColumn("nth", F.col("nth") + F.col("offset") - 1)
-                .withColumn("block", F.floor(F.col("nth") / block_docs)).withColumn("place", F.col("nth") % block_docs)
-                .withColumn("k", F.floor(F.col("block") / F.col("a"))).withColumn("x", F.col("block") % F.col("a"))
-                .drop("nth", "offset", "digest", "salt"))
-    plan = small(plan.select(F.col("key").alias("p_key"), F.col("x").alias("p_x"), "k0", "k1", "r", "start",
-                             F.col("slot").alias("p_slot"), "release", "deadline"))
-    found = numbered.join(plan, (F.col("key") == F.col("p_key")) & (F.col("x") == F.col("p_x"))
-                          & (F.col("k") >= F.col("k0")) & (F.col("k") < F.col("k1")))
-    base = F.col("start") + (F.col("k") - F.col("k0")) * F.col("r")
-    return found.select(*kept, "block", (base + F.col("p_slot")).alias("slot"), "place", (base + F.col("release")).alias("release"),
-                        (base + F.col("deadline")).alias("deadline"))
+    nth = F.col("number") + F.col("offset") - 1
+    at = F.get("stretch", (F.floor(nth / half) - F.col("first")).cast("int"))
+    return (rows.withColumn("number", F.row_number().over(group))
+            .join(stretches, (F.col("key") == F.col("s_key")) & (F.col("salt") == F.col("s_salt")))
+            .select(*kept, F.floor(nth / (2 * half)).alias("block"), at["slot"].alias("slot"), (nth % half).alias("place"),
+                    at["release"].alias("release"), at["deadline"].alias("deadline")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
-    """One row per document: id, source, ``block`` of the source, global ``slot`` of the block, ``place`` in the block,
-    and the block's window (``release``, ``deadline``). By (slot, place) the documents form the mix.
+    """One row per document: id, source, ``block`` of the source, global ``slot`` of its half block, ``place`` in that half,
+    and the half's window (``release``, ``deadline``). By (slot, place) the documents form the mix.
 
     ``weights`` maps sources to target weights (null: the source null); sources that are not listed, or with a weight
-    of 0, get the least share, one block a round. Without weights a source weighs its number of blocks to the power
-    ``temper``. All rows stay: a source that has run out leaves its share to the others. A null source is a source of
+    below a millionth of the whole, get that least share. Without weights a source weighs its number of half blocks to
+    the power ``temper``. All rows stay: a source that has run out leaves its share to the others. A null source is a source of
     its own, null ids are numbered like an empty text, equal rows are placed one after another, other columns are
     ignored, and an empty table gives an empty result.
     """

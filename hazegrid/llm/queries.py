@@ -144,40 +144,40 @@ SELECT * EXCLUDE (n_all), 100 * n_symbols > {repetition.SYMBOL_LIMIT} * n_words
 FROM m"""
 
 
-#: Rounds as in the operator; a recursive query fills their slots one after another.
+#: The half blocks dealt by the end of each round from the exact weights; a recursive query fills the rounds' slots one after another.
 _MIXING_SQL = f"""
 WITH RECURSIVE numbered AS (
   SELECT doc_id, source, coalesce('=' || source, '') AS key,
          row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id) - 1 AS nth
   FROM documents),
-blocked AS (SELECT *, nth // {mixing.BLOCK_DOCS} AS block, nth % {mixing.BLOCK_DOCS} AS place FROM numbered),
-sized AS (SELECT key, max(block) + 1 AS m FROM blocked GROUP BY key),
-units AS (
-  SELECT key, m, greatest(1, round({float(mixing.ROUND_BLOCKS)} * sqrt(m::DOUBLE) / sum(sqrt(m::DOUBLE)) OVER ()))::BIGINT AS a FROM sized),
-kinds AS (
-  SELECT k0, coalesce(lead(k0) OVER (ORDER BY k0), 4611686018427387904) AS k1
-  FROM (SELECT 0 AS k0 UNION SELECT m // a FROM units UNION SELECT m // a + 1 FROM units)),
+halves AS (SELECT *, nth // {mixing.BLOCK_DOCS // 2} AS half, nth % {mixing.BLOCK_DOCS // 2} AS place FROM numbered),
+sized AS (SELECT key, max(half) + 1 AS m FROM halves GROUP BY key),
+weighed AS (
+  SELECT key, m, greatest({mixing.LEAST_PARTS}, round({float(mixing.PARTS)} * sqrt(m::DOUBLE) / sum(sqrt(m::DOUBLE)) OVER ()))::BIGINT AS w FROM sized),
+summed AS (SELECT *, (sum(w) OVER (ORDER BY key))::BIGINT AS u, (sum(w) OVER ())::BIGINT AS total, min(w) OVER () AS least FROM weighed),
+timed AS (SELECT *, greatest({mixing.ROUND_SLOTS}, (total + least - 1) // least) AS r FROM summed),
+ends AS (
+  SELECT key, k, least(m, (k * r * u) // total - (k * r * (u - w)) // total) AS done
+  FROM timed, (SELECT unnest(range(0, (SELECT max(m * total // (r * w)) + 3 FROM timed))) AS k)),
+steps AS (SELECT key, k, done, lead(done) OVER (PARTITION BY key ORDER BY k) - done AS c FROM ends),
 rounds AS (
-  SELECT k0, k1, list(key ORDER BY key) AS keys, list(c ORDER BY key) AS c, sum(c)::BIGINT AS r, sum(done)::BIGINT AS start
-  FROM (SELECT k0, k1, key, greatest(0, least(a, m - k0 * a)) AS c, least(m, k0 * a) AS done FROM kinds, units)
-  GROUP BY k0, k1 HAVING sum(c) > 0),
+  SELECT k, list(key ORDER BY key) AS keys, list(done ORDER BY key) AS done, list(c ORDER BY key) AS c, sum(c)::BIGINT AS n, sum(done)::BIGINT AS start
+  FROM steps WHERE c IS NOT NULL GROUP BY k HAVING sum(c) > 0),
 slots AS (
-  SELECT k0, c, r, -1::BIGINT AS t, list_transform(c, lambda v: 0::BIGINT) AS taken, 0::BIGINT AS i, 0::BIGINT AS x FROM rounds
+  SELECT k, c, n, -1::BIGINT AS t, list_transform(c, lambda v: 0::BIGINT) AS taken, 0::BIGINT AS i, 0::BIGINT AS x FROM rounds
   UNION ALL
-  SELECT k0, c, r, t, list_transform(taken, lambda v, j: v + (j = best)::BIGINT), best, taken[best]
+  SELECT k, c, n, t, list_transform(taken, lambda v, j: v + (j = best)::BIGINT), best, taken[best]
   FROM (
-    SELECT k0, c, r, t + 1 AS t, taken,
+    SELECT k, c, n, t + 1 AS t, taken,
            list_sort(list_filter(list_transform(range(1, len(c) + 1), lambda j:
-             CASE WHEN taken[j] < c[j] AND (taken[j] * r) // c[j] <= t + 1
-                  THEN {{'d': ((taken[j] + 1) * r + c[j] - 1) // c[j], 'j': j}} END), lambda s: s IS NOT NULL))[1].j AS best
-    FROM slots WHERE t + 1 < r)),
+             CASE WHEN taken[j] < c[j] AND (taken[j] * n) // c[j] <= t + 1
+                  THEN {{'d': ((taken[j] + 1) * n + c[j] - 1) // c[j], 'j': j}} END), lambda s: s IS NOT NULL))[1].j AS best
+    FROM slots WHERE t + 1 < n)),
 plan AS (
-  SELECT keys[i] AS key, x, k0, k1, r, start, t AS slot, (x * r) // s.c[i] AS release, ((x + 1) * r + s.c[i] - 1) // s.c[i] AS deadline
-  FROM slots s JOIN rounds USING (k0, r) WHERE t >= 0)
-SELECT doc_id, source, block, start + (block // a - k0) * r + slot AS slot, place,
-       start + (block // a - k0) * r + release AS release, start + (block // a - k0) * r + deadline AS deadline
-FROM blocked JOIN units USING (key) JOIN plan USING (key)
-WHERE x = block % a AND block // a >= k0 AND block // a < k1"""
+  SELECT keys[i] AS key, done[i] + x AS half, start + t AS slot, start + (x * s.n) // s.c[i] AS release,
+         start + ((x + 1) * s.n + s.c[i] - 1) // s.c[i] AS deadline
+  FROM slots s JOIN rounds USING (k) WHERE t >= 0)
+SELECT doc_id, source, half // 2 AS block, slot, place, release, deadline FROM halves JOIN plan USING (key, half)"""
 
 
 _CHAT_SQL = f"""

@@ -17,7 +17,7 @@ def labels(spark):
 PER_ROW = {
     "repetition": lambda spark, d: repetition.repetition_report(d),
     "simhash": lambda spark, d: simhash.near_duplicates(d),
-    "mix": lambda spark, d: mixing.mix(d, block_docs=2, round_blocks=8, group_rows=4),
+    "mix": lambda spark, d: mixing.mix(d, block_docs=2, round_slots=8, group_rows=4),
     "gam": lambda spark, d: gam.score(d, gam.train(d, labels(spark))),
     "langid": lambda spark, d: langid.identify(d, langid.train(d)),
     "lm": lambda spark, d: lm.score(d, F.col("doc_id") == 6),
@@ -39,7 +39,7 @@ KEEPING = {
     "gam": lambda spark, d: gam.keep_good(d, gam.train(d, labels(spark))),
     "langid": lambda spark, d: langid.keep_known(d, langid.train(d)),
     "copies": lambda spark, d: simhash.one_of_each_group(d),
-    "order": lambda spark, d: mixing.in_mixed_order(d, block_docs=2, round_blocks=8, group_rows=4),
+    "order": lambda spark, d: mixing.in_mixed_order(d, block_docs=2, round_slots=8, group_rows=4),
 }
 
 
