@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +44,17 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def internal(df: DataFrame, **columns: str | Column) -> DataFrame:
     """Only the named inputs under the operator's own names, so that no other column can clash with them."""
     return df.select(*[(df[c] if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
+
+
+def of_this_worker(owner: str, make: Callable[[], object] | None = None) -> object:
+    """What the tasks of a Python worker share under the name ``owner``, made by the first of them.
+
+    A worker outlives its tasks and stages. It holds one owner's memory at a time: a task of another operator drops
+    what the one before left, also if it has nothing to keep itself. Functions travel to tasks by value, so a global of
+    this module would start anew in every task; a module of the worker's own does not.
+    """
+    held = vars(sys.modules.setdefault("_held_by_this_worker", ModuleType("_held_by_this_worker")))
+    if held.get("owner") != owner:
+        held.pop("value", None)
+        held["value"], held["owner"] = make() if make else None, owner
+    return held["value"]

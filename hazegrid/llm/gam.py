@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from hazegrid.llm.common import fold, internal
+from hazegrid.llm.common import fold, internal, of_this_worker
 from hazegrid.llm.textstats import GAPS, byte_set, covered, exact_windows, heads, repeated, scramble, word_edges, word_numbers
 
 FEATURES = ("log_words", "word_length", "distinct_share", "top_share", "echo_share", "upper_share", "shout_rate",
@@ -168,6 +168,7 @@ def _described(frame: DataFrame) -> DataFrame:
     others = [c for c in frame.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_this_worker("gam")
         for batch in batches:
             x = [describe(t.as_py() or b"") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(x, pa.list_(pa.float64()))],
@@ -208,6 +209,7 @@ def _scored(frame: DataFrame, model: Gam, threshold: float) -> DataFrame:
     others = [c for c in frame.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_this_worker("gam")
         for batch in batches:
             x = np.array([describe(t.as_py() or b"") for t in batch.column("text")]).reshape(batch.num_rows, len(FEATURES))
             p = model.score(x)

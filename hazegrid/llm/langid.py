@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hazegrid.llm.common import fold, internal, keep, small
+from hazegrid.llm.common import fold, internal, keep, small, of_this_worker
 
 UNKNOWN = "und"
 # Families of ISO 639-1 codes. A language that is not listed is a family of its own.
@@ -165,6 +165,7 @@ def train(docs: DataFrame, held_out_fold: tuple[int, int] = (4, 2), id_col: str
     rows = rows.join(small(chosen), same, "left_semi").groupBy("lang", "id", "text_hash").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_this_worker("langid")
         for batch in batches:
             x = [profile(t.as_py()).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(x, pa.binary())], ["lang", "x"])
@@ -179,6 +180,7 @@ def _labelled(frame: DataFrame, model: LanguageModel) -> DataFrame:
     others = [c for c in frame.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_this_worker("langid")
         for batch in batches:
             names, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             column = batch.column("text")

@@ -7,12 +7,10 @@ under three capacities (tokens, documents, attention cost).
 
 from __future__ import annotations
 
-import sys
 import zlib
 from array import array
 from collections.abc import Iterator
 from itertools import islice
-from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -22,13 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hazegrid.llm import mixing
-from hazegrid.llm.common import internal, keep
+from hazegrid.llm.common import internal, keep, of_this_worker
 
 SEQUENCE = 2048
 #: Pieces that one task packs.
 BLOCK = 16_384
 #: Distinct words whose ids a Python worker remembers, about (some 150 bytes each, held between tasks); new words encoded together.
-REMEMBERED, JOINED = 1_000_000, 2000
+REMEMBERED, JOINED = 600_000, 2000
 # Every character but space and line feed that some table counts as white space or as a break.
 _RARE = [chr(c) for c in (*range(10), *range(11, 32), 127, *range(0x80, 0xA1), 0x1680, 0x180E, *range(0x2000, 0x2010),
                           *range(0x2028, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF)]
@@ -92,13 +90,8 @@ class Encoder:
 
 
 def shared_encoder(path: str) -> Encoder:
-    """The encoder of this Python worker, with the words that its earlier tasks met. Functions travel to tasks by value, so
-    a global of this module would start anew in every task; a module of the worker's own does not."""
-    held = sys.modules.setdefault("_words_of_this_worker", ModuleType("_words_of_this_worker"))
-    found = vars(held).setdefault("encoders", {})
-    if path not in found:
-        found[path] = Encoder(path)
-    return found[path]
+    """The encoder of this Python worker, with the words that its earlier tasks met."""
+    return of_this_worker(f"words {path}", lambda: Encoder(path))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hazegrid.llm.common import internal, keep, small
+from hazegrid.llm.common import internal, keep, small, of_this_worker
 from hazegrid.llm.components import components
 
 #: Fingerprints of a tile, and of a step inside a tile.
@@ -54,6 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     frame = internal(docs, id=id_col, text_hash=F.xxhash64(docs[text_col]), text=docs[text_col].cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_this_worker("simhash")
         for batch in batches:
             found = [fingerprint(shingle_hashes(t.as_py() or b"", words)).to_bytes(8, "big") for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())],
@@ -72,6 +73,7 @@ def _bucketed(classes: DataFrame, blocks: list[list[int]]) -> DataFrame:
     places = [(np.array([63 - b for b in block]), len(block)) for block in blocks]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_this_worker("simhash")
         for batch in batches:
             fp = batch.column(0)
             bits = np.unpackbits(np.frombuffer(b"".join(fp.to_pylist()), np.uint8).reshape(-1, 8), axis=1)
@@ -178,6 +180,7 @@ def links(classes: DataFrame, radius: int, blocks: list[list[int]], tile: int =
     tiled = _tiled(_bucketed(classes, blocks), radius, tile)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_this_worker("simhash")
         def settle(columns):
             group, ti, tj, own, pop, name = columns
             fp = np.frombuffer(b"".join(name), ">u8").astype(np.uint64)

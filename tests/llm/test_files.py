@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from hazegrid.llm import chat, packing, warc
+from hazegrid.llm.common import of_this_worker
 from hazegrid.session import scratch_path
 
 TOKENS = public_tokenizers.path("byte_bpe_50k.json")
@@ -227,3 +228,11 @@ def test_words_learned_together_and_forgotten(monkeypatch):
             assert encoder.encode(texts[at:at + 4]) == encoder._ids(texts[at:at + 4])
     assert len(encoder.known) < 200
     assert packing.shared_encoder(TOKENS) is packing.shared_encoder(TOKENS)
+
+
+def test_a_worker_holds_one_operators_memory_at_a_time():
+    first = of_this_worker("a", dict)
+    first["x"] = 1
+    assert of_this_worker("a", dict) is first
+    assert of_this_worker("b") is None and of_this_worker("b") is None
+    assert of_this_worker("a", dict) == {}
