@@ -1,8 +1,9 @@
 """Chat formatting by prefix-target expansion.
 
 Every assistant turn is an example of its own: all preceding turns are its context, only that reply is trainable. All
-examples of a conversation are prefixes of one formatted text, so the text is written once, turn by turn, and an
-example is the row of its reply with its spans in that text; ``example_texts`` spells the examples out.
+examples of a conversation are prefixes of one formatted text, which ``format_turns`` writes turn by turn;
+``example_texts`` expands it into the examples, each with its whole context, its reply and the reply's span.
+``examples`` has the spans only, for those who cut the prefixes themselves.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 ASSISTANT = "assistant"
+#: Characters of examples that a task hands on together, about.
+BATCH_CHARS = 1 << 22
 _ESCAPED = re.compile(r"<(\\*)\\\|")
 
 
@@ -76,15 +79,36 @@ def examples(formatted: DataFrame) -> DataFrame:
                     F.col("seg_end").alias("length")))
 
 
-def example_texts(formatted: DataFrame) -> DataFrame:
-    """The examples with their whole ``text`` (context and reply). Texts grow with the square of a conversation's length;
-    where that matters, take ``examples`` and cut the prefixes from the formatted text."""
-    past = formatted.select(F.col("conv_id").alias("of"), F.col("n").alias("at"), "segment")
-    ends = formatted.where("example is not null").drop("segment")
-    joined = ends.join(past, ends["conv_id"].eqNullSafe(past["of"]) & (past["at"] <= ends["n"]))
-    return (joined.groupBy("conv_id", "example", "context_end", "target_start", "target_end")
-            .agg(F.array_sort(F.collect_list(F.struct("at", "segment"))).alias("parts"))
-            .select("conv_id", "example", F.array_join(F.col("parts.segment"), "").alias("text"), "context_end", "target_start", "target_end"))
+def example_texts(formatted: DataFrame, batch_chars: int = BATCH_CHARS) -> DataFrame:
+    """The examples with their whole ``text`` (context and reply). A conversation's turns stream through in order; a task
+    holds one context and about ``batch_chars`` of examples. Texts grow with the square of a conversation's length."""
+    kind = formatted.schema["conv_id"].dataType.simpleString()
+    names = ["conv_id", "example", "text", "context_end", "target_start", "target_end"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, context, rows, size = object(), "", [], 0
+        for batch in batches:
+            kinds = [batch.column("conv_id").type, pa.int64(), pa.string(), *[pa.int64()] * 3]
+
+            def rows_out():
+                return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+            for row in batch.to_pylist():
+                context = context + row["segment"] if row["conv_id"] == now else row["segment"]
+                now = row["conv_id"]
+                if row["example"] is not None:
+                    rows.append((now, row["example"], context, row["context_end"], row["target_start"], row["target_end"]))
+                    size += len(context)
+                if size >= batch_chars:
+                    yield rows_out()
+                    rows, size = [], 0
+            if rows:
+                yield rows_out()
+                rows, size = [], 0
+
+    return (formatted.select("conv_id", "n", "segment", "example", "context_end", "target_start", "target_end")
+            .repartition("conv_id").sortWithinPartitions("conv_id", "n")
+            .mapInArrow(run, f"conv_id {kind}, example long, text string, context_end long, target_start long, target_end long"))
 
 
 def parse_segment(segment: str) -> tuple[str, str]:
@@ -96,12 +120,19 @@ def parse_segment(segment: str) -> tuple[str, str]:
     return unescape_role(role), unescape(body)
 
 
-def digests(formatted: DataFrame) -> DataFrame:
-    """Reads formatted turns back. One row per conversation: n_turns, turns_sha256 (role, line feed, text, line feed of
-    each turn), loss_chars and loss_sha256 (all text under the loss mask, unescaped), formatted_chars (the formatted
-    text), n_examples, example_chars (all examples spelled out). Turns stream through in order, whatever their number.
+def digests(formatted: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Reads formatted turns and their examples (``texts``, of ``example_texts``) back. One row per conversation: n_turns,
+    turns_sha256 (role, line feed, text, line feed of each turn), loss_chars and loss_sha256 (what the loss masks of its
+    examples cover, unescaped), formatted_chars (the formatted text), n_examples, example_chars (all examples spelled
+    out). Turns and replies stream through in order, whatever their number; contexts are left where they are read.
     """
+    texts = example_texts(formatted) if texts is None else texts
     names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples", "example_chars"]
+    start, length = F.col("target_start").cast("int"), (F.col("target_end") - F.col("target_start")).cast("int")
+    none = F.lit(None).cast("string")
+    turns = formatted.select("conv_id", F.col("n").cast("long").alias("n"), "segment", none.alias("reply"), F.col("seg_end").cast("long").alias("chars"))
+    replies = texts.select("conv_id", F.col("example").alias("n"), none.alias("segment"), F.substr("text", start + 1, length).alias("reply"),
+                           F.length("text").cast("long").alias("chars"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = object()
@@ -126,16 +157,17 @@ def digests(formatted: DataFrame) -> DataFrame:
                     if now is not nothing:
                         close()
                     now, state = row["conv_id"], [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-                role, text = parse_segment(row["segment"])
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                state[4] = row["seg_end"]
-                if row["example"] is not None:
-                    said = unescape(row["segment"][row["target_start"] - row["seg_start"]:row["target_end"] - row["seg_start"]])
+                if row["reply"] is None:
+                    role, text = parse_segment(row["segment"])
+                    state[0] += 1
+                    state[1].update(f"{role}\n{text}\n".encode())
+                    state[4] = row["chars"]
+                else:
+                    said = unescape(row["reply"])
                     state[2] += len(said)
                     state[3].update(said.encode())
                     state[5] += 1
-                    state[6] += row["seg_end"]
+                    state[6] += row["chars"]
             if done:
                 yield rows_out()
         if now is not nothing:
@@ -143,6 +175,6 @@ def digests(formatted: DataFrame) -> DataFrame:
             yield rows_out()
 
     kind = formatted.schema["conv_id"].dataType.simpleString()
-    return (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "n")
+    return (turns.unionByName(replies).repartition("conv_id").sortWithinPartitions("conv_id", F.col("reply").isNotNull(), "n")
             .mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                              "formatted_chars long, n_examples long, example_chars long"))

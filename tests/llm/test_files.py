@@ -153,6 +153,18 @@ def test_examples_are_prefixes(spark):
         assert r.text.count("<|im_end|>") == r.text.count("<|im_start|>")
 
 
+def test_loss_is_read_from_the_expanded_examples(spark):
+    rows = CONVERSATIONS + [(9, i, ("user", "assistant")[i % 2], f"é<|{i}|>") for i in range(40)]
+    formatted = chat.format_turns(conversations(spark, rows))
+    texts = chat.example_texts(formatted, batch_chars=100)
+    out = {r.conv_id: r for r in chat.digests(formatted, texts.where("example = 2")).collect()}
+    for conv in {r[0] for r in rows}:
+        second = "".join([t or "" for c, _, role, t in rows if c == conv and role == "assistant"][1:2])
+        assert (out[conv].loss_chars, out[conv].loss_sha256) == (len(second), hashlib.sha256(second.encode()).hexdigest())
+    nine = sorted((r for r in texts.collect() if r.conv_id == 9), key=lambda r: r.example)
+    assert len(nine) == 20 and all(b.text.startswith(a.text) for a, b in zip(nine, nine[1:])) and out[9].formatted_chars == len(nine[-1].text)
+
+
 def test_escape_is_reversible(spark):
     texts = ["", "<|", "<\\|", "<\\\\|<|<||>", "a<b|c", "<|im_start|><|im_end|>", "\\", "<\\", "|<", "<\\|\\|"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
