@@ -38,10 +38,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 tokens; each is made of documents near each other in the mix.
+    """The pieces of all documents in sequences of 2048 tokens; each is made of documents near each other in the order in
+    which the stage before wrote them, which is the mix.
 
     Null and empty texts are one id long, very long ones are cut, repeated rows are packed each; no rows give no pieces."""
-    return packing.pack_mixed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_in_order(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("quality classifier", quality), ("language ID", language), ("SimHash near-dedup", near_duplicates),

@@ -15,6 +15,7 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -148,6 +149,27 @@ def in_mixed_order(cut: DataFrame, **options) -> DataFrame:
     return rows.select("id", "cut.*", F.shiftrightunsigned(place, 33).cast("int").alias("part"), place.bitwiseAND((1 << 33) - 1).alias("number"))
 
 
+def written_order(docs: DataFrame) -> tuple[Column, Column]:
+    """Columns by which rows come in the order in which they were written: files of a Parquet write go by their number,
+    however Spark deals them to tasks. Rows that are not read from Parquet go by partition and place."""
+    name = F.col("_metadata.file_name")
+    file, row = F.concat(F.lpad(F.regexp_extract(name, r"part-(\d+)", 1), 10, "0"), name), F.col("_metadata.row_index")
+    try:
+        docs.select(file, row)
+    except AnalysisException:
+        return F.lit(""), F.monotonically_increasing_id()
+    return file, row
+
+
+def in_written_order(cut: DataFrame) -> DataFrame:
+    """Rows of ``pieces`` (with ``file`` and ``row`` of their documents) with places that follow those."""
+    order = ("file", "row", "piece")
+    rows = cut.select("id", "piece", "start", "length", "ids_crc32", "file", "row").repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()
+    return rows.select("id", "piece", "start", "length", "ids_crc32", F.shiftrightunsigned(place, 33).cast("int").alias("part"),
+                       place.bitwiseAND((1 << 33) - 1).alias("number"))
+
+
 def best_fit(lengths: np.ndarray, size: int = SEQUENCE, most_docs: int = SEQUENCE, most_cost: int = SEQUENCE ** 2,
              weights: tuple[float, float, float] = (1.0, 0.05, 0.2), rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of each piece.
@@ -232,3 +254,13 @@ def pack_mixed(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     cut = keep(pieces(docs, tokenizer_path, id_col, text_col, size, key=key, tie=tie), "pieces")
     return pack(keep(in_mixed_order(cut, **(mix or {})), "mixed"), size, block, **rule).select(
         F.col("id").alias(id_col), F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def pack_in_order(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE,
+                  block: int = BLOCK, **rule) -> DataFrame:
+    """As ``pack_documents``, with blocks cut in the order in which the rows were written, for a table that an earlier step
+    has put in order (``mixing.in_mixed_order``, with whatever weights)."""
+    file, row = written_order(docs)
+    cut = keep(pieces(docs, tokenizer_path, id_col, text_col, size, file=file, row=row), "pieces")
+    return pack(keep(in_written_order(cut), "ordered"), size, block, **rule).select(
+        F.col("id").alias(id_col), F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")

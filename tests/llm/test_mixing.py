@@ -3,7 +3,9 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hazegrid.llm import mixing, packing
 
 
@@ -123,3 +125,24 @@ def test_sequences_follow_the_mix_over_files_of_unequal_size(spark, tmp_path):
     out = packing.pack_mixed(read, public_tokenizers.path("byte_bpe_50k.json"), block=50).collect()
     order = sorted({(places[x.doc_id], x.doc_id, x.piece): x.sequence_id // 51 for x in out}.items())
     assert len(order) == 600 and [b for _, b in order] == [i // 50 for i in range(600)]
+
+
+def test_sequences_follow_the_order_that_the_mixing_stage_wrote(spark, tmp_path, monkeypatch):
+    """Other weights in the mixing stage give other sequences; files of unequal size are not read in their order."""
+    r = random.Random(4)
+    rows = [(i, " ".join(f"w{r.randrange(90)}" for _ in range(r.choice((3, 20, 200)))), "hot" if i % 3 else r.choice("ab")) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(corpus_pipeline.packing.pack, "__defaults__", (2048, 50))
+    monkeypatch.setattr(corpus_pipeline.packing.pack_in_order, "__defaults__", ("doc_id", "text", 2048, 50))
+    for weights in ({"a": 0.8, "b": 0.1, "hot": 0.1}, {"a": 0.1, "b": 0.1, "hot": 0.8}):
+        places = {x.doc_id: (x.slot, x.place) for x in mixing.mix(docs, weights=weights).collect()}
+        path = str(tmp_path / f"by{weights['a']}")
+        ordered = mixing.in_mixed_order(docs, weights=weights)
+        cuts = sorted(places.values())[19], sorted(places.values())[499]
+        file = F.udf(lambda i: sum(places[i] > c for c in cuts), "int")
+        ordered.repartitionByRange(3, file("doc_id")).sortWithinPartitions(file("doc_id"), F.udf(lambda i: places[i][0] * 100 + places[i][1], "int")("doc_id")).write.parquet(path)
+        out = corpus_pipeline.pack(spark, spark.read.parquet(path), "").collect()
+        order = sorted({(places[x.doc_id], x.doc_id): x.sequence_id // 51 for x in out}.items())
+        assert len(order) == 600 and [b for _, b in order] == [i // 50 for i in range(600)]
+    plain = corpus_pipeline.packing.pack_in_order(docs.repartition(3), public_tokenizers.path("byte_bpe_50k.json"))
+    assert plain.count() == 600 and corpus_pipeline.pack(spark, docs.where("doc_id < 0"), "").count() == 0
