@@ -10,7 +10,6 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -27,7 +26,7 @@ SEQUENCE = 2048
 #: Pieces that one task packs.
 BLOCK = 16_384
 #: Distinct words whose ids a Python worker remembers, about (some 150 bytes each, held between tasks); new words encoded together.
-REMEMBERED, JOINED = 600_000, 2000
+REMEMBERED, JOINED = 600_000, 200
 # Every character but space and line feed that some table counts as white space or as a break.
 _RARE = [chr(c) for c in (*range(10), *range(11, 32), 127, *range(0x80, 0xA1), 0x1680, 0x180E, *range(0x2000, 0x2010),
                           *range(0x2028, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF)]
@@ -51,6 +50,7 @@ class Encoder:
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)    # a token's bytes: one character each
         self.size[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.known: dict[str, bytes] = {}       # ids of a word after a space
+        self.older: dict[str, bytes] = {}       # those before them; a word that is met again comes back
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -58,12 +58,14 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Remembers the ids of words, those that do not touch a line feed or nothing at all as one text."""
         alone = [w for w in words if not w or w[0] == "\n" or w[-1] == "\n"]
-        rest = [w for w in words if w and w[0] != "\n" and w[-1] != "\n"]
+        rest = [w for w in words if w and w[0] != "\n" and w[-1] != "\n"] if alone else words
         for at in range(0, len(rest), JOINED):
             part = rest[at:at + JOINED]
-            ids, = self._ids(["".join([" " + w for w in part])])
+            joined = " " + " ".join(part)
+            ids, = self._ids([joined])
             reached = np.cumsum(self.size[np.frombuffer(ids, "<u4")])
-            ends = np.cumsum([len(w.encode()) + 1 for w in part])
+            ends = np.append(np.flatnonzero(np.frombuffer(joined.encode(), np.uint8) == 32), 0)[1:]  # words have no space
+            ends[-1] = len(joined.encode())
             cut = np.searchsorted(reached, ends)
             if len(reached) and reached[-1] == ends[-1] and (reached[cut] == ends).all():
                 cut = ((cut + 1) * 4).tolist()
@@ -77,17 +79,24 @@ class Encoder:
                     or any(s in t for s in self.special))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            for w in list(islice(known, len(known) // 2)):  # the half that came first
-                del known[w]
-        heads, words = [], []
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        heads, words, new = [], [], set()
         for t in texts:
             first, *rest = t.split(" ") if self._plain(t) else [t]
+            ids = list(map(known.get, rest))
+            missing = [k for k, i in enumerate(ids) if i is None]
+            new.update([rest[k] for k in missing])
             heads.append(first)
-            words.append(rest)
-        self._learn(list({w for rest in words for w in rest if w not in known}))
-        return [h + b"".join([known[w] for w in rest]) for h, rest in zip(self._ids(heads), words)]
+            words.append((rest, ids, missing))
+        back = {w: ids for w in new if (ids := older.get(w)) is not None} if older else {}
+        known.update(back)
+        self._learn([*new.difference(back)])
+        for rest, ids, missing in words:
+            for k in missing:
+                ids[k] = known[rest[k]]
+        return [h + b"".join(ids) for h, (_, ids, _) in zip(self._ids(heads), words)]
 
 
 def shared_encoder(path: str) -> Encoder:

@@ -242,6 +242,17 @@ def test_words_learned_together_and_forgotten(monkeypatch):
     assert packing.shared_encoder(TOKENS) is packing.shared_encoder(TOKENS)
 
 
+def test_words_in_use_are_not_learned_again(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    encoder, learned = packing.Encoder(TOKENS), []
+    learn = encoder._learn
+    encoder._learn = lambda words: (learned.extend(words), learn(words))[1]
+    for i in range(40):
+        assert encoder.encode([f"a often used w{i} x{i}"]) == encoder._ids([f"a often used w{i} x{i}"])
+        assert len(encoder.known) + len(encoder.older) < 60
+    assert learned.count("often") == learned.count("used") == 1
+
+
 def test_a_worker_holds_one_operators_memory_at_a_time():
     first = of_this_worker("a", dict)
     first["x"] = 1
