@@ -6,7 +6,7 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hazegrid.constants import CHANNELS, DATE, N_CLASSES, SEASONS, STATION, TARGET, TS
 from hazegrid.functions import clock
@@ -73,6 +73,13 @@ def station_extremes(df: DataFrame, col: str = TARGET) -> DataFrame:
                  (F.max(v) - F.min(v)).alias("gap"))
 
 
+def pearson(a: str, b: str) -> Column:
+    """``corr`` that does not divide by zero: NaN where a channel does not vary, as in the check SQL; NULL without a pair."""
+    va, vb = F.regr_sxx(b, a), F.regr_syy(b, a)
+    r = va / va if a == b else F.regr_sxy(b, a) / (F.sqrt(va) * F.sqrt(vb))
+    return F.when((va > 0) & (vb > 0), r).when(va.isNotNull(), F.lit(float("nan")))
+
+
 def corr_matrix(df: DataFrame, cols: tuple[str, ...] = CHANNELS) -> DataFrame:
     """Pearson correlation of every channel pair over the rows where both are known; one pass, no shuffle
     but the final merge."""
@@ -86,12 +93,13 @@ def corr_matrix(df: DataFrame, cols: tuple[str, ...] = CHANNELS) -> DataFrame:
 
 
 def corr_drivers(df: DataFrame, target: str = TARGET, cols: tuple[str, ...] = CHANNELS) -> DataFrame:
-    """Channels with the highest and the lowest correlation to the target."""
+    """Channels with the highest and the lowest correlation to the target. NaN, of a channel that does not vary, counts as
+    the largest value, as in the check SQL."""
     cols = [c for c in cols if c in df.columns and c != target]
-    one = df.agg(*[F.corr(target, c).alias(c) for c in cols])
+    one = df.agg(*[pearson(target, c).alias(c) for c in cols])
     long = one.unpivot([], cols, "channel", "r").where("r IS NOT NULL")
     r = F.col("r")
-    return long.agg(F.min_by("channel", F.struct(-r, F.col("channel"))).alias("strongest_positive"), F.max(r).alias("max_r"),
+    return long.agg(F.min_by("channel", F.struct(~F.isnan(r), -r, F.col("channel"))).alias("strongest_positive"), F.max(r).alias("max_r"),
                     F.min_by("channel", F.struct(r, F.col("channel"))).alias("strongest_negative"), F.min(r).alias("min_r"))
 
 
