@@ -85,7 +85,7 @@ def corr_matrix(df: DataFrame, cols: tuple[str, ...] = CHANNELS) -> DataFrame:
     but the final merge."""
     cols = [c for c in cols if c in df.columns]
     pairs = list(combinations_with_replacement(cols, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    one = df.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
     long = one.unpivot([], [f"{a}|{b}" for a, b in pairs], "_k", "r")
     a, b = F.split_part("_k", F.lit("|"), F.lit(1)), F.split_part("_k", F.lit("|"), F.lit(2))
     half = long.select(a.alias("a"), b.alias("b"), "r")

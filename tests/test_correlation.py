@@ -20,3 +20,11 @@ def test_drivers_with_a_constant_channel(spark):
     r = aggregates.corr_drivers(spark.createDataFrame(ROWS, SCHEMA)).collect()
     assert len(r) == 1 and (r[0].strongest_positive, r[0].strongest_negative) == ("wspm", "co")
     assert math.isnan(r[0].max_r) and same(r[0].min_r, 3.0 / math.sqrt(2 * 26 / 3))
+
+
+def test_matrix_with_a_constant_channel(spark):
+    duckdb = pytest.importorskip("duckdb")
+    found = {(r.a, r.b): r.r for r in aggregates.corr_matrix(spark.createDataFrame(ROWS, SCHEMA)).collect()}
+    assert len(found) == 16
+    for (a, b), r in found.items():
+        assert same(r, duckdb.connect().execute(SQL.format(a, b)).fetchone()[0]), (a, b)
