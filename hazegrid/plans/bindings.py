@@ -45,6 +45,16 @@ def rounded(df: DataFrame, cols, digits: int = 6) -> DataFrame:
     return df.select(*[r(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+#: Rows of a dimension that is sent to all tasks, at most.
+BROADCAST_ROWS = 400_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it has no more than BROADCAST_ROWS rows: the readings that meet it stay where they are. A larger
+    one is joined by shuffle. Counts it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = prepare(spark), folder
@@ -134,7 +144,7 @@ class Tables:
                                                           "l_extendedprice", "l_discount", "l_tax"])
         q, d = F.col("l_quantity"), F.col("l_discount")
         return (one.join(self.table("part", "p_partkey", "p_brand", "p_size"), F.col("p_partkey") == F.col("l_partkey"))
-                .join(self.places, F.col("s_suppkey") == F.col("l_suppkey")).select(
+                .join(small(self.places.select("s_suppkey", "s_name", "r_name")), F.col("s_suppkey") == F.col("l_suppkey")).select(
             F.col("s_name").alias(STATION), F.col("r_name").alias("station_type"), F.col("l_shipdate").alias(TS),
             (F.col("l_extendedprice") / 307.0009).alias("pm2_5"), q.alias("pm10"), d.alias("so2"),
             F.col("l_tax").alias("no2"), F.col("l_extendedprice").alias("co"), F.col("l_linenumber").cast("double").alias("o3"),
@@ -161,7 +171,7 @@ class Tables:
 
     @cached_property
     def b4_docs(self) -> DataFrame:
-        return to_documents(self.b4_wide.drop("station_type"), self.b4_stations)
+        return to_documents(self.b4_wide.drop("station_type"), small(self.b4_stations))
 
     @cached_property
     def b5_requests(self) -> DataFrame:

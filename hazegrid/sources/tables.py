@@ -37,10 +37,10 @@ def write_star_jdbc(star: dict[str, DataFrame], url: str, properties: dict[str,
 
 
 def write_docs(docs: DataFrame, path: str, n: int | None = None) -> None:
-    """Documents as JSON lines; with ``n`` the first n by station and time."""
+    """Documents as JSON lines, compressed, since every line repeats the names of all fields; with ``n`` the first n by station and time."""
     if n is not None:
         docs = docs.orderBy("station", "timestamp").limit(n)
-    docs.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    docs.write.mode("overwrite").option("ignoreNullFields", "false").option("compression", "gzip").json(path)
 
 
 def read_docs(spark: SparkSession, path: str) -> DataFrame:

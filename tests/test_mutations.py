@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from hazegrid.operators import documents, mutations, reads
+from hazegrid.sources.tables import read_docs, to_json_rows, write_docs
 from hazegrid.streaming.ingest import ingest_stream, read_accepted
 
 T0 = dt.datetime(2020, 1, 1)
@@ -93,6 +94,21 @@ def test_doc_create_and_delete(spark):
     assert status(mutations.doc_delete_status(docs(spark), req)) == {1: "ok", 2: "not_found", 3: "not_found"}
 
 
+def test_documents_are_written_compressed(spark, tmp_path):
+    many = spark.range(5000).selectExpr(
+        "concat('s', id % 7) AS station", "'urban' AS station_type", "named_struct('lat', 1D, 'lon', 2D) AS location",
+        "TIMESTAMP_NTZ'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, int(id)) AS timestamp",
+        "named_struct('year', 2020, 'month', 1, 'day', 1, 'hour', int(id % 24), 'is_heating_season', 1) AS time",
+        "named_struct('pm2_5', double(id), 'pm10', 1D, 'so2', 1D, 'no2', 1D, 'co', double(NULL), 'o3', 1D) AS pollutants",
+        "named_struct('temp', 1D, 'pres', 1D, 'dewp', 1D, 'rain', 1D, 'wind_dir', 'N', 'wspm', double(id)) AS weather")
+    path = str(tmp_path / "docs")
+    write_docs(many, path)
+    plain = sum(len(r.j) + 1 for r in to_json_rows(many, "j").collect())
+    assert sum(f.stat().st_size for f in (tmp_path / "docs").glob("part-*")) < plain / 5
+    back = read_docs(spark, path)
+    assert back.count() == 5000 and back.exceptAll(many.to(back.schema)).count() == 0
+
+
 def test_stream_accepts_each_key_once_and_survives_a_restart(spark, table, stations, tmp_path):
     src, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     req = spark.createDataFrame([(1, "a", T0, 1.0, None), (2, "a", T1, 2.0, None), (3, "a", T1, 3.0, None), (4, "x", T1, 1.0, None)], REQ)
