@@ -7,10 +7,11 @@ gathered in one window, so a key that holds a third of all requests is no bottle
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hazegrid.constants import POLLUTANTS, STATION, TS
 from hazegrid.operators.documents import SUBDOCUMENTS, WEATHER_PATHS
+from hazegrid.session import settle
 
 KEY = [STATION, TS]
 DOC_KEY = [STATION, "timestamp"]
@@ -78,8 +79,12 @@ def delete_status(readings: DataFrame, req: DataFrame, key: list[str] | None = N
 
 def doc_create(docs: DataFrame, req: DataFrame) -> DataFrame:
     """The collection with the new documents; a key that exists, or came earlier in the batch, is refused.
-    Stations need not be known."""
-    fresh = (req.join(_first_per_key(req, DOC_KEY), DOC_KEY).where(F.col("req_id") == F.col("_first"))
+    Stations need not be known. The documents are read for their keys and for the result: they are written to the shared
+    folder once, so this runs a job."""
+    docs = settle(docs)
+    # the rank is a group limit before the shuffle too; the shuffle by key serves the look-up among the documents as well
+    first = Window.partitionBy(*DOC_KEY).orderBy("req_id")
+    fresh = (req.dropna(subset=["req_id", *DOC_KEY]).withColumn("_rank", F.rank().over(first)).where("_rank = 1")
              .join(docs.select(*DOC_KEY), DOC_KEY, "left_anti"))
     cols = [F.col(c) if c in req.columns else F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
     return docs.unionByName(fresh.select(*cols))

@@ -94,6 +94,22 @@ def test_doc_create_and_delete(spark):
     assert status(mutations.doc_delete_status(docs(spark), req)) == {1: "ok", 2: "not_found", 3: "not_found"}
 
 
+def test_doc_create_evaluates_its_inputs_once(spark):
+    """Neither the documents nor the requests are computed a second time for the look-ups; requests without key or number are
+    refused, and those that share the first number of a key are all kept."""
+    base = spark.range(3, numPartitions=2).selectExpr(
+        "IF(id = 2, NULL, concat('s', id)) AS station", "'urban' AS station_type", "named_struct('lat', 1D, 'lon', 2D) AS location",
+        "TIMESTAMP_NTZ'2020-01-01 00:00:00' AS timestamp", "CAST(NULL AS struct<year int>) AS time",
+        "named_struct('pm2_5', double(id)) AS pollutants", "CAST(NULL AS struct<temp double>) AS weather")
+    req = spark.range(8, numPartitions=2).selectExpr(
+        "CASE id WHEN 7 THEN NULL WHEN 5 THEN 4 ELSE id END AS req_id", "CASE WHEN id = 0 THEN NULL WHEN id < 3 THEN 's1' ELSE 'new' END AS station",
+        "IF(id = 3, NULL, TIMESTAMP_NTZ'2020-01-01 00:00:00') AS timestamp", "named_struct('pm2_5', double(id)) AS pollutants")
+    made = mutations.doc_create(base, req)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1
+    assert sorted((r.station or "", r.pollutants.pm2_5) for r in made.collect()) == [("", 2.0), ("new", 4.0), ("new", 5.0), ("s0", 0.0), ("s1", 1.0)]
+
+
 def test_documents_are_written_compressed(spark, tmp_path):
     many = spark.range(5000).selectExpr(
         "concat('s', id % 7) AS station", "'urban' AS station_type", "named_struct('lat', 1D, 'lon', 2D) AS location",
