@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -183,3 +184,40 @@ def test_stream_batch_that_runs_again_writes_nothing_twice(spark, table, station
         f.unlink()
     run()
     assert sorted(map(str, read_accepted(spark, sink).collect())) == before and len(before) == 2
+
+
+def test_first_readings_against_a_plain_loop(spark):
+    """Short and long requests, shared numbers, no number, cells before 1970, no limit and limit 0."""
+    r = random.Random(5)
+    base = dt.datetime(1969, 6, 1)
+    cols = "station string, ts timestamp_ntz, pm2_5 double, pm10 double, so2 double, no2 double, co double, o3 double"
+    rows = [(s, base + dt.timedelta(hours=h), float(h), None, None, None, None, None) for s in "ab" for h in sorted(r.sample(range(24 * 500), 600))]
+    asked = [(i, r.choice("abx"), base + dt.timedelta(hours=r.randint(-999, 12_500)), r.choice([0, 5, 40, 60, 61, 300]), r.choice([None, 0, 1, 5, 30])) for i in range(120)]
+    asked = [(i, s, t, t + dt.timedelta(days=d), n) for i, s, t, d, n in asked]
+    asked += [(900, "a", base, base + dt.timedelta(days=9), 7), (900, "b", base + dt.timedelta(days=200), base + dt.timedelta(days=209), 7),
+              (None, "a", base, base + dt.timedelta(days=9), 3), (None, "b", base + dt.timedelta(1), base + dt.timedelta(days=9), 3),
+              (901, "a", base, base - dt.timedelta(days=1), 3), (902, None, base, base + dt.timedelta(days=1), 3)]
+    want = []
+    for number in {q[0] for q in asked}:
+        hits = sorted((x[1], x[0], q[4]) for q in asked if q[0] == number for x in rows if x[0] == q[1] and q[2] <= x[1] <= q[3])
+        want += [(number, s, t) for k, (t, s, n) in enumerate(hits) if n is None or k < n]
+    span = spark.createDataFrame(asked, "req_id long, station string, start timestamp_ntz, end timestamp_ntz, limit int")
+    data = spark.createDataFrame([*rows, (None, base, 1.0, *[None] * 5), ("a", None, 1.0, *[None] * 5)], cols)
+    got = [(x.req_id, x.station, x.ts) for x in reads.range_read(data, span).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len(want) > 500
+
+
+def test_limits_are_applied_before_hits_are_shuffled(spark):
+    """Requests of like length that share no number: the only shuffle by number is that of the requests, once for both branches."""
+    cols = "station string, ts timestamp_ntz, pm2_5 double, pm10 double, so2 double, no2 double, co double, o3 double"
+    data = spark.createDataFrame([("a", T0 + dt.timedelta(days=d), 1.0, *[None] * 5) for d in range(100)], cols)
+    span = spark.range(1000).selectExpr("id AS req_id", "'a' AS station", f"TIMESTAMP_NTZ'{T0}' AS start", f"TIMESTAMP_NTZ'{T0 + dt.timedelta(days=40)}' AS end", "5 AS limit")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = reads.range_read(data, span)
+        assert len(out.collect()) == 5000
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum("Range (0, 1000" in line for line in final.splitlines()) == 1
