@@ -3,6 +3,7 @@ import math
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from hazegrid.llm import lm
@@ -204,3 +205,51 @@ def test_blocks_close_at_the_text_that_fills_them(spark):
             full[r.block] += r.n_bytes + 64
     assert len([r for r in rows if r.kind == lm._DOC]) == 300 and sum(v < 2_000 for v in full.values()) <= 1
     assert all(trained[block, w] == c for (block, _), (w, c) in words.items())
+
+
+def test_followers_against_a_plain_loop():
+    r = np.random.RandomState(7)
+    texts = [np.append(r.randint(1, 6, n), 0) for n in (40, 0, 7, 90, 40, 3)]       # word 0 is the end
+    texts.append(texts[0])
+    held = np.array([False, False, True, False, True, False, False])
+    crc = (np.arange(6) * 2654435761 % 2 ** 32).astype(np.uint32)
+    pairs, times = lm.block_pairs(texts, held, crc, 3)
+    assert (np.diff(pairs.astype(np.int64)) > 0).all()
+
+    def neighbours(t):
+        return list(zip([0, *t[:-1]], t))
+
+    trained = collections.Counter(p for t, h in zip(texts, held) if not h for p in neighbours(t))
+    assert len(pairs) == len({p for t in texts for p in neighbours(t)}) and sorted(times[times > 0]) == sorted(trained.values())
+    count = np.bincount(np.concatenate([t for t, h in zip(texts, held) if not h]), minlength=6).astype(float)
+    found = lm.Followers.of(texts, lm.look_back(texts, np.arange(6)), held, count, crc, 3, pairs, times + 2.0 * (times > 0))
+    at = 0
+    for t, h in zip(texts, held):
+        own, words = collections.Counter(neighbours(t)), collections.Counter(t.tolist())
+        for u, w in neighbours(t):
+            assert found.all[at] == count[u] - (not h) * words[u]
+            assert found.same[at] == (trained[u, w] + 2 * (trained[u, w] > 0)) - (not h) * own[u, w]
+            at += 1
+
+
+def test_what_other_blocks_have_of_a_pair():
+    keys, times = [np.array(x, np.uint32) for x in ([1, 5, 9], [5], [0, 9, 4_000_000_000])], [[2, 1, 0], [4], [1, 3, 1]]
+    rows = pd.DataFrame({"block": [7, 8, 9], "part": [3] * 3, "keys": [lm._sorted_packed(k) for k in keys], "times": [lm._packed(np.array(t, np.uint32)) for t in times]})
+    out = lm._others(rows)
+    assert out["block"].tolist() == [7, 8, 9] and [lm._unpacked(x).tolist() for x in out["found"]] == [[0, 4, 3], [1], [0, 0, 0]]
+
+
+def test_texts_that_occur_twice_are_scored_apart(spark):
+    """All texts draw the same words; a copy, or a held-out copy, follows its original word by word, in whichever block that is."""
+    r = np.random.RandomState(4)
+    words = ["".join(r.choice(list("abdegiklmnorstu"), 5)) for _ in range(3000)]
+    texts = [" ".join(r.choice(words, 120)) for _ in range(150)]
+    rows = [(i, t, "en", "s", None) for i, t in enumerate(texts)] + [(1000 + i, texts[i], "en", "s", None) for i in range(30)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4, "doc_id")
+    held = F.col("doc_id") >= 1020
+    out = {x.doc_id: x for x in lm.score(docs, held, block_bytes=20_000).collect()}
+    alone = min(out[i].bits_per_byte for i in range(30, 150))
+    assert all(out[i].bits_per_byte < 0.6 * alone for i in [*range(20), *range(1000, 1030)])
+    assert all(out[i].bits_per_byte > 0.6 * alone for i in range(20, 30))       # their copies are held out
+    whole = {x.doc_id: x.score for x in lm.score(docs, held, block_bytes=10 ** 7).collect()}
+    assert all(abs(whole[i] - out[i].score) < 1e-4 * abs(whole[i]) for i in out)
